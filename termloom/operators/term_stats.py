@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import FieldMapping, term_counts
@@ -21,15 +21,7 @@ def term_vectors(
     """
     keys = [key] if isinstance(key, str) else list(key)
     kept = list(dict.fromkeys([*keys, *(keep or [])]))
-    per_field = [
-        F.transform(
-            term_counts(mapping.tokens(df, name)),
-            lambda t, name=name: F.struct(
-                F.lit(name).alias("field"), t["term"].alias("term"), t["tf"].alias("tf")
-            ),
-        )
-        for name in fields
-    ]
+    per_field = [_named_counts(mapping.tokens(df, name), name) for name in fields]
     counts = per_field[0] if len(per_field) == 1 else F.concat(*per_field)
     # The outer form keeps Spark from repeating the whole analysis in a pushed-down size filter.
     return (
@@ -39,6 +31,13 @@ def term_vectors(
     )
 
 
+def _named_counts(tokens: Column, name: str) -> Column:
+    def one(t: Column) -> Column:
+        return F.struct(F.lit(name).alias("field"), t["term"].alias("term"), t["tf"].alias("tf"))
+
+    return F.transform(term_counts(tokens), one)
+
+
 def term_stats(
     df: DataFrame,
     fields: list[str],
