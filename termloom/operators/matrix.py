@@ -106,9 +106,12 @@ def sum_duplicates(triples: DataFrame) -> DataFrame:
 
 
 def rows_of(triples: DataFrame) -> DataFrame:
-    """Compressed rows of a COO frame: column and value arrays per row, columns ascending."""
+    """Compressed rows of a COO frame: column and value arrays per row, columns ascending.
+
+    Entries of one place are added up first, so a row is never longer than the matrix is wide.
+    """
     cell = F.struct(F.col("col"), F.col("data"))
-    packed = triples.groupBy("row").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    packed = sum_duplicates(triples).groupBy("row").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
     return packed.select(
         "row",
         F.transform("cells", lambda c: c["col"]).alias("indices"),

@@ -9,6 +9,7 @@ from ..functions.conditions import resolve
 from ..functions.scoring import significance
 from ..functions.text import FieldMapping
 from ..plans.numbering import top_per_group
+from ..plans.sizing import salted_join
 
 MIN_DOC_COUNT = 3
 
@@ -76,7 +77,7 @@ def significant_terms_by_class(
     )
     bg_size = df.agg(F.count("*")).scalar()
     scored = (
-        counts.join(sizes, "class")
+        salted_join(counts, sizes, ["class"], F.col("key"))
         .withColumn(
             "score",
             significance(F.col("doc_count"), F.col("fg_size"), F.col("bg_count"), bg_size),

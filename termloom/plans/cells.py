@@ -9,6 +9,7 @@ for them, and a dictionary beyond the broadcast limit is joined instead.
 from __future__ import annotations
 
 from functools import lru_cache
+from typing import NamedTuple
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,15 @@ CELLS = T.ArrayType(CELL)
 _TOKENS, _VECTOR = "__tokens", "__vector"
 
 
+class Source(NamedTuple):
+    """Where terms and their statistics come from."""
+
+    corpus: DataFrame
+    statistics: DataFrame | None
+    mapping: FieldMapping
+    scope: list[str]
+
+
 def with_cells(
     df: DataFrame,
     spec: FeatureSpec,
@@ -32,28 +42,34 @@ def with_cells(
     key: list[str],
     mapping: FieldMapping = FieldMapping(),
     corpus: DataFrame | None = None,
+    statistics: DataFrame | None = None,
     scope: list[str] | None = None,
     numeric_mode: str = "keep",
     on_missing: str = "ignore",
+    largest_broadcast: int | None = None,
     out: str = "cells",
 ) -> DataFrame:
     """Add the cells of every document, in ascending column order, zeros left out.
 
     ``corpus`` is what ``doc_freq`` and ``ttf`` describe (default: ``df``); with ``scope`` they
-    describe only the part of the corpus that agrees on these columns.  ``key`` is used only
-    when a dictionary is too large to broadcast, or with ``scope``.
+    describe only the part of the corpus that agrees on these columns.  A stored table
+    ``statistics (field, term, doc_freq, ttf)`` replaces the pass over the corpus.  ``key`` is
+    used only when a dictionary is too large to broadcast, or with ``scope``.
     """
     given = df.columns
-    corpus = df if corpus is None else corpus
+    if scope and statistics is not None:
+        raise ValueError("stored statistics are global: give a corpus for a scope")
+    source = Source(df if corpus is None else corpus, statistics, mapping, list(scope or []))
+    limit = broadcast_limit(df.sparkSession) if largest_broadcast is None else largest_broadcast
     blocks: list[tuple[list[int], Column]] = []
     for number, (field, (terms, cols)) in enumerate(spec.term_columns().items()):
         if not _present(df, field, on_missing):
             continue
         block = f"__block{number}"
         option = spec.option(field)
-        small = vocabulary_bytes(terms) <= broadcast_limit(df.sparkSession)
+        small = vocabulary_bytes(terms) <= limit
         build = _looked_up if small else _joined
-        df = build(df, corpus, field, terms, cols, option, mapping, scope or [], key, block)
+        df = build(df, source, field, terms, cols, option, key, block)
         blocks.append((cols, F.col(block)))
     for field, cols in spec.slot_columns().items():
         if _present(df, field, on_missing):
@@ -70,19 +86,17 @@ def _present(df: DataFrame, field: str, on_missing: str) -> bool:
 
 
 # -- text fields ------------------------------------------------------------------------------
-def _looked_up(df, corpus, field, terms, cols, option, mapping, scope, key, block) -> DataFrame:
-    stats = None
-    if option in ("doc_freq", "ttf"):
-        if scope:
-            shares = _scope_statistics(corpus, field, terms, mapping, option, scope)
-            stats = F.col(f"{block}_stats")
-        else:
-            known = known_statistics(corpus, field, terms, mapping, option)
-            stats = constant_array(known, "double")
+def _looked_up(df, source, field, terms, cols, option, key, block) -> DataFrame:
+    mapping, stats = source.mapping, None
     counted = count_terms(df, field, terms, mapping, binary=option != "term_freq", out=block)
-    if option in ("doc_freq", "ttf") and scope:
-        shares = shares.withColumnRenamed("stats", f"{block}_stats")
-        counted = salted_join(counted, shares, scope, F.struct(*key), "left")
+    if option in ("doc_freq", "ttf") and source.scope:
+        # Joined after counting: the slim vectors move, the text does not.
+        shares = _scope_statistics(source, field, terms, option, f"{block}_stats")
+        counted = salted_join(counted, shares, source.scope, F.struct(*key), "left")
+        stats = F.col(f"{block}_stats")
+    elif option in ("doc_freq", "ttf"):
+        known = known_statistics(source.corpus, field, terms, mapping, option, source.statistics)
+        stats = constant_array(known, "double")
     col = _column_of(cols)
     value = F.col(block)
     if option == "term_freq":
@@ -140,10 +154,19 @@ def vocabulary_statistics(
 
 
 def known_statistics(
-    corpus: DataFrame, field: str, terms: list[str], mapping: FieldMapping, option: str
+    corpus: DataFrame,
+    field: str,
+    terms: list[str],
+    mapping: FieldMapping,
+    option: str,
+    statistics: DataFrame | None = None,
 ) -> list[int]:
     """``doc_freq`` or ``ttf`` of each dictionary term: as many numbers as the dictionary has."""
-    stats = vocabulary_statistics(corpus.select(field), field, terms, mapping)
+    if statistics is None:
+        stats = vocabulary_statistics(corpus.select(field), field, terms, mapping)
+    else:
+        words = corpus.sparkSession.createDataFrame(list(enumerate(terms)), "slot int, term string")
+        stats = statistics.where(F.col("field") == field).join(F.broadcast(words), "term")
     found = {r["slot"]: r[option] for r in stats.select("slot", option).collect()}
     return [found.get(slot, 0) for slot in range(len(terms))]
 
@@ -153,10 +176,11 @@ def constant_array(numbers: list, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
 
 
-def _scope_statistics(corpus, field, terms, mapping, option, scope) -> DataFrame:
+def _scope_statistics(source, field, terms, option, name) -> DataFrame:
     # One row per scope value, holding one number per dictionary term.
-    slim = corpus.select(*dict.fromkeys([*scope, field]))
-    stats = vocabulary_statistics(slim, field, terms, mapping, scope)
+    scope = source.scope
+    slim = source.corpus.select(*dict.fromkeys([*scope, field]))
+    stats = vocabulary_statistics(slim, field, terms, source.mapping, scope)
     pairs = F.array_sort(F.collect_list(F.struct("slot", F.col(option).cast("double").alias("v"))))
     found = stats.groupBy(*scope).agg(pairs.alias("found"))
 
@@ -165,27 +189,47 @@ def _scope_statistics(corpus, field, terms, mapping, option, scope) -> DataFrame
         gap = F.array_repeat(F.lit(0.0), pair["slot"] - last - 1)
         return F.concat(gap, F.array(pair["v"]))
 
-    return found.select(*scope, F.flatten(F.transform("found", padded)).alias("stats"))
+    return found.select(*scope, F.flatten(F.transform("found", padded)).alias(name))
+
+
+def _joined(df, source, field, terms, cols, option, key, block) -> DataFrame:
+    words = df.sparkSession.createDataFrame(list(zip(terms, cols)), "term string, col int")
+    rows = joined_cells(df, field, words, option, source, key, block)
+    empty = F.array().cast(CELLS)
+    return df.join(rows, key, "left").withColumn(block, F.coalesce(block, empty))
+
 
+def joined_cells(
+    df: DataFrame,
+    field: str,
+    words: DataFrame,
+    option: str,
+    source: Source,
+    key: list[str],
+    out: str = "cells",
+) -> DataFrame:
+    """``(key, cells)`` for a dictionary of any size, given as a frame ``(term, col)``.
 
-def _joined(df, corpus, field, terms, cols, option, mapping, scope, key, block) -> DataFrame:
-    """For dictionaries too large to broadcast: per-document counts meet them in a salted join."""
-    spark = df.sparkSession
-    words = spark.createDataFrame(list(zip(terms, cols)), "term string, col int")
+    The terms of a document are counted in its row; the counts meet the dictionary in a salted
+    join, since a frequent term occurs in a large part of all documents.
+    """
+    scope, mapping = source.scope, source.mapping
     exploded = _exploded(df, list(dict.fromkeys([*key, *scope])), field, mapping)
     if option in ("doc_freq", "ttf"):
-        seen = _exploded(corpus, scope, field, mapping).groupBy(*scope, "term").agg(
-            F.count("*").alias("doc_freq"), F.sum("tf").alias("ttf")
-        )
+        if source.statistics is None:
+            seen = _exploded(source.corpus, scope, field, mapping)
+            seen = seen.groupBy(*scope, "term").agg(
+                F.count("*").alias("doc_freq"), F.sum("tf").alias("ttf")
+            )
+        else:
+            seen = source.statistics.where(F.col("field") == field)
         words = words.join(seen.select(*scope, "term", F.col(option).alias("v")), "term")
     keys = ["term", *scope] if "v" in words.columns else ["term"]
     hits = salted_join(exploded, words, keys, F.struct(*key))
     value = {"binary": F.lit(1.0), "term_freq": F.col("tf")}.get(option)
-    value = (F.col("v") if value is None else value).cast("double")
-    cell = F.struct(F.col("col").cast("int").alias("col"), value.alias("value"))
-    rows = hits.groupBy(*key).agg(F.sort_array(F.collect_list(cell)).alias(block))
-    empty = F.array().cast(CELLS)
-    return df.join(rows, key, "left").withColumn(block, F.coalesce(block, empty))
+    value = F.col("v") if value is None else value
+    cell = _cell(F.col("col"), value)
+    return hits.groupBy(*key).agg(F.sort_array(F.collect_list(cell)).alias(out))
 
 
 def _exploded(df: DataFrame, keep: list[str], field: str, mapping: FieldMapping) -> DataFrame:

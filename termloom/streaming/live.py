@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,20 +43,21 @@ def vectorize_batches(
     path: str,
     checkpoint: str,
     corpus: DataFrame | None = None,
+    statistics: DataFrame | None = None,
     key: str = "doc_id",
     mapping: FieldMapping = FieldMapping(),
     **trigger,
 ) -> StreamingQuery:
     """Each micro-batch is one COO batch with its own row numbers, in the folder of its epoch.
 
-    An epoch that is run again replaces its folder.  ``corpus`` is a stored collection that
-    ``doc_freq`` and ``ttf`` describe as of the time of the micro-batch.
+    An epoch that is run again replaces its folder.  ``doc_freq`` and ``ttf`` describe a stored
+    ``corpus`` or a table of ``statistics``, both as of the time of the micro-batch.
     """
+    given = {"corpus": corpus, "statistics": statistics}
+    options = {name: frame for name, frame in given.items() if frame is not None}
 
     def write(batch: DataFrame, epoch: int) -> None:
-        docs = Collection(batch, (key,), mapping)
-        options = {} if corpus is None else {"corpus": corpus}
-        triples = docs.vectorize_all(spec, **options).to_coo()
+        triples = Collection(batch, (key,), mapping).vectorize_all(spec, **options).to_coo()
         triples.write.mode("overwrite").parquet(f"{path}/batch_id={epoch}")
 
     started = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -66,10 +67,7 @@ def vectorize_batches(
 def stream_statistics(
     stream: DataFrame, field: str, mapping: FieldMapping = FieldMapping()
 ) -> DataFrame:
-    """Running ``(field, term, doc_freq, ttf)``, for ``update`` or ``complete`` mode.
-
-    The state is one row per term; each document is reduced to its distinct terms first.
-    """
+    """Running ``(field, term, doc_freq, ttf)``: the state is one row per term."""
     vectors = term_vectors(stream, [field], key=[], mapping=mapping)
     return vectors.groupBy("field", "term").agg(
         F.count("*").alias("doc_freq"), F.sum("tf").alias("ttf")
@@ -77,12 +75,20 @@ def stream_statistics(
 
 
 def keep_statistics(stats: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the latest statistics as a stored table, one folder per epoch; readers take the last."""
+    """Store the statistics: every epoch adds the terms that changed, in a folder of its own."""
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    started = stats.writeStream.outputMode("complete").foreachBatch(write)
+    started = stats.writeStream.outputMode("update").foreachBatch(write)
     started = started.option("checkpointLocation", checkpoint)
     return started.trigger(**(trigger or {"availableNow": True})).start()
 
+
+def stored_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`keep_statistics` stored.  Counts only grow, so the largest is the latest."""
+    return (
+        spark.read.parquet(path)
+        .groupBy("field", "term")
+        .agg(F.max("doc_freq").alias("doc_freq"), F.max("ttf").alias("ttf"))
+    )

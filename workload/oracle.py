@@ -324,5 +324,8 @@ UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations),
     sql["stream_batches"] = f"""WITH {base()}, cell AS ({cells("df")}),
 r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row FROM documents)
 SELECT CAST(0 AS BIGINT) AS batch_id, CAST(row AS BIGINT) AS row, col, data FROM cell JOIN r USING (doc_id)"""
+    sql["stored_statistics_matrix"] = sql["vec_ttf"]
+    sql["joined_dictionary"] = f"""WITH {base()}, voc AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS col FROM st)
+SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(df AS DOUBLE) AS data FROM tf JOIN voc USING (term)"""
     sql["stream_statistics"] = f"WITH {base()} SELECT term, df AS doc_freq, ttf FROM st"
     return sql

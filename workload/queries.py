@@ -30,6 +30,7 @@ from termloom import (
 from termloom.functions.text import URL_EMAIL_PATTERN
 from termloom.operators import batches, learning, matrix, significance, term_stats
 from termloom.operators.search import page_of
+from termloom.plans.cells import Source, joined_cells
 from termloom.plans.numbering import row_index
 from termloom.plans.sizing import scratch_dir, settle, spread
 from termloom.sources.corpus import mapping_schema
@@ -714,6 +715,24 @@ def stream_statistics(spark, sf_dir):
     out = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
     stats = live.stream_statistics(_stream(spark, sf_dir), "text")
     live.keep_statistics(stats, f"{out}/stats", f"{out}/progress").awaitTermination()
-    kept = spark.read.parquet(f"{out}/stats")
-    last = kept.agg(F.max("epoch")).scalar()
-    return kept.where(F.col("epoch") == last).select("term", "doc_freq", "ttf")
+    return live.stored_statistics(spark, f"{out}/stats").select("term", "doc_freq", "ttf")
+
+
+@query
+def stored_statistics_matrix(spark, sf_dir):
+    """Columns of corpus statistics from a stored table instead of a pass over the corpus."""
+    docs = collection(spark, sf_dir)
+    stored = settle(term_stats.term_stats(docs.df, ["text"], KEYWORDS))
+    return by_key(docs.vectorize_all(text_spec("ttf"), statistics=stored))
+
+
+@query
+def joined_dictionary(spark, sf_dir):
+    """A dictionary beyond the broadcast limit: every term of the corpus is a column.
+
+    The columns follow the terms in order; each of them holds the document frequency.
+    """
+    docs = documents(spark, sf_dir)
+    words = row_index(term_stats.doc_freq(docs, "text").select("term"), ["term"], "col")
+    cells = joined_cells(docs, "text", words, "doc_freq", Source(docs, None, KEYWORDS, []), ["doc_id"])
+    return matrix.coo(cells, ["doc_id"])
