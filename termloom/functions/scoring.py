@@ -1,7 +1,9 @@
-"""Score formulas as column expressions."""
+"""Score formulas."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,5 +15,5 @@ def significance(count: Column, size: Column, bg_count: Column, bg_size: Column)
     return (f - b) * F.try_divide(f, b)
 
 
-def inverse_doc_freq(n_docs: Column, doc_freq: Column) -> Column:
-    return F.log((n_docs + 1).cast("double") / (doc_freq + 1).cast("double"))
+def inverse_doc_freq(n_docs: int, doc_freq: int) -> float:
+    return math.log((n_docs + 1) / (doc_freq + 1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import matching
 from ..functions.scoring import inverse_doc_freq
-from ..functions.text import FieldMapping
+from ..functions.text import FieldMapping, once
 from ..plans.cells import constant_array, count_terms, known_statistics, with_cells
 from ..plans.numbering import row_index, top_per_group
 from ..plans.spec import FeatureSpec
@@ -63,12 +63,12 @@ class Collection:
         (key,) = self.key
         same = F.col(key) == F.lit(doc_id)
         cells = self._cells(self.df.where(same), spec, options)
-        matrix = cells.select(key, F.map_from_entries("cells").alias("matrix"))
         kind = self.df.schema[key].dataType
-        wanted = self.df.sparkSession.range(1).select(F.lit(doc_id).cast(kind).alias(key))
-        return wanted.join(matrix, key, "left").select(
-            key,
-            F.col("matrix").isNotNull().alias("found"),
+        return cells.agg(
+            F.first(F.map_from_entries("cells")).alias("matrix"), F.count("*").alias("n")
+        ).select(
+            F.lit(doc_id).cast(kind).alias(key),
+            (F.col("n") > 0).alias("found"),
             F.lit(1).alias("n_rows"),
             F.lit(spec.n_cols).alias("n_cols"),
             "matrix",
@@ -149,23 +149,27 @@ class Collection:
         return matching(self.df, query, self.mapping).agg(F.count("*").alias("n_docs"))
 
     def scored(self, field: str, terms: list[str]) -> DataFrame:
-        """Add ``score``: the sum of tf-idf over the query terms; documents without any drop out.
+        """Add ``score``: the sum of tf-idf over the query terms, null without any of them.
 
         The terms are few, so each document is scored inside its own row.
         """
+        terms = list(dict.fromkeys(terms))
         idf = _idf_array(self.df, field, terms, self.mapping)
         counted = count_terms(self.df, field, terms, self.mapping, binary=False, out="__q")
-        parts = F.zip_with(
-            F.col("__q")["indices"], F.col("__q")["values"], lambda i, tf: tf * F.get(idf, i)
-        )
-        total = F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
-        scored = counted.where(F.size(F.col("__q")["indices"]) > 0)
-        return scored.withColumn("score", total).drop("__q")
+
+        def score(q: Column) -> Column:
+            parts = F.zip_with(q["indices"], q["values"], lambda i, tf: tf * F.get(idf, i))
+            total = F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+            return F.when(F.size(q["indices"]) > 0, total)
+
+        return counted.withColumn("score", once(F.col("__q"), score)).drop("__q")
 
     def top_by_relevance(self, field: str, terms: list[str], size: int) -> DataFrame:
         """``(key, score)`` of the best documents; scores are rounded so that ties are ties."""
         best = self.scored(field, terms).select(*self.key, F.round("score", 6).alias("score"))
-        return best.orderBy(F.desc("score"), *self.key).limit(size)
+        # A filter above the limit stays there; below it, every text would be analyzed twice.
+        top = best.orderBy(F.desc_nulls_last("score"), *self.key).limit(size)
+        return top.where(F.col("score").isNotNull())
 
     def tf_idf(self, spec: FeatureSpec) -> DataFrame:
         """``(key, col, data)``: term frequency times inverse document frequency.
@@ -222,5 +226,5 @@ def page_of(hits: DataFrame, order: list[Column], from_: int, size: int) -> Data
 
 def _idf_array(df: DataFrame, name: str, terms: list[str], mapping: FieldMapping) -> Column:
     n_docs = df.count()
-    freqs = constant_array(known_statistics(df, name, list(terms), mapping, "doc_freq"), "bigint")
-    return F.transform(freqs, lambda d: inverse_doc_freq(F.lit(n_docs), d))
+    freqs = known_statistics(df, name, terms, mapping, "doc_freq")
+    return constant_array([inverse_doc_freq(n_docs, d) for d in freqs], "double")

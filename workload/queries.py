@@ -608,7 +608,8 @@ def _training_spec(spark, sf_dir, size):
 
 def _predictions(spark, sf_dir):
     spec = _training_spec(spark, sf_dir, 100)
-    frame = learning.training_frame(labelled(spark, sf_dir), spec, mapping=KEYWORDS)
+    # Training reads its rows several times and the test set once more: settle them.
+    frame = settle(learning.training_frame(labelled(spark, sf_dir), spec, mapping=KEYWORDS))
     train, test = learning.train_test_split(frame, seed=SEED)
     model = learning.train_linear_svc(train, maxIter=10)
     return learning.predict(model, test)
