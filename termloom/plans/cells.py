@@ -223,6 +223,7 @@ def joined_cells(
             )
         else:
             seen = source.statistics.where(F.col("field") == field)
+        # Statistics hold a term once per scope value, the dictionary once.
         words = words.join(seen.select(*scope, "term", F.col(option).alias("v")), "term")
     keys = ["term", *scope] if "v" in words.columns else ["term"]
     hits = salted_join(exploded, words, keys, F.struct(*key))

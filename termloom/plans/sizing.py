@@ -71,12 +71,16 @@ def scratch_dir(spark: SparkSession) -> str:
 def salted_join(
     big: DataFrame, small: DataFrame, keys: list[str], spread_by: Column, how: str = "inner"
 ) -> DataFrame:
-    """Equi-join in which no key value lands in one task.
+    """Equi-join in which no key value lands in one task; null keys meet each other.
 
     Rows of ``big`` with the same key are divided over ``SALTS`` tasks by ``spread_by``;
     ``small`` holds each key once and is replicated to each of them.
     """
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    theirs = {k: f"__their_{k}" for k in keys}
     copies = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
-    replicated = small.withColumn("__salt", F.explode(copies))
-    return salted.join(replicated, [*keys, "__salt"], how).drop("__salt")
+    replicated = small.withColumnsRenamed(theirs).withColumn("__copy", F.explode(copies))
+    salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    same = F.col("__salt") == F.col("__copy")
+    for ours, their in theirs.items():
+        same = same & F.col(ours).eqNullSafe(F.col(their))
+    return salted.join(replicated, same, how).drop("__salt", "__copy", *theirs.values())

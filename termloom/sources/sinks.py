@@ -17,7 +17,7 @@ def write_matrix(
     partition_by: list[str] | None = None,
     mode: str = "errorifexists",
 ) -> None:
-    """Write a DICT, COO or array form, by default one folder level per ``partition_by`` value.
+    """Write a DICT, COO or array form, with one folder level per column of ``partition_by``.
 
     ``batch_id`` makes one folder per batch.  JSON has string keys only, so a map of columns is
     written as an object; CSV takes the COO form alone.
@@ -26,18 +26,35 @@ def write_matrix(
     if format in TEXT_FORMATS:
         for name in maps:
             frame = frame.withColumn(name, F.col(name).cast("map<string,double>"))
+    if partition_by:
+        frame = _gathered(frame, partition_by)
     writer = frame.write.format(format).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
 
 
-def write_batches(docs: DataFrame, spec: FeatureSpec, path: str, mode: str = "errorifexists"):
-    """Export scrolled or scanned documents: cells per document, one folder per batch.
+def _gathered(frame: DataFrame, columns: list[str]) -> DataFrame:
+    # Without this every task writes a small file into every folder.  Adaptive execution splits
+    # the share of a frequent value again, so none has to pass through one task.
+    return frame.hint("rebalance", *[F.col(c) for c in columns])
+
+
+def write_batches(
+    docs: DataFrame,
+    spec: FeatureSpec,
+    path: str,
+    mode: str = "errorifexists",
+    scanned: bool = False,
+) -> DataFrame:
+    """Export batches as cells per document, one folder per batch, and read them back.
 
-    The shapes can be counted from what was written, which is then the one fixed cut.
+    ``scanned`` batches lie in one task already and are written where they are.  The shapes can
+    be counted from what was written, which is then the one fixed cut.
     """
-    kept = ["batch_id", "row_in_batch", "cells"]
-    docs.select(*kept).write.mode(mode).partitionBy("batch_id").parquet(path)
-    spark = docs.sparkSession
-    return spark.read.parquet(path).withColumn("n_cols", F.lit(spec.n_cols))
+    slim = docs.select("batch_id", "row_in_batch", "cells")
+    slim = slim if scanned else _gathered(slim, ["batch_id"])
+    slim.write.mode(mode).partitionBy("batch_id").parquet(path)
+    written = docs.sparkSession.read.parquet(path)
+    batch_id = F.col("batch_id").cast("bigint")
+    return written.withColumn("batch_id", batch_id).withColumn("n_cols", F.lit(spec.n_cols))

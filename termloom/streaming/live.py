@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import FieldMapping
-from ..operators.search import Collection
+from ..operators.matrix import Matrix
 from ..operators.term_stats import term_vectors
 from ..plans.cells import with_cells
 from ..plans.sizing import broadcast_limit, vocabulary_bytes
@@ -57,8 +57,12 @@ def vectorize_batches(
     options = {name: frame for name, frame in given.items() if frame is not None}
 
     def write(batch: DataFrame, epoch: int) -> None:
-        triples = Collection(batch, (key,), mapping).vectorize_all(spec, **options).to_coo()
+        # Numbering reads the documents again; the slim rows are kept, so the source is read once.
+        cells = with_cells(batch, spec, key=[key], mapping=mapping, **options)
+        docs = cells.select(key, "cells").persist()
+        triples = Matrix(docs, docs.select(key), spec, (key,), (F.col(key),)).to_coo()
         triples.write.mode("overwrite").parquet(f"{path}/batch_id={epoch}")
+        docs.unpersist()
 
     started = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return started.trigger(**(trigger or {"availableNow": True})).start()

@@ -285,7 +285,7 @@ def test_written_forms(spark, docs, tmp_path):
     back = spark.read.schema("row bigint, col int, data double").json(str(tmp_path / "json"))
     assert back.exceptAll(found.to_coo()).count() == 0 and back.count() == 3
     assert spark.read.parquet(str(tmp_path / "dict")).count() == 5
-    written = write_batches(docs.scan(spec, 2), spec, str(tmp_path / "scan"))
+    written = write_batches(docs.scan(spec, 2), spec, str(tmp_path / "scan"), scanned=True)
     shapes = batches.batch_shapes(written, spec.n_cols)
     merged = batches.concat_batches(batches.batch_coo(written), shapes)
     assert merged.count() == 3 and batches.concat_shape(shapes).first()["n_rows"] == 5

@@ -208,7 +208,7 @@ def random_docs(spark):
         length = rng.choice([0, 1, 5, 40, 400])
         # One word makes up a third of everything.
         words = [rng.choice(WORDS) if rng.random() > 0.33 else "w0" for _ in range(length)]
-        rows.append((doc_id, " ".join(words), rng.choice(["x", "y"]), rng.randrange(3)))
+        rows.append((doc_id, " ".join(words), rng.choice(["x", "y", None]), rng.randrange(3)))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, part string, n int")
     return rows, frame.repartition(7).cache()
 

@@ -262,6 +262,7 @@ WHERE term IN ('idiot', 'trash')"""
     sql["scroll_batches"] = f"{SCROLLED} SELECT batch_id, brow AS row, col, data FROM cell JOIN b USING (doc_id)"
     sql["scroll_cutoff"] = f"{sql['scroll_batches']} WHERE batch_id < 2"
     sql["written_matrix"] = sql["scroll_batches"]
+    sql["written_batches"] = sql["scroll_batches"]
     sql["batch_shapes"] = f"""{SCROLLED} SELECT batch_id, count(*) AS n_rows, CAST({N} AS INTEGER) AS n_cols
 FROM b GROUP BY batch_id"""
     sql["scan_export"] = f"{TF} SELECT doc_id, lang, col, data FROM cell JOIN documents USING (doc_id)"

@@ -455,7 +455,7 @@ def concat_scan(spark, sf_dir):
     """An unordered export put together again has the shape of the whole collection."""
     scanned = collection(spark, sf_dir).scan(text_spec("binary"), BATCH)
     path = f"{scratch_dir(spark)}/scan-{uuid.uuid4().hex}"
-    written = write_batches(scanned, text_spec("binary"), path)
+    written = write_batches(scanned, text_spec("binary"), path, scanned=True)
     shapes = batches.batch_shapes(written, len(WORDS))
     whole = batches.concat_batches(batches.batch_coo(written), shapes)
     cells = whole.agg(
@@ -530,6 +530,14 @@ def written_matrix(spark, sf_dir):
     return read.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+@query
+def written_batches(spark, sf_dir):
+    """An export of cells per document, one folder per batch, read back."""
+    path = f"{scratch_dir(spark)}/batches-{uuid.uuid4().hex}"
+    scrolled = _scrolled(spark, sf_dir)
+    return batches.batch_coo(write_batches(scrolled.docs, scrolled.spec, path))
+
+
 @query
 def written_json(spark, sf_dir):
     """A DICT export as JSON lines, read back."""
