@@ -58,15 +58,23 @@ class Collection:
         return first.drop("__rank", *[s for s in shard if s not in keys]), order
 
     # -- matrices -----------------------------------------------------------------------------
-    def vectorize(self, spec: FeatureSpec, doc_id, **options) -> DataFrame:
-        """The vector of one document: ``(key, found, n_rows, n_cols, matrix)``, always one row."""
+    def vectorize(
+        self, spec: FeatureSpec, doc_id, sparse_format: str = "dict", **options
+    ) -> DataFrame:
+        """The vector of one document: ``(key, found, n_rows, n_cols, matrix)``, always one row.
+
+        ``matrix`` is a map, or with ``coo`` a struct of the arrays ``row``, ``col``, ``data``;
+        it is null where the document is absent.
+        """
         (key,) = self.key
+        forms = {"dict": F.map_from_entries("cells"), "coo": _coo_arrays(F.col("cells"))}
+        if sparse_format.lower() not in forms:
+            raise ValueError(f"sparse format {sparse_format!r} is neither 'dict' nor 'coo'")
         same = F.col(key) == F.lit(doc_id)
         cells = self._cells(self.df.where(same), spec, options)
         kind = self.df.schema[key].dataType
-        return cells.agg(
-            F.first(F.map_from_entries("cells")).alias("matrix"), F.count("*").alias("n")
-        ).select(
+        matrix = F.first(forms[sparse_format.lower()]).alias("matrix")
+        return cells.agg(matrix, F.count("*").alias("n")).select(
             F.lit(doc_id).cast(kind).alias(key),
             (F.col("n") > 0).alias("found"),
             F.lit(1).alias("n_rows"),
@@ -197,6 +205,14 @@ class Collection:
         return union.where(F.col("col").isNotNull() & (F.col("data") != 0))
 
 
+def _coo_arrays(cells: Column) -> Column:
+    return F.struct(
+        F.transform(cells, lambda c: F.lit(0)).alias("row"),
+        F.transform(cells, lambda c: c["col"]).alias("col"),
+        F.transform(cells, lambda c: c["value"]).alias("data"),
+    )
+
+
 def _sort_entry(entry: str | Column) -> tuple[Column, bool]:
     if isinstance(entry, Column):
         return entry, False

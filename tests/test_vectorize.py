@@ -53,6 +53,10 @@ def test_absent_document(tweet):
 
 
 def test_one_document_as_coo(tweet):
+    (row,) = Collection(tweet).vectorize(TWEETS, "2012313853", "COO").collect()
+    assert row["matrix"].asDict() == {"row": [0] * 6, "col": [0, 2, 4, 5, 6, 10], "data": [1] * 6}
+    with pytest.raises(ValueError):
+        Collection(tweet).vectorize(TWEETS, "2012313853", "csr")
     found = Collection(tweet).vectorize_all(TWEETS)
     assert triples(found.to_coo()) == [(0, c, 1.0) for c in (0, 2, 4, 5, 6, 10)]
 

@@ -217,6 +217,10 @@ SELECT doc_id, col, round(data, 6) AS data FROM w WHERE data <> 0"""
     sql["one_document"] = f"""{TF}, mine AS (SELECT * FROM cell WHERE doc_id = 7
 UNION ALL {number("n_chars", N, "documents")} AND doc_id = 7)
 SELECT CAST(7 AS BIGINT) AS doc_id, true AS found, CAST(1 AS INTEGER) AS n_rows, CAST({N + 1} AS INTEGER) AS n_cols, {JSON} AS matrix FROM mine"""
+    sql["one_document_coo"] = f"""{TF} SELECT CAST(7 AS BIGINT) AS doc_id,
+coalesce(string_agg('0', ','), '') AS row,
+coalesce(string_agg(CAST(col AS VARCHAR), ',' ORDER BY col), '') AS col,
+coalesce(string_agg(CAST(data AS VARCHAR), ',' ORDER BY col), '') AS data FROM cell WHERE doc_id = 7"""
     sql["missing_document"] = f"""SELECT CAST(-1 AS BIGINT) AS doc_id, false AS found, CAST(1 AS INTEGER) AS n_rows,
 CAST({N} AS INTEGER) AS n_cols, CAST(NULL AS VARCHAR) AS matrix FROM documents LIMIT 1"""
     sql["search_page"] = f"""WITH {base()}, cell AS ({cells("1.0")} UNION ALL {number("n_chars", N, "documents")}),

@@ -289,6 +289,14 @@ def one_document(spark, sf_dir):
     return found.withColumn("matrix", F.to_json("matrix"))
 
 
+@query
+def one_document_coo(spark, sf_dir):
+    docs = Collection(table(spark, sf_dir, "documents"), mapping=KEYWORDS)
+    found = docs.vectorize(text_spec("term_freq"), 7, sparse_format="coo")
+    parts = [joined_text(f"matrix.{name}").alias(name) for name in ("row", "col", "data")]
+    return found.select("doc_id", *parts)
+
+
 @query
 def missing_document(spark, sf_dir):
     docs = Collection(table(spark, sf_dir, "documents"), mapping=KEYWORDS)
