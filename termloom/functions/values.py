@@ -32,6 +32,18 @@ def cell_value(value: Column, kind: T.DataType, mode: str = "keep") -> Column:
             return (low.bitwiseAND(F.lit(_WRAP - 1)) - F.lit(_HALF)).cast("double")
         if not isinstance(kind, (T.BooleanType, T.ShortType, T.IntegerType)):
             return F.when(value.isNotNull(), F.lit(-1.0))
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.unix_millis(value.cast("timestamp")).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_millis(value).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value) * F.lit(86_400_000.0)
+    if isinstance(kind, T.TimestampNTZType):
+        return _wall_clock_millis(value)
     return value.cast("double")
+
+
+def _wall_clock_millis(value: Column) -> Column:
+    # A timestamp without a zone is read as UTC, whatever the zone of the session.
+    gap = value - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    units = {"DAY": 86_400_000, "HOUR": 3_600_000, "MINUTE": 60_000}
+    whole = sum((F.extract(F.lit(u), gap).cast("bigint") * F.lit(n) for u, n in units.items()), F.lit(0))
+    return (whole + F.floor(F.extract(F.lit("SECOND"), gap) * 1000)).cast("double")

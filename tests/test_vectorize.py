@@ -137,6 +137,24 @@ def test_int_compat_wraps_longs(spark):
     }
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_dates_do_not_depend_on_the_zone_of_the_session(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        docs = spark.sql(
+            "SELECT 1 AS doc_id, DATE'1970-01-03' AS d, TIMESTAMP_NTZ'1970-01-02 01:02:03.456789' AS n, "
+            "TIMESTAMP'1970-01-01 00:00:01.5Z' AS t UNION ALL "
+            "SELECT 2, DATE'1969-12-31', TIMESTAMP_NTZ'1969-12-31 23:59:59.5', NULL"
+        )
+        spec = FeatureSpec.from_spec([{"field": f, "span": 1} for f in "dnt"])
+        assert dicts(Collection(docs).vectorize_all(spec)) == {
+            1: {0: 172800000, 1: 90123456, 2: 1500},
+            2: {0: -86400000, 1: -500},
+        }
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_slots_of_a_field_listed_twice(spark):
     docs = spark.createDataFrame([(1, [5, 6, 7], "a")], "doc_id int, n array<int>, t string")
     spec = FeatureSpec.from_spec(
