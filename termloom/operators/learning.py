@@ -72,16 +72,24 @@ def training_frame(
     spec: FeatureSpec,
     key: str = "doc_id",
     mapping: FieldMapping = FieldMapping(),
+    labels: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """``(key, features, label)``: the last column of ``spec`` is the target, the others are data."""
+    """``(key, features, label)``: the last column of ``spec`` is the target, the others are data.
+
+    ``labels`` holds the target if it is not in ``df``; it meets finished vectors, not text.
+    """
     label = spec.features[-1]
     if label.slot is None:
         raise ValueError("the last column, the label, must come from a numeric field")
-    features = spec.head(spec.n_cols - 1)
-    target = _slot(df, label.field, label.slot, options.get("numeric_mode", "keep"))
-    with_label = df.withColumn("label", target)
-    return with_ml_vector(with_label, features, mapping, **options).select(key, "features", "label")
+    features, mode = spec.head(spec.n_cols - 1), options.get("numeric_mode", "keep")
+    if labels is None:
+        df = df.withColumn("label", _slot(df, label.field, label.slot, mode))
+        vectors = with_ml_vector(df, features, mapping, **options)
+        return vectors.select(key, "features", "label")
+    target = labels.select(key, _slot(labels, label.field, label.slot, mode).alias("label"))
+    vectors = with_ml_vector(df, features, mapping, **options).select(key, "features")
+    return vectors.join(target, key)
 
 
 def hash_split(

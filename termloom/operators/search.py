@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +22,22 @@ TOP_K_ROWS = 10_000
 
 @dataclass(frozen=True)
 class Collection:
-    """A frame of documents with its key columns and the way its string fields become terms."""
+    """A frame of documents with its key columns and the way its string fields become terms.
+
+    ``side`` may hold further fields of the same documents, such as labels; a document counts if
+    it is in both.  Its text is reduced to cells before the two are joined, so that only slim
+    rows move.
+    """
 
     df: DataFrame
     key: tuple[str, ...] = ("doc_id",)
     mapping: FieldMapping = field(default_factory=FieldMapping)
+    side: DataFrame | None = None
+
+    @property
+    def whole(self) -> DataFrame:
+        """All fields in one frame; columns that are not asked for are not read."""
+        return self.df if self.side is None else self.df.join(self.side, list(self.key))
 
     def hits(
         self,
@@ -39,7 +51,7 @@ class Collection:
         Entries of ``sort`` are ``"field:asc"``, ``"field:desc"`` or a column (ascending); the
         key always comes last, so that the order is total.
         """
-        found = matching(self.df, query, self.mapping)
+        found = matching(self.whole, query, self.mapping)
         extra, order = [], []
         for number, entry in enumerate(sort or []):
             name = f"__sort{number}"
@@ -71,7 +83,7 @@ class Collection:
         if sparse_format.lower() not in forms:
             raise ValueError(f"sparse format {sparse_format!r} is neither 'dict' nor 'coo'")
         same = F.col(key) == F.lit(doc_id)
-        cells = self._cells(self.df.where(same), spec, options)
+        cells = self._vectors(spec, [], options, lambda table: table.where(same))
         kind = self.df.schema[key].dataType
         matrix = F.first(forms[sparse_format.lower()]).alias("matrix")
         return cells.agg(matrix, F.count("*").alias("n")).select(
@@ -100,9 +112,10 @@ class Collection:
         page = page_of(hits, order, from_, size).select(*self.key, "row")
         # A page within TOP_K_ROWS is small by construction; a larger one is an ordinary join.
         near = F.broadcast(page) if from_ + size <= TOP_K_ROWS else page
-        vectors = self._cells(self.df.join(near, list(self.key)), spec, options)
-        kept = dict.fromkeys([*self.key, "row", *(fields or [])])
-        return Matrix(vectors.select(*kept, "cells"), page, spec, self.key, (F.col("row"),))
+        docs = self._vectors(
+            spec, ["row", *(fields or [])], options, lambda table: table.join(near, list(self.key))
+        )
+        return Matrix(docs, page, spec, self.key, (F.col("row"),))
 
     def vectorize_all(
         self,
@@ -115,9 +128,8 @@ class Collection:
     ) -> Matrix:
         """The matrix of every document that matches."""
         hits, order = self.hits(query, sort)
-        vectors = self._cells(matching(self.df, query, self.mapping), spec, options)
-        kept = dict.fromkeys([*self.key, *(fields or [])])
-        return Matrix(vectors.select(*kept, "cells"), hits, spec, self.key, tuple(order))
+        docs = self._vectors(spec, fields or [], options, self._matching(query))
+        return Matrix(docs, hits, spec, self.key, tuple(order))
 
     def scroll(self, spec: FeatureSpec, size: int, query=None, **options) -> Matrix:
         """The whole result in result order, cut into batches of ``size`` documents."""
@@ -125,36 +137,70 @@ class Collection:
         return self.vectorize_all(spec, query, **options).batches(size, cutoff)
 
     def scan(self, spec: FeatureSpec, size: int, query=None, **options) -> DataFrame:
-        """Full export in no particular order, without moving anything.
+        """Full export in no particular order, without moving anything (but to meet ``side``).
 
         Every task cuts its own documents into batches of at most ``size``.  Result: the kept
         fields with ``batch_id`` (unique, not consecutive), ``row_in_batch`` and ``cells``.
         """
         fields = options.pop("fields", None) or []
-        vectors = self._cells(matching(self.df, query, self.mapping), spec, options)
-        kept = dict.fromkeys([*self.key, *fields])
+        docs = self._vectors(spec, fields, options, self._matching(query))
         at = F.monotonically_increasing_id()
         inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
         row = F.pmod(inside, F.lit(size))
         return (
-            vectors.select(*kept, "cells")
-            .withColumn("__at", at)
+            docs.withColumn("__at", at)
             .withColumn("batch_id", F.col("__at") - row)
             .withColumn("row_in_batch", row)
             .drop("__at")
         )
 
-    def _cells(self, docs: DataFrame, spec: FeatureSpec, options: dict) -> DataFrame:
+    def _matching(self, query) -> Callable[[DataFrame], DataFrame]:
+        if query is None:
+            return lambda table: table
+        if self.side is None:
+            return lambda table: matching(table, query, self.mapping)
+        # The query may ask for fields of both tables: its answer chooses among the documents.
+        keys = list(self.key)
+        chosen = matching(self.whole, query, self.mapping).select(*keys)
+        return lambda table: table.join(chosen, keys, "left_semi") if table is self.df else table
+
+    def _vectors(
+        self,
+        spec: FeatureSpec,
+        fields: list[str],
+        options: dict,
+        choose: Callable[[DataFrame], DataFrame],
+    ) -> DataFrame:
+        """Key, ``fields`` and ``cells`` of the chosen documents."""
+        options, keys = dict(options), list(self.key)
+        strict = options.pop("on_missing", "ignore") == "error"
+        missing = [f.field for f in spec.features if f.field not in self.whole.columns]
+        if missing and strict:
+            raise ValueError(f"the documents have no field {missing[0]!r}")
         # Statistics describe the whole collection, not the hits of a query.
-        corpus = options.get("corpus", self.df)
-        rest = {k: v for k, v in options.items() if k != "corpus"}
-        key = list(self.key)
-        return with_cells(docs, spec, key=key, mapping=self.mapping, corpus=corpus, **rest)
+        corpus = options.pop("corpus", None)
+        parts, blocks, taken = [], [], set(keys)
+        for number, table in enumerate(t for t in (self.df, self.side) if t is not None):
+            source = table if corpus is None else corpus
+            chosen = choose(table)
+            own = [f for f in dict.fromkeys(fields) if f in chosen.columns and f not in taken]
+            taken.update(own)
+            block = f"__cells{number}"
+            vectors = with_cells(
+                chosen, spec, key=keys, mapping=self.mapping, corpus=source, out=block, **options
+            )
+            parts.append(vectors.select(*keys, *own, block))
+            blocks.append(F.col(block))
+        if len(parts) == 1:
+            docs, cells = parts[0], blocks[0]
+        else:
+            docs, cells = parts[0].join(parts[1], keys), F.sort_array(F.concat(*blocks))
+        return docs.select(*dict.fromkeys([*keys, *fields]), cells.alias("cells"))
 
     # -- other answers -------------------------------------------------------------------------
     def count(self, query=None) -> DataFrame:
         """Number of matching documents alone."""
-        return matching(self.df, query, self.mapping).agg(F.count("*").alias("n_docs"))
+        return matching(self.whole, query, self.mapping).agg(F.count("*").alias("n_docs"))
 
     def scored(self, field: str, terms: list[str]) -> DataFrame:
         """Add ``score``: the sum of tf-idf over the query terms, null without any of them.

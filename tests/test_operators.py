@@ -334,3 +334,72 @@ def test_stream_equals_batch(spark, small, tmp_path):
     assert values(written) == values(whole)
     with pytest.raises(ValueError, match="vectorize_batches"):
         live.vectorize_stream(stream, counted)
+
+
+# -- fields in a table of their own -------------------------------------------------------------------
+@pytest.fixture(scope="module")
+def sided(spark, docs):
+    rows = [(1, 0, "a"), (2, 1, "b"), (3, 1, "a"), (5, 0, None), (9, 1, "a")]
+    side = spark.createDataFrame(rows, "doc_id int, label int, tag string")
+    joined = Collection(docs.df.join(side, "doc_id"), mapping=docs.mapping)
+    return Collection(docs.df, mapping=docs.mapping, side=side), joined
+
+
+SIDED = FeatureSpec.from_spec(
+    [
+        {"field": "tag", "span": ["a", "b"]},
+        {"field": "text", "span": ["cat", "chat", "dogs"]},
+        {"field": "label", "span": 1},
+        {"field": "n", "span": 1},
+    ]
+)
+
+
+@pytest.mark.parametrize("query", [None, term("label", 1), term("text", "cat"), term("tag", "a")])
+def test_side_table_equals_one_joined_frame(sided, query):
+    apart, joined = sided
+    rows = lambda frame: sorted(tuple(r) for r in frame.collect())
+    one = apart.vectorize_all(SIDED, query, fields=["tag", "lang"])
+    two = joined.vectorize_all(SIDED, query, fields=["tag", "lang"])
+    assert one.docs.columns == two.docs.columns == ["doc_id", "tag", "lang", "cells"]
+    assert rows(one.to_coo()) == rows(two.to_coo())
+    assert tuple(one.shape().first()) == tuple(two.shape().first())
+    options = {"sort": ["label:desc", "n:asc"], "from_": 1, "size": 2, "fields": ["label"]}
+    one, two = (c.search_vectorize(SIDED, query, **options).docs for c in sided)
+    assert rows(one.drop("cells")) == rows(two.drop("cells"))
+    assert apart.count(query).first() == joined.count(query).first()
+
+
+def test_one_document_with_a_side_table(sided):
+    for doc_id in (2, 4, 9):
+        one, two = (c.vectorize(SIDED, doc_id).first() for c in sided)
+        assert one == two and one["found"] == (doc_id == 2)
+
+
+def test_fields_of_a_side_table_are_not_missing(sided):
+    apart, _ = sided
+    assert apart.vectorize_all(SIDED, on_missing="error").docs.count() == 4
+    with pytest.raises(ValueError, match="nowhere"):
+        apart.vectorize_all(SIDED.extend([{"field": "nowhere", "span": 1}]), on_missing="error")
+
+
+def test_text_is_not_moved_to_meet_a_side_table(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    spec = FeatureSpec.from_spec([{"field": "text", "span": ["the"]}, {"field": "toxic", "span": 1}])
+    found = Collection(documents, side=labels).vectorize_all(spec).to_dict()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Join", 1)
+    assert "regexp_extract_all" not in above and "regexp_extract_all" in below
+
+
+def test_labels_may_meet_finished_vectors(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "b"), (3, "c")], "doc_id int, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id int, label int")
+    spec = FeatureSpec.from_spec([{"field": "text", "span": ["a", "b"]}, {"field": "label", "span": 1}])
+    rows = learning.training_frame(docs, spec, labels=labels).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["features"].toArray().tolist(), r["label"]) for r in rows] == [
+        (1, [1, 1], 1), (2, [0, 1], 0),
+    ]
+    whole = learning.training_frame(docs.join(labels, "doc_id"), spec).orderBy("doc_id").collect()
+    assert [tuple(r) for r in rows] == [tuple(r) for r in whole]

@@ -214,6 +214,10 @@ UNION ALL {chosen("documents", "lang", ["fr"], N)}"""
     sql["tf_idf"] = f"""WITH {base()}, w AS ({cells(f"tf.tf * {idf}")})
 SELECT doc_id, col, round(data, 6) AS data FROM w WHERE data <> 0"""
     # retrieval
+    sql["toxic_rows"] = f"{MIXED} SELECT cell.* FROM cell JOIN labels USING (doc_id) WHERE toxic = 1"
+    sql["toxic_matrix"] = f"""{MIXED},
+page AS (SELECT doc_id, lang, quality, row_number() OVER (ORDER BY quality DESC, n_chars, doc_id) - 1 AS row FROM docs WHERE toxic = 1)
+SELECT doc_id, row, lang, quality, {JSON} AS matrix FROM page LEFT JOIN cell USING (doc_id) WHERE row < 20 GROUP BY 1, 2, 3, 4"""
     sql["one_document"] = f"""{TF}, mine AS (SELECT * FROM cell WHERE doc_id = 7
 UNION ALL {number("n_chars", N, "documents")} AND doc_id = 7)
 SELECT CAST(7 AS BIGINT) AS doc_id, true AS found, CAST(1 AS INTEGER) AS n_rows, CAST({N + 1} AS INTEGER) AS n_cols, {JSON} AS matrix FROM mine"""

@@ -77,7 +77,8 @@ def collection(spark: SparkSession, sf_dir: str) -> Collection:
 
 
 def labelled_collection(spark: SparkSession, sf_dir: str) -> Collection:
-    return Collection(labelled(spark, sf_dir), mapping=KEYWORDS)
+    labels = table(spark, sf_dir, "labels")
+    return Collection(documents(spark, sf_dir), mapping=KEYWORDS, side=labels)
 
 
 def mixed() -> FeatureSpec:
@@ -264,7 +265,8 @@ def vec_row(spark, sf_dir):
 @query
 def vec_set_value(spark, sf_dir):
     spec = mixed().set_value("text", "binary").set_value("lang", "doc_freq")
-    return by_key(labelled_collection(spark, sf_dir).vectorize_all(spec))
+    # The frequencies are those of the labelled documents.
+    return by_key(Collection(labelled(spark, sf_dir), mapping=KEYWORDS).vectorize_all(spec))
 
 
 @query
@@ -281,6 +283,21 @@ def tf_idf(spark, sf_dir):
 
 
 # -- retrieval ------------------------------------------------------------------------------------------
+@query
+def toxic_matrix(spark, sf_dir):
+    """A query on the side table, a page, and a field of each table."""
+    found = labelled_collection(spark, sf_dir).search_vectorize(
+        mixed(), term("toxic", 1), sort=["quality:desc", "n_chars:asc"], size=20,
+        fields=["lang", "quality"],
+    )
+    return found.to_dict().withColumn("matrix", F.to_json("matrix"))
+
+
+@query
+def toxic_rows(spark, sf_dir):
+    return by_key(labelled_collection(spark, sf_dir).vectorize_all(mixed(), term("toxic", 1)))
+
+
 @query
 def one_document(spark, sf_dir):
     found = Collection(table(spark, sf_dir, "documents"), mapping=KEYWORDS).vectorize(
@@ -604,7 +621,7 @@ def labelled_matrix(spark, sf_dir):
             {"field": "toxic", "span": 1},
         ]
     )
-    return Collection(docs, mapping=KEYWORDS).vectorize_all(spec).to_coo()
+    return labelled_collection(spark, sf_dir).vectorize_all(spec).to_coo()
 
 
 # -- learning -------------------------------------------------------------------------------------------
@@ -625,7 +642,8 @@ def _training_spec(spark, sf_dir, size):
 def _predictions(spark, sf_dir):
     spec = _training_spec(spark, sf_dir, 100)
     # Training reads its rows several times and the test set once more: settle them.
-    frame = settle(learning.training_frame(labelled(spark, sf_dir), spec, mapping=KEYWORDS))
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    frame = settle(learning.training_frame(docs, spec, mapping=KEYWORDS, labels=labels))
     train, test = learning.train_test_split(frame, seed=SEED)
     model = learning.train_linear_svc(train, maxIter=10)
     return learning.predict(model, test)
