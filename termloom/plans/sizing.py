@@ -31,6 +31,15 @@ def plan_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a frame is surely below the broadcast limit, by Catalyst's estimate.
+
+    Stored columns are compressed, hence the margin.
+    """
+    size = plan_bytes(df)
+    return size is not None and size * 8 <= broadcast_limit(df.sparkSession)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash a *small* input over all cores.
 

@@ -387,10 +387,21 @@ def test_text_is_not_moved_to_meet_a_side_table(spark, small):
     documents = spark.read.parquet(f"{small}/documents.parquet")
     labels = spark.read.parquet(f"{small}/labels.parquet")
     spec = FeatureSpec.from_spec([{"field": "text", "span": ["the"]}, {"field": "toxic", "span": 1}])
-    found = Collection(documents, side=labels).vectorize_all(spec).to_dict()
-    plan = found._jdf.queryExecution().executedPlan().toString()
+    found = Collection(documents, side=labels)
+    near = found.vectorize_all(spec).to_dict()
+    spark.conf.set("termloom.broadcast.limit", "2000")
+    try:
+        apart = found.vectorize_all(spec).to_dict()
+    finally:
+        spark.conf.unset("termloom.broadcast.limit")
+    plan = apart._jdf.queryExecution().executedPlan().toString()
     above, below = plan.split("Join", 1)
     assert "regexp_extract_all" not in above and "regexp_extract_all" in below
+    assert "LeftSemi" not in plan
+    # A small side table leaves documents out before their text is read through.
+    assert "LeftSemi" in near._jdf.queryExecution().executedPlan().toString()
+    pairs = lambda frame: {r["doc_id"]: r["matrix"] for r in frame.collect()}
+    assert pairs(near) == pairs(apart)
 
 
 def test_labels_may_meet_finished_vectors(spark):
