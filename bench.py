@@ -19,7 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from termloom import Collection, FeatureSpec  # noqa: E402
 from termloom.operators import significance, term_stats  # noqa: E402
 from termloom.session import local_session  # noqa: E402
-from workload.queries import KEYWORDS, REGISTRY, documents, labelled  # noqa: E402
+from workload.queries import KEYWORDS, REGISTRY, documents, labelled, table  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -68,7 +68,7 @@ def main() -> None:
     actions["scan_600"] = lambda: run(Collection(docs, mapping=KEYWORDS).scan(spec, SCAN_SIZE))
     actions[f"significant_by_class_{PER_CLASS}"] = lambda: run(
         significance.significant_terms_by_class(
-            labelled(spark, SF_DIR), "toxic", "text", PER_CLASS
+            docs, "toxic", "text", PER_CLASS, side=table(spark, SF_DIR, "labels")
         )
     )
     for name in REGISTERED:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.text import FieldMapping
 from ..functions.values import cell_value, is_numeric
 from ..plans.cells import dictionary_vectors, known_statistics
+from ..plans.sizing import kept_by
 from ..plans.spec import FeatureSpec
 
 
@@ -28,12 +29,12 @@ def with_ml_vector(
     Fields become blocks of an assembled vector; if a field's columns are not side by side in
     the specification, the blocks are put into its order afterwards.
     """
-    given, parts, cols = df.columns, [], []
+    known, given, parts, cols = df, df.columns, [], []
     for number, (field, (terms, places)) in enumerate(spec.term_columns().items()):
         option, part = spec.option(field), f"__part{number}"
         df = dictionary_vectors(df, field, terms, mapping, binary=option != "term_freq", out=part)
         if option in ("doc_freq", "ttf"):
-            source = df if corpus is None else corpus
+            source = known if corpus is None else corpus
             weights = Vectors.dense(known_statistics(source, field, terms, mapping, option))
             scaled = ElementwiseProduct(scalingVec=weights, inputCol=part, outputCol=f"{part}s")
             df, part = scaled.transform(df), f"{part}s"
@@ -88,7 +89,8 @@ def training_frame(
         vectors = with_ml_vector(df, features, mapping, **options)
         return vectors.select(key, "features", "label")
     target = labels.select(key, _slot(labels, label.field, label.slot, mode).alias("label"))
-    vectors = with_ml_vector(df, features, mapping, **options).select(key, "features")
+    docs = kept_by(df, target, [key])
+    vectors = with_ml_vector(docs, features, mapping, **options).select(key, "features")
     return vectors.join(target, key)
 
 

@@ -13,7 +13,7 @@ from ..functions.scoring import inverse_doc_freq
 from ..functions.text import FieldMapping, once
 from ..plans.cells import constant_array, count_terms, known_statistics, with_cells
 from ..plans.numbering import row_index, top_per_group
-from ..plans.sizing import fits_broadcast
+from ..plans.sizing import kept_by
 from ..plans.spec import FeatureSpec
 from .matrix import Matrix
 
@@ -184,9 +184,8 @@ class Collection:
         for number, table in enumerate(t for t in (self.df, self.side) if t is not None):
             source = table if corpus is None else corpus
             chosen = choose(table)
-            if table is self.df and self.side is not None and fits_broadcast(self.side):
-                # Documents that a small side table leaves out need not be analyzed.
-                chosen = chosen.join(F.broadcast(self.side.select(*keys)), keys, "left_semi")
+            if table is self.df and self.side is not None:
+                chosen = kept_by(chosen, self.side, keys)
             own = [f for f in dict.fromkeys(fields) if f in chosen.columns and f not in taken]
             taken.update(own)
             block = f"__cells{number}"

@@ -9,15 +9,25 @@ from ..functions.conditions import resolve
 from ..functions.scoring import significance
 from ..functions.text import FieldMapping
 from ..plans.numbering import top_per_group
-from ..plans.sizing import salted_join
+from ..plans.sizing import kept_by, salted_join
 
 MIN_DOC_COUNT = 3
 
 
-def _distinct_terms(df: DataFrame, field: str, mapping: FieldMapping, *marks) -> DataFrame:
-    distinct = F.array_distinct(mapping.tokens(df, field))
+def _with_terms(
+    df: DataFrame, field: str, mapping: FieldMapping, side: DataFrame | None, key: list[str] | str
+) -> DataFrame:
+    """Distinct terms of each document; ``side`` is joined to them, not to the text."""
+    keys = [key] if isinstance(key, str) else list(key)
+    docs = df if side is None else kept_by(df, side, keys)
+    docs = docs.withColumn("__terms", F.array_distinct(mapping.tokens(df, field)))
+    return docs if side is None else docs.join(side, keys)
+
+
+def _exploded(docs: DataFrame, *marks) -> DataFrame:
     # The outer form keeps Spark from repeating the whole analysis in a pushed-down size filter.
-    return df.select(*marks, F.explode_outer(distinct).alias("key")).where(F.col("key").isNotNull())
+    terms = docs.select(*marks, F.explode_outer("__terms").alias("key"))
+    return terms.where(F.col("key").isNotNull())
 
 
 def significant_terms(
@@ -27,21 +37,25 @@ def significant_terms(
     size: int = 10,
     min_doc_count: int = MIN_DOC_COUNT,
     mapping: FieldMapping = FieldMapping(),
+    side: DataFrame | None = None,
+    key: list[str] | str = "doc_id",
 ) -> DataFrame:
     """``(key, doc_count, score, bg_count)`` of the terms more usual in the foreground.
 
     ``foreground`` is a condition on ``df``; the background is all of ``df``.  Both counts come
-    from one pass over the text and one shuffle of partial sums.
+    from one pass over the text and one shuffle of partial sums.  ``side`` may hold further
+    fields of the same documents, found by ``key``.
     """
-    inside = F.coalesce(resolve(foreground, df, mapping), F.lit(False))
+    docs = _with_terms(df, field, mapping, side, key)
+    inside = F.coalesce(resolve(foreground, docs, mapping), F.lit(False))
     one = inside.cast("bigint")
     counts = (
-        _distinct_terms(df, field, mapping, one.alias("inside"))
+        _exploded(docs, one.alias("inside"))
         .groupBy("key")
         .agg(F.sum("inside").alias("doc_count"), F.count("*").alias("bg_count"))
         .where(F.col("doc_count") >= min_doc_count)
     )
-    sizes = df.agg(F.struct(F.sum(one).alias("fg"), F.count("*").alias("bg"))).scalar()
+    sizes = docs.agg(F.struct(F.sum(one).alias("fg"), F.count("*").alias("bg"))).scalar()
     scored = counts.withColumn(
         "score", significance(F.col("doc_count"), sizes["fg"], F.col("bg_count"), sizes["bg"])
     )
@@ -56,14 +70,17 @@ def significant_terms_by_class(
     size: int = 10,
     min_doc_count: int = MIN_DOC_COUNT,
     mapping: FieldMapping = FieldMapping(),
+    side: DataFrame | None = None,
+    key: list[str] | str = "doc_id",
 ) -> DataFrame:
     """The same for each value of ``class_field`` in one pass, with ``rank`` counting from 1.
 
     Documents without a class belong to the background only.
     """
     label = F.col(class_field).alias("class")
+    docs = _with_terms(df, field, mapping, side, key)
     per_class = (
-        _distinct_terms(df, field, mapping, label)
+        _exploded(docs, label)
         .groupBy("key", "class")
         .agg(F.count("*").alias("doc_count"))
     )
@@ -72,10 +89,10 @@ def significant_terms_by_class(
     counts = per_class.withColumn("bg_count", F.sum("doc_count").over(same_term)).where(
         F.col("class").isNotNull() & (F.col("doc_count") >= min_doc_count)
     )
-    sizes = df.where(F.col(class_field).isNotNull()).groupBy(label).agg(
+    sizes = docs.where(F.col(class_field).isNotNull()).groupBy(label).agg(
         F.count("*").alias("fg_size")
     )
-    bg_size = df.agg(F.count("*")).scalar()
+    bg_size = docs.agg(F.count("*")).scalar()
     scored = (
         salted_join(counts, sizes, ["class"], F.col("key"))
         .withColumn(

@@ -40,6 +40,16 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size * 8 <= broadcast_limit(df.sparkSession)
 
 
+def kept_by(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Leave out rows without a partner in a small ``side``, before any costly work on them.
+
+    A large ``side`` changes nothing here: the join that follows drops those rows.
+    """
+    if not fits_broadcast(side):
+        return df
+    return df.join(F.broadcast(side.select(*keys)), keys, "left_semi")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash a *small* input over all cores.
 

@@ -80,6 +80,26 @@ def test_significant_terms(classed):
     assert chosen.significant_terms(classed, F.col("label") == "none", "text", 5).count() == 0
 
 
+@pytest.mark.parametrize("limit", [None, "0"])
+def test_classes_in_a_side_table(spark, classed, limit):
+    labels = classed.select("doc_id", "label").where("doc_id < 20 or doc_id = 30")
+    together = classed.drop("label").join(labels, "doc_id")
+    apart = classed.drop("label")
+    toxic = F.col("label") == "neg"
+    rows = lambda frame: sorted(tuple(r) for r in frame.collect())
+    if limit:
+        spark.conf.set("termloom.broadcast.limit", limit)
+    try:
+        one = chosen.significant_terms(apart, toxic, "text", 5, side=labels)
+        two = chosen.significant_terms(together, toxic, "text", 5)
+        assert rows(one) == rows(two) != []
+        one = chosen.significant_terms_by_class(apart, "label", "text", 5, side=labels)
+        two = chosen.significant_terms_by_class(together, "label", "text", 5)
+        assert rows(one) == rows(two) != []
+    finally:
+        spark.conf.unset("termloom.broadcast.limit")
+
+
 def test_rare_terms_can_be_left_out(classed):
     found = chosen.significant_terms(classed, F.col("label") == "neg", "text", 5, min_doc_count=11)
     assert found.count() == 0

@@ -576,14 +576,18 @@ def written_json(spark, sf_dir):
 # -- feature selection --------------------------------------------------------------------------------------
 @query
 def significant_terms(spark, sf_dir):
-    docs = labelled(spark, sf_dir)
-    return significance.significant_terms(docs, F.col("toxic") == 1, "text", N_SIGNIFICANT)
+    return _toxic_terms(spark, sf_dir)
 
 
-def _by_class(spark, sf_dir):
-    return significance.significant_terms_by_class(
-        labelled(spark, sf_dir), "toxic", "text", N_SIGNIFICANT
-    )
+def _toxic_terms(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    toxic = F.col("toxic") == 1
+    return significance.significant_terms(docs, toxic, "text", N_SIGNIFICANT, side=labels)
+
+
+def _by_class(spark, sf_dir, size=N_SIGNIFICANT):
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    return significance.significant_terms_by_class(docs, "toxic", "text", size, side=labels)
 
 
 @query
@@ -611,9 +615,7 @@ def group_count(spark, sf_dir):
 @query
 def labelled_matrix(spark, sf_dir):
     """From the corpus to a labelled matrix: significant terms, specification, COO."""
-    docs = labelled(spark, sf_dir)
-    best = significance.significant_terms(docs, F.col("toxic") == 1, "text", N_SIGNIFICANT)
-    span = [r["key"] for r in best.collect()]
+    span = [r["key"] for r in _toxic_terms(spark, sf_dir).collect()]
     spec = FeatureSpec.from_spec(
         [
             {"field": "text", "span": span, "value": "binary"},
@@ -632,7 +634,7 @@ def hash_split(spark, sf_dir):
 
 
 def _training_spec(spark, sf_dir, size):
-    ranked = significance.significant_terms_by_class(labelled(spark, sf_dir), "toxic", "text", size)
+    ranked = _by_class(spark, sf_dir, size)
     span = significance.feature_list(significance.feature_union(ranked, size))
     return FeatureSpec.from_spec(
         [{"field": "text", "span": span, "value": "binary"}, {"field": "toxic", "span": 1}]
