@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding
+from . import bpe, sharding, simhash
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,8 @@ def op6_rendezvous_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rows = sharding.assign(docs, shards, overhead=RECORD_OVERHEAD, new_shard=(N_SHARDS, 1.0))
     return rows.withColumn("law", F.lit("key"))
+
+
+@query
+def op10_simhash_components(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

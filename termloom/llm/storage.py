@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,17 @@ from termloom.plans.sizing import scratch_dir
 LAST_ID = (1 << 63) - 1
 
 
+def visible(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed, as in a working copy."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    visible(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
