@@ -25,3 +25,18 @@ FROM sized, steps
 """
 
 ORACLE: dict[str, str] = {"op6_rendezvous_shards": OP6}
+
+OP4 = r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+     keyed AS (SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12)
+         || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+     firsts AS (SELECT k, min(doc_id) AS first_doc FROM keyed WHERE length(k) >= 10 GROUP BY k
+         HAVING count(DISTINCT doc_id) > 1),
+     marked AS (SELECT doc_id, pos, line, first_doc IS NOT NULL AND doc_id > first_doc AS gone
+         FROM keyed LEFT JOIN firsts USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+ORACLE["op4_line_dedup"] = OP4

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, simhash
+from . import bpe, line_dedup, sharding, simhash
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,8 @@ def op6_rendezvous_shards(spark, sf_dir):
 @query
 def op10_simhash_components(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
