@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, sharding, simhash
+from . import bpe, language_id, line_dedup, sharding, simhash
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,16 @@ def op10_simhash_components(spark, sf_dir):
 @query
 def op4_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def remainder(by: int) -> Column:
+    """What the CRC-32 of an id, as text, leaves; a null id is empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % by
+
+
+@query
+def op1_ppm_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs, remainder(3) != 1)
+    found = language_id.predict(docs, model)
+    return found.withColumn("held_out", remainder(3) == 1)
