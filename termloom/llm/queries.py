@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, line_dedup, sharding, simhash
+from . import bpe, language_id, line_dedup, quality_rules, sharding, simhash
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,11 @@ def op1_ppm_language(spark, sf_dir):
     model = language_id.train(docs, remainder(3) != 1)
     found = language_id.predict(docs, model)
     return found.withColumn("held_out", remainder(3) == 1)
+
+
+@query
+def op5_adaptive_quality(spark, sf_dir):
+    judged = quality_rules.filter_quality(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
