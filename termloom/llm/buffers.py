@@ -28,7 +28,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     if column.null_count:
         column = pc.fill_null(column, "")
-    column = column.cast(pa.large_string())
+    return offsets_of(column.cast(pa.large_string()))
+
+
+def utf8_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same for a column of bytes without nulls."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return offsets_of(column.cast(pa.large_binary()))
+
+
+def offsets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     n = len(column)
     if n == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

@@ -40,3 +40,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 ORACLE["op4_line_dedup"] = OP4
+
+OP9 = """
+WITH texts AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     windows AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS w
+         FROM (SELECT doc_id, h, unnest(range(greatest(n - 99, 0))) AS p FROM texts)),
+     later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS k
+         FROM windows) WHERE k > 1),
+     edges AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM later),
+     runs AS (SELECT doc_id, p, sum(CASE WHEN gap IS NULL OR gap > 100 THEN 1 ELSE 0 END)
+         OVER (PARTITION BY doc_id ORDER BY p) AS run FROM edges),
+     spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM runs GROUP BY doc_id, run),
+     cut AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS kept_from FROM spans),
+     gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+         list({'a': kept_from, 'b': a} ORDER BY a) AS kept FROM cut GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE list_aggregate(list_transform(kept,
+           lambda x: substr(h, 2 * x.a + 1, 2 * (x.b - x.a))), 'string_agg', '') || substr(h, 2 * last + 1) END))
+       AS kept_sha256
+FROM texts LEFT JOIN gone USING (doc_id)
+"""
+ORACLE["op9_repeated_strings"] = OP9
