@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, line_dedup, quality_rules, sharding, simhash, suffix_dedup
+from . import (
+    bpe,
+    language_id,
+    line_dedup,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+)
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +80,10 @@ def op5_adaptive_quality(spark, sf_dir):
 @query
 def op9_repeated_strings(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = quality_classifier.train(docs, labels, "quality", remainder(5) != 0)
+    return quality_classifier.predict(docs, net).withColumn("held_out", remainder(5) == 0)
