@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    decontaminate,
     language_id,
+    license_scan,
     line_dedup,
     quality_classifier,
     quality_rules,
@@ -87,3 +89,13 @@ def op7_quality_classifier(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     net = quality_classifier.train(docs, labels, "quality", remainder(5) != 0)
     return quality_classifier.predict(docs, net).withColumn("held_out", remainder(5) == 0)
+
+
+@query
+def op3_benchmark_leaks(spark, sf_dir):
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
