@@ -2,7 +2,7 @@
 
 Text and templates are normalised to words: runs of letters and digits, A-Z lower-cased.  A passage
 of a document matches a template if 2 * common / (its bigrams + the template's) reaches the
-threshold, bigrams counted once each.  That bounds how much smaller or larger than the template a
+threshold, where a bigram is common as often as both have it.  That bounds how much smaller or larger than the template a
 passage may be, and how many of the template's bigrams the document must have at all; templates out
 of these bounds are left out before any passage is compared.
 """
@@ -39,21 +39,23 @@ class TemplateIndex:
     def __init__(self, templates: Sequence[tuple[str, str]], threshold: float = THRESHOLD):
         self.names = [name for name, _ in templates]
         self.threshold = threshold
-        sets = []
+        bags = []
         for _, text in templates:
             hashes, row, _, _ = words(*buffers.utf8(pa.array([text])))
-            sets.append(np.unique(_bigrams(hashes, row)[0]))
-        self.sizes = np.array([len(s) for s in sets])
-        self.known = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]))
-        self.holds = np.array([np.isin(self.known, s) for s in sets]).reshape(len(sets), len(self.known))
+            bags.append(_bigrams(hashes, row)[0])
+        self.sizes = np.array([len(b) for b in bags], np.int64)
+        self.known = np.unique(np.concatenate([*bags, np.zeros(0, np.uint64)]))
+        width = len(self.known)
+        # how often each template has each bigram
+        self.counts = np.array([np.bincount(np.searchsorted(self.known, b), minlength=width) for b in bags], np.int64)
+        self.counts = self.counts.reshape(len(bags), width)
         self.likely = np.zeros(1 << _FILTER_BITS, bool)
         self.likely[self.known >> np.uint64(64 - _FILTER_BITS)] = True
 
-    def bounds(self, template: int) -> tuple[int, int, int]:
-        """Least and most distinct bigrams of a passage, and how many it must share at least."""
+    def bounds(self, template: int) -> tuple[int, int]:
+        """Least and most bigrams of a passage; it must also share at least the least."""
         size, t = int(self.sizes[template]), self.threshold
-        least = max(1, int(np.ceil(t / (2 - t) * size - 1e-9)))
-        return least, int((2 - t) / t * size + 1e-9), least
+        return max(1, int(np.ceil(t / (2 - t) * size - 1e-9))), int((2 - t) / t * size + 1e-9)
 
     def locate(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of bigrams that some template has, and their numbers."""
@@ -63,34 +65,30 @@ class TemplateIndex:
         return at[same], number[same]
 
 
-def _best_passage(index: TemplateIndex, template: int, places: np.ndarray, grams: np.ndarray):
+def _best_passage(index: TemplateIndex, template: int, places: np.ndarray, numbers: np.ndarray):
     """The best passage that begins and ends with a bigram of the template: Dice, first and last place.
 
-    ``places`` are those of the template's bigrams.  A passage is given up once it has more other
-    bigrams than the bounds allow, so the work is bounded by the template's size.
+    ``places`` are those of the template's bigrams in the document, ``numbers`` says which.  No
+    passage longer than the bound is looked at, so the work per place is limited by the template.
     """
-    size = int(index.sizes[template])
-    least, most, _ = index.bounds(template)
-    best = None
-    for k, start in enumerate(places.tolist()):
-        shared: set[int] = set()
-        other: set[int] = set()
-        before = start
-        for place in places[k:].tolist():
-            if place - before - 1 + len(shared) > 16 * most:
-                break
-            other.update(grams[before + 1 : place].tolist())
-            shared.add(int(grams[place]))
-            before = place
-            total = len(shared) + len(other)
-            if total > most:
-                break
-            dice = 2 * len(shared) / (total + size)
-            if total >= least and dice >= index.threshold and (best is None or dice > best[0]):
-                best = (dice, start, place)
-        if best is not None and best[0] == 1.0:
+    size, counts = int(index.sizes[template]), index.counts[template]
+    least, most = index.bounds(template)
+    best = (0.0, 0, 0)
+    stops = np.searchsorted(places, places + most)
+    places, numbers = places.tolist(), numbers.tolist()
+    for k, start in enumerate(places):
+        used: dict[int, int] = {}
+        common = 0
+        for j in range(k, stops[k]):
+            times = used[numbers[j]] = used.get(numbers[j], 0) + 1
+            common += times <= counts[numbers[j]]
+            total = places[j] - start + 1
+            dice = 2 * common / (total + size)
+            if total >= least and dice > best[0]:
+                best = (dice, start, places[j])
+        if best[0] == 1.0:
             break
-    return best
+    return best if best[0] >= index.threshold else None
 
 
 def scan_texts(index: TemplateIndex, data: np.ndarray, at: np.ndarray) -> list[tuple[int, str, float, int, int]]:
@@ -104,12 +102,12 @@ def scan_texts(index: TemplateIndex, data: np.ndarray, at: np.ndarray) -> list[t
     for a, b in zip(heads, [*heads[1:], len(where)]):
         text = int(gram_row[a])
         distinct = np.unique(number[a:b])
-        shared = index.holds[:, distinct].sum(1)
+        shared = index.counts[:, distinct].sum(1)
         for template in np.flatnonzero(index.sizes > 0):
-            if shared[template] < index.bounds(template)[2]:
+            if shared[template] < index.bounds(template)[0]:
                 continue
-            own = where[a:b][index.holds[template, number[a:b]]]
-            best = _best_passage(index, int(template), own, grams)
+            own = index.counts[template, number[a:b]] > 0
+            best = _best_passage(index, int(template), where[a:b][own], number[a:b][own])
             if best is None:
                 continue
             dice, low, high = best
