@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import buffers
 
@@ -239,6 +240,24 @@ def code_lengths(model: Model, data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return bits
 
 
+def _judge(learned: Model, texts: pa.Array):
+    """Language, score and bits per byte of each text."""
+    lettered = np.array([bool(x) and _LETTER.search(x) is not None for x in texts.to_pylist()], bool)
+    if not learned.langs:
+        lettered[:] = False
+    names, scores, rates = [UNDETERMINED] * len(texts), np.zeros(len(texts)), [None] * len(texts)
+    if lettered.any():
+        data, at = buffers.utf8(texts)
+        bits = code_lengths(learned, data, at)
+        best = bits.argmin(1)
+        least = bits[np.arange(len(bits)), best]
+        share = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(1)
+        for i in np.flatnonzero(lettered):
+            names[i], scores[i] = learned.langs[best[i]], share[i]
+            rates[i] = least[i] / (at[i + 1] - at[i])
+    return names, scores, rates
+
+
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, bits_per_byte`` of every whole text, row by row.
 
@@ -252,23 +271,22 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = shared.value
         for batch in buffers.pieces(batches, "text"):
-            texts = batch.column("text")
-            lettered = np.array([bool(x) and _LETTER.search(x) is not None for x in texts.to_pylist()], bool)
-            data, at = buffers.utf8(texts)
-            if not learned.langs:
-                lettered[:] = False
-            names, scores, rates = [UNDETERMINED] * len(texts), np.zeros(len(texts)), [None] * len(texts)
-            if lettered.any():
-                bits = code_lengths(learned, data, at)
-                best = bits.argmin(1)
-                least = bits[np.arange(len(bits)), best]
-                share = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(1)
-                for i in np.flatnonzero(lettered):
-                    names[i], scores[i] = learned.langs[best[i]], share[i]
-                    rates[i] = least[i] / (at[i + 1] - at[i])
-            yield buffers.arrow(schema, batch.column("doc_id"), names, scores, rates)
+            yield buffers.arrow(schema, batch.column("doc_id"), *_judge(shared.value, batch.column("text")))
 
     narrow = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return narrow.mapInArrow(rows, "doc_id bigint, lang_pred string, score double, bits_per_byte double")
+
+
+def annotate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows with all their columns, and ``__lang`` and ``__bits`` (per byte) as in ``predict``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in buffers.pieces(batches, text):
+            names, _, rates = _judge(shared.value, batch.column(text))
+            more = [pa.array(names, pa.string()), pa.array(rates, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "__lang", "__bits"])
+
+    schema = T.StructType([*docs.schema, T.StructField("__lang", T.StringType()), T.StructField("__bits", T.DoubleType())])
+    return docs.mapInArrow(rows, schema)
