@@ -117,11 +117,12 @@ def find_runs(hot, length: int, gram: int):
             at = (batch.column("tag").to_numpy()[row] << _TAG_SHIFT) | start
             # copies within the batch: the later ones are covered and need not travel as runs
             order, _, _, later = _sorted_groups(anchor, run, doc_id, at)
-            size = size[order].astype(np.int64)
+            size, anchor, run = size[order].astype(np.int64), anchor[order], run[order]
             doc_id, at = doc_id[order], at[order]
-            yield buffers.arrow(
-                _RUNS, anchor[order].view(np.int64), run[order].view(np.int64), doc_id, at, np.where(later, -size, size).astype(np.int32)
-            )
+            # covered stretches meet nobody, so they are dealt out evenly
+            anchor[later] = buffers.mix(doc_id[later].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at[later].view(np.uint64))
+            size = np.where(later, -size, size).astype(np.int32)
+            yield buffers.arrow(_RUNS, anchor.view(np.int64), run.view(np.int64), doc_id, at, size)
 
     return rows
 
