@@ -1,6 +1,19 @@
 """Document-term matrices on Spark."""
 
-from .functions.conditions import match, match_all, prefix, term, terms, wildcard
+from .functions.conditions import (
+    all_of,
+    any_of,
+    exists,
+    ids,
+    match,
+    match_all,
+    none_of,
+    prefix,
+    range_,
+    term,
+    terms,
+    wildcard,
+)
 from .functions.text import Analyzer, FieldMapping, analyze, keyword, parse_date
 from .operators.matrix import Matrix
 from .operators.search import Collection, random_order
@@ -15,15 +28,21 @@ __all__ = [
     "FeatureSpec",
     "FieldMapping",
     "Matrix",
+    "all_of",
     "analyze",
+    "any_of",
+    "exists",
     "field_mapping",
+    "ids",
     "keyword",
     "load_corpus",
     "match",
     "match_all",
+    "none_of",
     "parse_date",
     "prefix",
     "random_order",
+    "range_",
     "scan_indices",
     "term",
     "terms",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,59 @@ def wildcard(field: str, pattern: str, lowercase: bool = True) -> Condition:
     return lambda df, mapping: F.exists(mapping.tokens(df, field), lambda t: t.like(text))
 
 
+def all_of(*conditions) -> Condition:
+    """Every condition holds; of none given, always."""
+    return _combined(conditions, lambda a, b: a & b, True)
+
+
+def any_of(*conditions) -> Condition:
+    """At least one condition holds; of none given, never."""
+    return _combined(conditions, lambda a, b: a | b, False)
+
+
+def none_of(*conditions) -> Condition:
+    """No condition holds."""
+    some = any_of(*conditions)
+    return lambda df, mapping: ~some(df, mapping)
+
+
+def _combined(conditions, join: Callable[[Column, Column], Column], empty: bool) -> Condition:
+    def condition(df: DataFrame, mapping: FieldMapping) -> Column:
+        # A condition on a missing value does not hold, so that its negation does; None is match-all.
+        parts = [match_all() if c is None else c for c in conditions]
+        resolved = [F.coalesce(resolve(c, df, mapping), F.lit(False)) for c in parts]
+        return reduce(join, resolved, F.lit(empty))
+
+    return condition
+
+
+def range_(field: str, gte=None, gt=None, lte=None, lt=None) -> Condition:
+    """A plain value within bounds; bounds that are None do not limit it."""
+
+    def condition(df: DataFrame, mapping: FieldMapping) -> Column:
+        value = F.col(field)
+        tests = [(gte, value.__ge__), (gt, value.__gt__), (lte, value.__le__), (lt, value.__lt__)]
+        return reduce(lambda a, b: a & b, [test(F.lit(x)) for x, test in tests if x is not None], value.isNotNull())
+
+    return condition
+
+
+def exists(field: str) -> Condition:
+    """The field has a value; an array must hold one that is not null."""
+
+    def condition(df: DataFrame, mapping: FieldMapping) -> Column:
+        if isinstance(df.schema[field].dataType, T.ArrayType):
+            return F.coalesce(F.size(F.array_compact(field)) > 0, F.lit(False))
+        return F.col(field).isNotNull()
+
+    return condition
+
+
+def ids(values: list, key: str = "doc_id") -> Condition:
+    """Documents by their keys."""
+    return lambda df, mapping: F.col(key).isin(list(values))
+
+
 def _plain(df: DataFrame, field: str, mapping: FieldMapping) -> bool:
     # A scalar column compares directly, so the filter reaches the parquet scan.
     kind = df.schema[field].dataType

@@ -106,8 +106,11 @@ def term_counts(tokens: Column) -> Column:
     return once(F.sort_array(tokens), count)
 
 
-def parse_date(value: Column, pattern: str) -> Column:
-    """Timestamp from text.  A leading weekday carries no information and is left out."""
+def parse_date(value: Column, pattern: str, strict: bool = False) -> Column:
+    """Timestamp from text.  A leading weekday carries no information and is left out.
+
+    Text that is no such date gives null, or with ``strict`` an error.
+    """
     if pattern.startswith("EEE "):
-        return F.to_timestamp(F.substring(value, 5, 1000), pattern[4:])
-    return F.to_timestamp(value, pattern)
+        value, pattern = F.substr(value, F.lit(5)), pattern[4:]
+    return (F.to_timestamp if strict else F.try_to_timestamp)(value, F.lit(pattern) if not strict else pattern)

@@ -47,3 +47,10 @@ def _wall_clock_millis(value: Column) -> Column:
     units = {"DAY": 86_400_000, "HOUR": 3_600_000, "MINUTE": 60_000}
     whole = sum((F.extract(F.lit(u), gap).cast("bigint") * F.lit(n) for u, n in units.items()), F.lit(0))
     return (whole + F.floor(F.extract(F.lit("SECOND"), gap) * 1000)).cast("double")
+
+
+def seeded_digest(key: str | list[str], seed: int) -> Column:
+    """A repeatable random string per key, the same for any partitioning and any engine."""
+    names = [key] if isinstance(key, str) else list(key)
+    parts = [F.coalesce(F.col(n).cast("string"), F.lit("")) if len(names) > 1 else F.col(n).cast("string") for n in names]
+    return F.md5(F.concat_ws(":", *parts, F.lit(str(seed))))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import FieldMapping
-from ..functions.values import cell_value, is_numeric
-from ..plans.cells import dictionary_vectors, known_statistics
-from ..plans.sizing import kept_by
+from ..functions.values import cell_value, is_numeric, seeded_digest
+from ..plans.cells import Source, dictionary_vectors, known_statistics, pieces
+from ..plans.sizing import broadcast_limit, kept_by
 from ..plans.spec import FeatureSpec
 
 
@@ -30,15 +30,19 @@ def with_ml_vector(
     the specification, the blocks are put into its order afterwards.
     """
     known, given, parts, cols = df, df.columns, [], []
-    for number, (field, (terms, places)) in enumerate(spec.term_columns().items()):
-        option, part = spec.option(field), f"__part{number}"
-        df = dictionary_vectors(df, field, terms, mapping, binary=option != "term_freq", out=part)
-        if option in ("doc_freq", "ttf"):
-            source = known if corpus is None else corpus
-            weights = Vectors.dense(known_statistics(source, field, terms, mapping, option))
-            scaled = ElementwiseProduct(scalingVec=weights, inputCol=part, outputCol=f"{part}s")
-            df, part = scaled.transform(df), f"{part}s"
-        parts.append(part)
+    for field, (terms, places) in spec.term_columns().items():
+        option = spec.option(field)
+        source = Source(known if corpus is None else corpus, None, mapping, [])
+        # A vector is as wide as its model, so the dictionary has the size of the model's weights;
+        # it is sent in pieces that each keep the broadcast limit.
+        for piece in pieces(terms, broadcast_limit(df.sparkSession)):
+            part = f"__part{len(parts)}"
+            df = dictionary_vectors(df, field, piece, mapping, binary=option != "term_freq", out=part)
+            if option in ("doc_freq", "ttf"):
+                weights = Vectors.dense(known_statistics(source, field, piece, option))
+                scaled = ElementwiseProduct(scalingVec=weights, inputCol=part, outputCol=f"{part}s")
+                df, part = scaled.transform(df), f"{part}s"
+            parts.append(part)
         cols += places
     for field, places in spec.slot_columns().items():
         for slot, place in enumerate(places):
@@ -52,7 +56,13 @@ def with_ml_vector(
     if not ordered:
         places = sorted(range(len(cols)), key=cols.__getitem__)
         df = VectorSlicer(inputCol="__all", outputCol=out, indices=places).transform(df)
-    return df.select(*given, out)
+    return df.select(*given, F.col(out).alias(out, metadata=_named(spec)))
+
+
+def _named(spec: FeatureSpec) -> dict:
+    """ML attributes: which column of the vector is which feature."""
+    names = [{"idx": i, "name": name} for i, name in enumerate(spec.feature_names())]
+    return {"ml_attr": {"attrs": {"numeric": names}, "num_attrs": spec.n_cols}}
 
 
 def _slot(df: DataFrame, field: str, slot: int, mode: str) -> Column:
@@ -71,7 +81,7 @@ def _slot(df: DataFrame, field: str, slot: int, mode: str) -> Column:
 def training_frame(
     df: DataFrame,
     spec: FeatureSpec,
-    key: str = "doc_id",
+    key: str | list[str] = "doc_id",
     mapping: FieldMapping = FieldMapping(),
     labels: DataFrame | None = None,
     **options,
@@ -80,6 +90,7 @@ def training_frame(
 
     ``labels`` holds the target if it is not in ``df``; it meets finished vectors, not text.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     label = spec.features[-1]
     if label.slot is None:
         raise ValueError("the last column, the label, must come from a numeric field")
@@ -87,24 +98,24 @@ def training_frame(
     if labels is None:
         df = df.withColumn("label", _slot(df, label.field, label.slot, mode))
         vectors = with_ml_vector(df, features, mapping, **options)
-        return vectors.select(key, "features", "label")
-    target = labels.select(key, _slot(labels, label.field, label.slot, mode).alias("label"))
-    docs = kept_by(df, target, [key])
-    vectors = with_ml_vector(docs, features, mapping, **options).select(key, "features")
-    return vectors.join(target, key)
+        return vectors.select(*keys, "features", "label")
+    target = labels.select(*keys, _slot(labels, label.field, label.slot, mode).alias("label"))
+    docs = kept_by(df, target, keys)
+    vectors = with_ml_vector(docs, features, mapping, **options).select(*keys, "features")
+    return vectors.join(target, keys)
 
 
 def hash_split(
-    df: DataFrame, key: str = "doc_id", test_size: float = 0.33, seed: int = 0
+    df: DataFrame, key: str | list[str] = "doc_id", test_size: float = 0.33, seed: int = 0
 ) -> DataFrame:
     """Add ``is_test``.  The choice depends on the key alone, so it survives any re-partitioning."""
     edge = f"{int(test_size * 0x10000):04x}"
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    digest = seeded_digest(key, seed)
     return df.withColumn("is_test", F.substring(digest, 1, 4) < F.lit(edge))
 
 
 def train_test_split(
-    df: DataFrame, key: str = "doc_id", test_size: float = 0.33, seed: int = 0
+    df: DataFrame, key: str | list[str] = "doc_id", test_size: float = 0.33, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     marked = hash_split(df, key, test_size, seed)
     return (
@@ -117,6 +128,16 @@ def train_linear_svc(training: DataFrame, **params) -> LinearSVCModel:
     return LinearSVC(featuresCol="features", labelCol="label", **params).fit(training)
 
 
+def save_model(model: LinearSVCModel, spec: FeatureSpec, path: str) -> None:
+    """Store a model beside the specification of its columns, on any path that Spark can write."""
+    model.write().overwrite().save(f"{path}/model")
+    spec.save(f"{path}/spec")
+
+
+def load_model(path: str) -> tuple[LinearSVCModel, FeatureSpec]:
+    return LinearSVCModel.load(f"{path}/model"), FeatureSpec.load(f"{path}/spec")
+
+
 def predict(model: LinearSVCModel, data: DataFrame) -> DataFrame:
     """Add ``prediction``."""
     return model.transform(data)

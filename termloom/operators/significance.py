@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import resolve
 from ..functions.scoring import significance
 from ..functions.text import FieldMapping
-from ..plans.numbering import top_per_group
+from ..plans.numbering import first_rows, row_index, top_per_group
 from ..plans.sizing import kept_by, salted_join
 
 MIN_DOC_COUNT = 3
@@ -59,7 +59,7 @@ def significant_terms(
     scored = counts.withColumn(
         "score", significance(F.col("doc_count"), sizes["fg"], F.col("bg_count"), sizes["bg"])
     )
-    best = scored.where(F.col("score") > 0).orderBy(F.desc("score"), "key").limit(size)
+    best = first_rows(scored.where(F.col("score") > 0), [F.desc("score"), F.col("key")], size)
     return best.select("key", "doc_count", "score", "bg_count")
 
 
@@ -84,15 +84,13 @@ def significant_terms_by_class(
         .groupBy("key", "class")
         .agg(F.count("*").alias("doc_count"))
     )
-    # At most one row per class and term is left, so a term's rows fit in one task.
-    same_term = Window.partitionBy("key")
-    counts = per_class.withColumn("bg_count", F.sum("doc_count").over(same_term)).where(
-        F.col("class").isNotNull() & (F.col("doc_count") >= min_doc_count)
-    )
-    sizes = docs.where(F.col(class_field).isNotNull()).groupBy(label).agg(
-        F.count("*").alias("fg_size")
-    )
-    bg_size = docs.agg(F.count("*")).scalar()
+    totals = per_class.groupBy("key").agg(F.sum("doc_count").alias("bg_count"))
+    usual = F.col("class").isNotNull() & (F.col("doc_count") >= min_doc_count)
+    counts = per_class.where(usual).join(totals, "key")
+    groups = docs.groupBy(label).agg(F.count("*").alias("fg_size"))
+    sizes = groups.where(F.col("class").isNotNull())
+    # Documents without a class are one of the groups, so the whole is their sum.
+    bg_size = groups.agg(F.sum("fg_size")).scalar()
     scored = (
         salted_join(counts, sizes, ["class"], F.col("key"))
         .withColumn(
@@ -110,14 +108,12 @@ def feature_union(ranked: DataFrame, size: int) -> DataFrame:
     """``(term, col)``: class lists one after the other, a repeated term keeps its first place.
 
     ``ranked`` comes from :func:`significant_terms_by_class` with the same ``size``.  The result
-    is a column list of a specification, at most ``size`` terms per class, and fits in one row.
+    is a column list of a specification, at most ``size`` terms per class.
     """
     place = F.min(F.struct("class", "rank")).alias("place")
-    first = ranked.where(F.col("rank") <= size).groupBy("key").agg(place)
-    listed = first.agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("terms"))
-    return listed.select(F.posexplode("terms").alias("col", "t")).select(
-        F.col("t.key").alias("term"), "col"
-    )
+    first = ranked.where(F.col("rank") <= size).groupBy(F.col("key").alias("term")).agg(place)
+    placed = row_index(first.select("term", "place.*"), [F.col("class"), F.col("rank")], "col")
+    return placed.select("term", F.col("col").cast("int").alias("col"))
 
 
 def feature_list(features: DataFrame) -> list[str]:

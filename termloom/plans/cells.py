@@ -8,7 +8,7 @@ for them, and a dictionary beyond the broadcast limit is joined instead.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 from pyspark.ml.feature import CountVectorizerModel
@@ -27,12 +27,27 @@ _TOKENS, _VECTOR = "__tokens", "__vector"
 
 
 class Source(NamedTuple):
-    """Where terms and their statistics come from."""
+    """Where terms and their statistics come from.
+
+    ``members`` holds the keys of the documents of the corpus that count (null: all), with those
+    scope columns that the corpus itself does not have.
+    """
 
     corpus: DataFrame
     statistics: DataFrame | None
     mapping: FieldMapping
     scope: list[str]
+    members: DataFrame | None = None
+    key: list[str] = []
+
+    def own(self, df: DataFrame) -> list[str]:
+        """What must be kept of a frame so that the members can be joined to it."""
+        scope = [c for c in self.scope if c in df.columns]
+        return list(dict.fromkeys([*(self.key if self.members is not None else []), *scope]))
+
+    def counting(self, df: DataFrame) -> DataFrame:
+        """Only the members, with their scope; ``df`` is slim by now."""
+        return df if self.members is None else df.join(self.members, self.key)
 
 
 def with_cells(
@@ -47,19 +62,23 @@ def with_cells(
     numeric_mode: str = "keep",
     on_missing: str = "ignore",
     largest_broadcast: int | None = None,
+    members: DataFrame | None = None,
     out: str = "cells",
 ) -> DataFrame:
     """Add the cells of every document, in ascending column order, zeros left out.
 
     ``corpus`` is what ``doc_freq`` and ``ttf`` describe (default: ``df``); with ``scope`` they
     describe only the part of the corpus that agrees on these columns.  A stored table
-    ``statistics (field, term, doc_freq, ttf)`` replaces the pass over the corpus.  ``key`` is
-    used only when a dictionary is too large to broadcast, or with ``scope``.
+    ``statistics (field, term, doc_freq, ttf)`` replaces the pass over the corpus.  A term
+    without statistics, or with a statistic of 0, gives no cell.  ``key`` is used only when a
+    dictionary is too large to broadcast, or with ``scope``; rows with equal or null keys keep
+    their own cells.  ``members``: see :class:`Source`.
     """
     given = df.columns
     if scope and statistics is not None:
         raise ValueError("stored statistics are global: give a corpus for a scope")
-    source = Source(df if corpus is None else corpus, statistics, mapping, list(scope or []))
+    corpus = df if corpus is None else corpus
+    source = Source(corpus, statistics, mapping, list(scope or []), members, list(key))
     limit = broadcast_limit(df.sparkSession) if largest_broadcast is None else largest_broadcast
     blocks: list[tuple[list[int], Column]] = []
     for number, (field, (terms, cols)) in enumerate(spec.term_columns().items()):
@@ -92,10 +111,13 @@ def _looked_up(df, source, field, terms, cols, option, key, block) -> DataFrame:
     if option in ("doc_freq", "ttf") and source.scope:
         # Joined after counting: the slim vectors move, the text does not.
         shares = _scope_statistics(source, field, terms, option, f"{block}_stats")
-        counted = salted_join(counted, shares, source.scope, F.struct(*key), "left")
+        absent = [c for c in source.scope if c not in counted.columns]
+        if absent:
+            counted = counted.join(source.members.select(*key, *absent), key, "left")
+        counted = salted_join(counted, shares, source.scope, F.struct(*key), "left").drop(*absent)
         stats = F.col(f"{block}_stats")
     elif option in ("doc_freq", "ttf"):
-        known = known_statistics(source.corpus, field, terms, mapping, option, source.statistics)
+        known = known_statistics(source, field, terms, option)
         stats = constant_array(known, "double")
     col = _column_of(cols)
     value = F.col(block)
@@ -105,6 +127,7 @@ def _looked_up(df, source, field, terms, cols, option, key, block) -> DataFrame:
         cells = F.transform(value["indices"], lambda i: _cell(col(i), F.lit(1.0)))
     else:
         cells = F.transform(value["indices"], lambda i: _cell(col(i), F.get(stats, i)))
+        cells = F.filter(cells, lambda c: F.coalesce(c["value"], F.lit(0.0)) != 0)
     return counted.withColumn(block, cells).drop(f"{block}_stats")
 
 
@@ -126,7 +149,21 @@ def dictionary_vectors(
     return model.transform(tokens).withColumnRenamed(_VECTOR, out).drop(_TOKENS)
 
 
-@lru_cache(maxsize=32)
+def pieces(terms: list[str], limit: int) -> list[list[str]]:
+    """Consecutive parts of a dictionary, each within ``limit`` bytes (or a single term)."""
+    parts: list[list[str]] = [[]]
+    held = 0
+    for term in terms:
+        size = vocabulary_bytes([term])
+        if parts[-1] and held + size > limit:
+            parts.append([])
+            held = 0
+        parts[-1].append(term)
+        held += size
+    return parts
+
+
+@lru_cache(maxsize=4)  # each within the broadcast limit
 def _dictionary(app: str, terms: tuple[str, ...], binary: bool) -> CountVectorizerModel:
     # One dictionary per Spark application and word list, shared by all plans that use it.
     return CountVectorizerModel.from_vocabulary(
@@ -134,14 +171,15 @@ def _dictionary(app: str, terms: tuple[str, ...], binary: bool) -> CountVectoriz
     )
 
 
-def vocabulary_statistics(
-    corpus: DataFrame, field: str, terms: list[str], mapping: FieldMapping, scope: list[str] = ()
-) -> DataFrame:
+def vocabulary_statistics(source: Source, field: str, terms: list[str]) -> DataFrame:
     """``(scope..., slot, doc_freq, ttf)`` of the dictionary terms, ``slot`` counting from 0.
 
     Partial sums are formed where the text is read; one row per term leaves each task.
     """
-    counted = count_terms(corpus, field, terms, mapping, binary=False, out="__c")
+    corpus, scope = source.corpus, source.scope
+    slim = corpus.select(*dict.fromkeys([*source.own(corpus), field]))
+    counted = count_terms(slim, field, terms, source.mapping, binary=False, out="__c")
+    counted = source.counting(counted.select(*source.own(corpus), "__c"))
     pairs = F.arrays_zip(F.col("__c")["indices"].alias("i"), F.col("__c")["values"].alias("v"))
     # The outer form keeps Spark from repeating the whole analysis in a pushed-down size filter.
     return (
@@ -153,22 +191,18 @@ def vocabulary_statistics(
     )
 
 
-def known_statistics(
-    corpus: DataFrame,
-    field: str,
-    terms: list[str],
-    mapping: FieldMapping,
-    option: str,
-    statistics: DataFrame | None = None,
-) -> list[int]:
-    """``doc_freq`` or ``ttf`` of each dictionary term: as many numbers as the dictionary has."""
-    if statistics is None:
-        stats = vocabulary_statistics(corpus.select(field), field, terms, mapping)
+def known_statistics(source: Source, field: str, terms: list[str], option: str) -> list[int]:
+    """``doc_freq`` or ``ttf`` of each dictionary term: as many numbers as the dictionary has.
+
+    For dictionaries that may be broadcast; the numbers take less room than the terms.
+    """
+    if source.statistics is None:
+        stats = vocabulary_statistics(source._replace(scope=[]), field, terms)
     else:
-        words = corpus.sparkSession.createDataFrame(list(enumerate(terms)), "slot int, term string")
-        stats = statistics.where(F.col("field") == field).join(F.broadcast(words), "term")
+        words = source.corpus.sparkSession.createDataFrame(list(enumerate(terms)), "slot int, term string")
+        stats = source.statistics.where(F.col("field") == field).join(F.broadcast(words), "term")
     found = {r["slot"]: r[option] for r in stats.select("slot", option).collect()}
-    return [found.get(slot, 0) for slot in range(len(terms))]
+    return [found.get(slot) or 0 for slot in range(len(terms))]
 
 
 def constant_array(numbers: list, kind: str) -> Column:
@@ -179,8 +213,7 @@ def constant_array(numbers: list, kind: str) -> Column:
 def _scope_statistics(source, field, terms, option, name) -> DataFrame:
     # One row per scope value, holding one number per dictionary term.
     scope = source.scope
-    slim = source.corpus.select(*dict.fromkeys([*scope, field]))
-    stats = vocabulary_statistics(slim, field, terms, source.mapping, scope)
+    stats = vocabulary_statistics(source, field, terms)
     pairs = F.array_sort(F.collect_list(F.struct("slot", F.col(option).cast("double").alias("v"))))
     found = stats.groupBy(*scope).agg(pairs.alias("found"))
 
@@ -194,9 +227,14 @@ def _scope_statistics(source, field, terms, option, name) -> DataFrame:
 
 def _joined(df, source, field, terms, cols, option, key, block) -> DataFrame:
     words = df.sparkSession.createDataFrame(list(zip(terms, cols)), "term string, col int")
-    rows = joined_cells(df, field, words, option, source, key, block)
-    empty = F.array().cast(CELLS)
-    return df.join(rows, key, "left").withColumn(block, F.coalesce(block, empty))
+    # Rows are told apart by key, scope and content, so equal and null keys keep their own cells.
+    marked = df.withColumn("__row", F.xxhash64(field))
+    keys = list(dict.fromkeys([*key, *(c for c in source.scope if c in df.columns), "__row"]))
+    rows = joined_cells(marked, field, words, option, source, keys, block)
+    theirs = {k: f"__their_{n}" for n, k in enumerate(keys)}
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(t)) for k, t in theirs.items()])
+    joined = marked.join(rows.withColumnsRenamed(theirs), same, "left").drop("__row", *theirs.values())
+    return joined.withColumn(block, F.coalesce(block, F.array().cast(CELLS)))
 
 
 def joined_cells(
@@ -214,10 +252,13 @@ def joined_cells(
     join, since a frequent term occurs in a large part of all documents.
     """
     scope, mapping = source.scope, source.mapping
-    exploded = _exploded(df, list(dict.fromkeys([*key, *scope])), field, mapping)
+    exploded = _exploded(df, list(dict.fromkeys([*key, *(c for c in scope if c in df.columns)])), field, mapping)
+    absent = [c for c in scope if c not in df.columns]
+    if absent:
+        exploded = exploded.join(source.members.select(*source.key, *absent), source.key)
     if option in ("doc_freq", "ttf"):
         if source.statistics is None:
-            seen = _exploded(source.corpus, scope, field, mapping)
+            seen = _exploded(source.corpus, scope, field, mapping, source)
             seen = seen.groupBy(*scope, "term").agg(
                 F.count("*").alias("doc_freq"), F.sum("tf").alias("ttf")
             )
@@ -229,14 +270,37 @@ def joined_cells(
     hits = salted_join(exploded, words, keys, F.struct(*key))
     value = {"binary": F.lit(1.0), "term_freq": F.col("tf")}.get(option)
     value = F.col("v") if value is None else value
-    cell = _cell(F.col("col"), value)
-    return hits.groupBy(*key).agg(F.sort_array(F.collect_list(cell)).alias(out))
+    hits = hits.where(F.coalesce(value, F.lit(0)) != 0)
+    cells = F.sort_array(F.array_distinct(F.collect_list(_cell(F.col("col"), value))))
+    return hits.groupBy(*key).agg(cells.alias(out))
 
 
-def _exploded(df: DataFrame, keep: list[str], field: str, mapping: FieldMapping) -> DataFrame:
-    counts = term_counts(mapping.tokens(df, field))
+def joined_weights(
+    df: DataFrame, field: str, words: DataFrame, weight: Column, source: Source, key: list[str]
+) -> DataFrame:
+    """``(key, col, data)``: term frequency times ``weight``, an expression of ``doc_freq``.
+
+    For a dictionary of any size, given as a frame ``(term, col)``.
+    """
+    seen = _exploded(source.corpus, [], field, source.mapping, source)
+    freqs = seen.groupBy("term").agg(F.count("*").alias("doc_freq"))
+    weights = words.join(freqs, "term").select("term", "col", weight.alias("__w"))
+    hits = salted_join(_exploded(df, key, field, source.mapping), weights, ["term"], F.struct(*key))
+    return hits.select(*key, F.col("col").cast("int").alias("col"), (F.col("tf") * F.col("__w")).alias("data"))
+
+
+def _exploded(
+    df: DataFrame, keep: list[str], field: str, mapping: FieldMapping, source: Source | None = None
+) -> DataFrame:
+    """``(keep, term, tf)``; with a ``source``, of its members only."""
+    counted = df
+    if source is not None and source.members is not None:
+        slim = df.select(*source.own(df), term_counts(mapping.tokens(df, field)).alias("__counts"))
+        counted, counts = source.counting(slim), F.col("__counts")
+    else:
+        counts = term_counts(mapping.tokens(df, field))
     return (
-        df.select(*keep, F.explode_outer(counts).alias("__t"))
+        counted.select(*keep, F.explode_outer(counts).alias("__t"))
         .select(*keep, F.col("__t.term").alias("term"), F.col("__t.tf").alias("tf"))
         .where(F.col("term").isNotNull())
     )

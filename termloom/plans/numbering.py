@@ -7,9 +7,13 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import SALTS, settle
+from .sizing import salted_join, salts, settle
 
 _IN_PARTITION = (1 << 33) - 1
+# Up to this many leading rows are a top-k in the tasks; beyond it rows are numbered.
+TOP_K_ROWS = 10_000
+# Up to this many rows per group Spark cuts a group before it is shuffled.
+GROUP_LIMIT_ROWS = 1_000
 
 
 def row_index(df: DataFrame, order: list[Column | str], name: str = "row") -> DataFrame:
@@ -55,15 +59,30 @@ def _offsets(placed: DataFrame, part: Column, total: Column) -> DataFrame:
     return placed.sparkSession.createDataFrame(rows, "__part bigint, __before bigint")
 
 
+def first_rows(df: DataFrame, order: list[Column | str], k: int) -> DataFrame:
+    """The first ``k`` rows: a top-k in the tasks if they are few, else by their row numbers."""
+    if k <= TOP_K_ROWS:
+        return df.orderBy(*order).limit(k)
+    return row_index(df, order, "__number").where(F.col("__number") < k).drop("__number")
+
+
 def top_per_group(
     df: DataFrame, group: list[str], order: list[Column], k: int, spread_by: list[str], name: str
 ) -> DataFrame:
-    """The first ``k`` rows of each group with their rank from 1, in two steps.
+    """The first ``k`` rows of each group with their rank from 1, none of which lands in one task.
 
-    The first step ranks salted parts of a group, so that even a group holding a third of all
-    rows is cut to ``k`` rows per part before it meets in one task.
+    For a small ``k`` salted parts of a group are cut to ``k`` rows first, and only those meet.
+    For a large one all rows are numbered in the order of group and rank; a rank is then the
+    distance from the group's first number.
     """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
+    if k > GROUP_LIMIT_ROWS:
+        numbered = row_index(df, [*(F.col(g) for g in group), *order], "__number")
+        starts = numbered.groupBy(*group).agg(F.min("__number").alias("__start"))
+        ranked = salted_join(numbered, starts, group, F.col("__number"))
+        ranked = ranked.withColumn(name, (F.col("__number") - F.col("__start") + 1).cast("int"))
+        return ranked.where(F.col(name) <= k).drop("__number", "__start")
+    parts_of = F.pmod(F.xxhash64(*spread_by), F.lit(salts(df.sparkSession)))
+    salted = df.withColumn("__salt", parts_of)
     parts = Window.partitionBy(*group, "__salt").orderBy(*order)
     whole = Window.partitionBy(*group).orderBy(*order)
     cut = salted.withColumn(name, F.row_number().over(parts)).where(F.col(name) <= k)

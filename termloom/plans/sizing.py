@@ -1,7 +1,8 @@
-"""Decisions that depend on size: what may be broadcast, when to spread, where to settle."""
+"""Decisions that depend on size: what may be broadcast, how hot keys are split, where to settle."""
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,15 @@ from pyspark.sql import functions as F
 
 # Upper bound of anything this library broadcasts on its own; beyond it a salted join is used.
 BROADCAST_LIMIT_BYTES = 64 << 20
-# Inputs whose average share per core is below this are spread over all cores after the scan.
-SPREAD_BYTES_PER_CORE = 16 << 20
-SALTS = 16
+
+
+def salts(spark: SparkSession) -> int:
+    """How many tasks the rows of one key are split into: the root of the number of shuffle tasks.
+
+    Splitting costs a copy of the small side per part, so parts grow with the cluster but slower;
+    adaptive execution splits what is still too large.
+    """
+    return max(2, math.isqrt(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1)) + 1)
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -50,19 +57,6 @@ def kept_by(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(F.broadcast(side.select(*keys)), keys, "left_semi")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash a *small* input over all cores.
-
-    A file of a few MB is often one row group, hence one task, however many cores are idle.
-    Only inputs of a checked small size are moved; large ones have enough splits of their own.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = plan_bytes(df)
-    if size is None or size >= cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Write a frame to the cluster's checkpoint folder and go on from there.
 
@@ -92,13 +86,14 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join in which no key value lands in one task; null keys meet each other.
 
-    Rows of ``big`` with the same key are divided over ``SALTS`` tasks by ``spread_by``;
+    Rows of ``big`` with the same key are divided over ``salts`` tasks by ``spread_by``;
     ``small`` holds each key once and is replicated to each of them.
     """
+    parts = salts(big.sparkSession)
     theirs = {k: f"__their_{k}" for k in keys}
-    copies = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
+    copies = F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")
     replicated = small.withColumnsRenamed(theirs).withColumn("__copy", F.explode(copies))
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(parts)))
     same = F.col("__salt") == F.col("__copy")
     for ours, their in theirs.items():
         same = same & F.col(ours).eqNullSafe(F.col(their))

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from pathlib import Path
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -145,11 +144,13 @@ class FeatureSpec:
         )
 
     def save(self, path: str) -> None:
-        Path(path).write_text(self.to_json(), encoding="utf-8")
+        """Write to any path that Spark can write, as one line of JSON."""
+        line = SparkSession.builder.getOrCreate().createDataFrame([(self.to_json(),)], "value string")
+        line.coalesce(1).write.mode("overwrite").text(path)
 
     @classmethod
     def load(cls, path: str) -> "FeatureSpec":
-        return cls.from_json(Path(path).read_text(encoding="utf-8"))
+        return cls.from_json(SparkSession.builder.getOrCreate().read.text(path).first()["value"])
 
 
 def _checked(position: int, entry: Mapping) -> tuple[str, int | list[str], str]:
@@ -165,10 +166,14 @@ def _checked(position: int, entry: Mapping) -> tuple[str, int | list[str], str]:
     if isinstance(span, (list, tuple)):
         if any(not isinstance(w, (str, int, float)) for w in span):
             raise ValueError(f"entry {position}: a span lists plain terms only")
-        return str(entry["field"]), [str(w) for w in span], option
+        return str(entry["field"]), [_term(w) for w in span], option
     raise ValueError(f"entry {position}: 'span' must be a list of terms or one integer")
 
 
+def _term(value: str | int | float | bool) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
 def _option(name: str) -> str:
     option = str(name).lower()
     if option not in VALUE_OPTIONS:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom import Collection, FeatureSpec, term
 from termloom.operators import significance, term_stats
+from workload.queries import REGISTRY
 
 SPEC = FeatureSpec.from_spec([{"field": "text", "span": ["the", "of"]}, {"field": "n_chars", "span": 1}])
 
@@ -80,6 +81,43 @@ def test_no_window_without_partitions_and_no_cross_join(docs):
             assert not re.search(r"windowspecdefinition\([^,]* (ASC|DESC)", window)
 
 
+def moves_text(frame) -> bool:
+    """Whether some exchange has the text itself among its columns."""
+    explain = frame.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString
+    found = explain(frame._jdf.queryExecution(), "formatted")
+    return any(re.search(r"\btext#", columns) for columns in re.findall(r"Exchange\s*\nInput \[\d+\]: \[(.*)\]", found))
+
+
+def test_moving_text_would_be_noticed(docs):
+    assert moves_text(docs.repartition(3, "doc_id"))
+    assert not moves_text(docs.select("doc_id").repartition(3, "doc_id"))
+
+
+@pytest.mark.parametrize(
+    "name", [n for n in REGISTRY if n.startswith("vec_")] + ["scan_export", "term_vectors", "side_scope", "side_doc_freq"]
+)
+def test_registered_queries_do_not_move_text(spark, small, name):
+    assert not moves_text(REGISTRY[name](spark, small))
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["terminate_all", "terminate_deep", "feature_union", "significant_by_class", "significant_by_language", "relevance_topk",
+     "row_numbers", "scroll_batches", "vec_local_doc_freq", "side_tf_idf", "sample_of_several"],
+)
+def test_nothing_but_totals_and_bounded_pages_meets_in_one_task(spark, small, name):
+    lines = plan(REGISTRY[name](spark, small)).splitlines()
+    for line, below in zip(lines, lines[1:]):
+        if "Exchange SinglePartition" in line:
+            assert "partial_" in below or "LocalLimit" in below or "HashAggregate" in below, below
+
+
+def test_large_top_k_is_numbered_not_gathered(docs, monkeypatch):
+    monkeypatch.setattr("termloom.plans.numbering.TOP_K_ROWS", 5)
+    hits = Collection(docs).hits(terminate_after=50)[0]
+    assert "SinglePartition" not in plan(hits) and hits.count() == 50
+
+
 def test_partial_counts_before_the_shuffle(docs):
     text = plan(term_stats.doc_freq(docs, "text"))
     assert text.index("partial_count") > text.index("Exchange hashpartitioning(term")

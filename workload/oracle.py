@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .specs import (
+    ASKED,
     BATCH,
     LANGS,
     MIXED_COLS,
@@ -257,10 +258,44 @@ SELECT l_orderkey, l_linenumber, CAST(row - 20000 AS BIGINT) AS row FROM r WHERE
         f"WITH {base()}, cell AS ({cells('1.0')}), docs AS (SELECT * FROM documents WHERE lang = 'es')",
         columns="doc_id, source, n_chars",
     )
-    asked = listed(["idiot", "moron", "les", "was"])
-    sql["relevance_topk"] = f"""WITH {base()},
-s AS (SELECT doc_id, round(sum(tf * {idf}), 6) AS score FROM tf JOIN st USING (term) WHERE term IN ({asked}) GROUP BY doc_id)
-SELECT doc_id, score FROM s ORDER BY score DESC, doc_id LIMIT 50"""
+    asked = listed(ASKED)
+    scores = f"""s AS (SELECT doc_id, sum(tf * {idf}) AS score FROM tf JOIN st USING (term) WHERE term IN ({asked}) GROUP BY doc_id)"""
+    # Sums of the same numbers in another order differ in the last bits: a tie is one to 12 digits.
+    sql["relevance_topk"] = f"""WITH {base()}, {scores}
+SELECT doc_id, round(score, 6) AS score FROM s ORDER BY round(score, 12) DESC, doc_id LIMIT 50"""
+    sql["relevance_page"] = f"""{TF}, {scores},
+r AS (SELECT doc_id, row_number() OVER (ORDER BY round(score, 12) DESC, doc_id) - 1 AS row FROM s)
+SELECT CAST(row AS BIGINT) AS row, col, data FROM cell JOIN r USING (doc_id) WHERE row < 25"""
+    both = idf.replace("FROM documents", "FROM docs")
+    sql["side_relevance"] = f"""WITH docs AS {LABELLED}, {base("docs")}, {scores.replace(idf, both)}
+SELECT doc_id, round(score, 6) AS score FROM s ORDER BY round(score, 12) DESC, doc_id LIMIT 50"""
+    sql["side_tf_idf"] = f"""WITH docs AS {LABELLED}, {base("docs")}, w AS ({cells(f"tf.tf * {both}")})
+SELECT doc_id, col, round(data, 6) AS data FROM w WHERE data <> 0"""
+    sql["side_doc_freq"] = f"WITH docs AS {LABELLED}, {base('docs')} {cells('df')}"
+    sql["side_scope"] = f"""WITH docs AS {LABELLED}, {base("docs", "doc_id, quality")},
+ls AS (SELECT quality, term, count(*) AS ldf FROM tf GROUP BY ALL)
+SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(ldf AS DOUBLE) AS data
+FROM tf JOIN {words(WORDS)} voc USING (term) JOIN ls USING (quality, term)"""
+    sql["vec_foreign_statistics"] = f"""WITH {base()},
+seen AS (SELECT DISTINCT conv_id, turn, unnest({TOKENS}) AS term FROM conversations WHERE length(text) < 40),
+fs AS (SELECT term, count(*) AS fdf FROM seen GROUP BY term)
+SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(fdf AS DOUBLE) AS data
+FROM tf JOIN {words(WORDS)} voc USING (term) JOIN fs USING (term)"""
+    sql["vec_foreign_joined"] = sql["vec_foreign_statistics"]
+    sql["vec_foreign_scope"] = f"""WITH {base("documents", "doc_id, source, lang")},
+fs AS (SELECT source, term, sum(tf) AS fttf FROM tf WHERE lang = 'fr' GROUP BY ALL)
+SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(fttf AS DOUBLE) AS data
+FROM tf JOIN {words(WORDS)} voc USING (term) JOIN fs USING (source, term)"""
+    sql["vec_foreign_scope_joined"] = sql["vec_foreign_scope"]
+    has_the = f"list_contains({TOKENS}, 'the')"
+    sql["all_conditions"] = having(f"{has_the} AND n_chars >= 200 AND n_chars < 3000 AND lang IS NOT NULL")
+    starts = f"len(list_filter({TOKENS}, lambda t: starts_with(t, 'wor'))) > 0"
+    sql["any_condition"] = having(f"lang = 'es' OR {starts} OR n_chars > 5000")
+    sql["no_condition"] = having(f"NOT {has_the} AND lang IS DISTINCT FROM 'de' AND doc_id > 100")
+    sql["ids_query"] = having("doc_id IN (3, 7, 11, -4)")
+    sql["terminate_all"] = having("lang = 'en'") + " ORDER BY doc_id LIMIT 60"
+    sql["terminate_deep"] = """SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity < 40
+ORDER BY l_orderkey, l_linenumber LIMIT 12000"""
     sql["count_only"] = f"""WITH {base()} SELECT count(DISTINCT doc_id) AS n_docs FROM tf
 WHERE term IN ('idiot', 'trash')"""
     # rows and batches
@@ -278,6 +313,7 @@ FROM b GROUP BY batch_id"""
     sql["concat_scan"] = f"""WITH {base()}, cell AS ({cells("1.0")})
 SELECT (SELECT count(*) FROM documents) AS n_rows, CAST({N} AS INTEGER) AS n_cols,
 count(DISTINCT doc_id) AS rows_with_cells, count(*) AS n_cells, sum(data) AS total FROM cell"""
+    sql["scan_cutoff"] = "SELECT CAST(2 AS BIGINT) AS n_batches, true AS within, true AS filled FROM documents LIMIT 1"
     # matrix forms
     sql["dict_matrix"] = as_json(MIXED)
     sql["coo_matrix"] = f"""{MIXED}, r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row FROM docs)
@@ -318,11 +354,28 @@ SELECT CAST(row AS BIGINT) AS row, col, data FROM cell JOIN r USING (doc_id)"""
     # learning
     sql["hash_split"] = f"""SELECT doc_id, substr(md5(CAST(doc_id AS VARCHAR) || ':{SEED}'), 1, 4) < '{TEST_EDGE}' AS is_test
 FROM documents"""
+    tested = f"""SELECT doc_id, CAST(toxic AS DOUBLE) AS label, true AS answered FROM documents JOIN labels USING (doc_id)
+WHERE substr(md5(CAST(doc_id AS VARCHAR) || ':{SEED}'), 1, 4) < '{TEST_EDGE}'"""
+    sql["svc_rows"] = tested
+    sql["svc_check"] = f"SELECT count(*) AS n_rows, true AS holds, true AS stored FROM ({tested})"
     sql["accuracy"] = """SELECT count(*) AS n_rows, avg(CAST(1 - quality = toxic AS DOUBLE)) AS accuracy FROM labels"""
     keys = "conv_id, turn"
     sql["rescore_conversations"] = f"WITH {base('conversations', keys)} {cells('tf.tf', key=keys)}"
     # sources
     sql["json_corpus"] = "SELECT doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents"
+    sql["bulk_corpus"] = "SELECT 'd' || doc_id AS _id, doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents"
+    several = """joint AS (SELECT 'documents' AS _index, doc_id, text FROM documents
+UNION ALL SELECT 'items', item_id, text FROM benchmark)"""
+    keyed = f"WITH {several}, {base('joint', '_index, doc_id')}, cell AS ({cells('tf.tf', key='_index, doc_id')})"
+    sql["one_of_several"] = f"""{keyed}, mine AS (SELECT * FROM cell WHERE _index = 'items' AND doc_id = 7)
+SELECT 'items' AS _index, CAST(7 AS BIGINT) AS doc_id, true AS found, CAST(1 AS INTEGER) AS n_rows,
+CAST({N} AS INTEGER) AS n_cols, {JSON} AS matrix FROM mine"""
+    sql["sample_of_several"] = f"""{keyed},
+r AS (SELECT _index, doc_id, row_number() OVER (ORDER BY md5(_index || ':' || doc_id || ':{SEED}'), _index, doc_id) - 1 AS row FROM joint)
+SELECT _index, doc_id, CAST(row AS BIGINT) AS row, CAST(count(col) AS INTEGER) AS n_cells
+FROM r LEFT JOIN cell USING (_index, doc_id) WHERE row < 60 GROUP BY ALL"""
+    sql["split_of_several"] = f"""WITH {several} SELECT _index, doc_id,
+substr(md5(_index || ':' || doc_id || ':{SEED}'), 1, 4) < '{TEST_EDGE}' AS is_test FROM joint"""
     sql["parsed_dates"] = "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events"
     sql["multi_table_scan"] = f"""WITH joint AS (
 SELECT 'documents' AS _index, doc_id, CAST(NULL AS BIGINT) AS turn, text FROM documents
@@ -333,6 +386,7 @@ UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations),
     sql["stream_batches"] = f"""WITH {base()}, cell AS ({cells("df")}),
 r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row FROM documents)
 SELECT CAST(0 AS BIGINT) AS batch_id, CAST(row AS BIGINT) AS row, col, data FROM cell JOIN r USING (doc_id)"""
+    sql["merged_statistics_batches"] = sql["stream_batches"].replace(cells("df"), cells("ttf"))
     sql["stored_statistics_matrix"] = sql["vec_ttf"]
     sql["joined_dictionary"] = f"""WITH {base()}, voc AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS col FROM st)
 SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(df AS DOUBLE) AS data FROM tf JOIN voc USING (term)"""

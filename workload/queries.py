@@ -13,13 +13,19 @@ from termloom import (
     Analyzer,
     Collection,
     FeatureSpec,
+    all_of,
     analyze,
+    any_of,
+    exists,
+    ids,
     keyword,
     load_corpus,
     match,
+    none_of,
     parse_date,
     prefix,
     random_order,
+    range_,
     scan_indices,
     term,
     terms,
@@ -30,15 +36,16 @@ from termloom import (
 from termloom.functions.text import URL_EMAIL_PATTERN
 from termloom.operators import batches, learning, matrix, significance, term_stats
 from termloom.operators.search import page_of
-from termloom.plans.cells import Source, joined_cells
 from termloom.plans.numbering import row_index
-from termloom.plans.sizing import scratch_dir, settle, spread
+from termloom.plans.sizing import scratch_dir, settle
 from termloom.sources.corpus import mapping_schema
 from termloom.streaming import live
 
 from .specs import (
+    ASKED,
     BATCH,
     KEYWORDS,
+    N_PER_CLASS,
     N_SIGNIFICANT,
     N_SLOTS,
     PAGE_FROM,
@@ -65,7 +72,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +273,61 @@ def vec_row(spark, sf_dir):
 def vec_set_value(spark, sf_dir):
     spec = mixed().set_value("text", "binary").set_value("lang", "doc_freq")
     # The frequencies are those of the labelled documents.
-    return by_key(Collection(labelled(spark, sf_dir), mapping=KEYWORDS).vectorize_all(spec))
+    return by_key(labelled_collection(spark, sf_dir).vectorize_all(spec))
+
+
+@query
+def vec_foreign_statistics(spark, sf_dir):
+    """Statistics of another collection: a term that it does not have gives no cell."""
+    turns = table(spark, sf_dir, "conversations").select("text")
+    return _text_matrix(spark, sf_dir, "doc_freq", corpus=turns.where(F.length("text") < 40))
+
+
+@query
+def vec_foreign_joined(spark, sf_dir):
+    """The same by the plan for dictionaries beyond the broadcast limit."""
+    turns = table(spark, sf_dir, "conversations").select("text")
+    short = turns.where(F.length("text") < 40)
+    return _text_matrix(spark, sf_dir, "doc_freq", corpus=short, largest_broadcast=0)
+
+
+def _french(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where("lang = 'fr'").select("source", "text")
+
+
+@query
+def vec_foreign_scope(spark, sf_dir):
+    return _text_matrix(spark, sf_dir, "ttf", corpus=_french(spark, sf_dir), scope=["source"])
+
+
+@query
+def vec_foreign_scope_joined(spark, sf_dir):
+    corpus = _french(spark, sf_dir)
+    return _text_matrix(spark, sf_dir, "ttf", corpus=corpus, scope=["source"], largest_broadcast=0)
+
+
+@query
+def side_doc_freq(spark, sf_dir):
+    """Only documents that are in both tables count, for rows and statistics alike."""
+    return by_key(labelled_collection(spark, sf_dir).vectorize_all(text_spec("doc_freq")))
+
+
+@query
+def side_scope(spark, sf_dir):
+    """Statistics by a column of the side table."""
+    return by_key(labelled_collection(spark, sf_dir).vectorize_all(text_spec("doc_freq"), scope=["quality"]))
+
+
+@query
+def side_tf_idf(spark, sf_dir):
+    cells = labelled_collection(spark, sf_dir).tf_idf(text_spec("term_freq"))
+    return cells.withColumn("data", F.round("data", 6))
+
+
+@query
+def side_relevance(spark, sf_dir):
+    best = labelled_collection(spark, sf_dir).top_by_relevance("text", ASKED, 50)
+    return best.withColumn("score", F.round("score", 6))
 
 
 @query
@@ -424,7 +485,51 @@ def field_projection(spark, sf_dir):
 
 @query
 def relevance_topk(spark, sf_dir):
-    return collection(spark, sf_dir).top_by_relevance("text", ["idiot", "moron", "les", "was"], 50)
+    best = collection(spark, sf_dir).top_by_relevance("text", ASKED, 50)
+    return best.withColumn("score", F.round("score", 6))
+
+
+@query
+def relevance_page(spark, sf_dir):
+    """A page of a matrix in the order of relevance."""
+    page = collection(spark, sf_dir).search_vectorize(
+        text_spec("term_freq"), terms("text", ASKED), sort=["_score:desc"], relevance=("text", ASKED), size=25
+    )
+    return page.to_coo()
+
+
+@query
+def all_conditions(spark, sf_dir):
+    wanted = all_of(term("text", "the"), range_("n_chars", gte=200, lt=3000), exists("lang"))
+    return _found(spark, sf_dir, wanted)
+
+
+@query
+def any_condition(spark, sf_dir):
+    return _found(spark, sf_dir, any_of(term("lang", "es"), prefix("text", "wor"), range_("n_chars", gt=5000)))
+
+
+@query
+def no_condition(spark, sf_dir):
+    return _found(spark, sf_dir, none_of(term("text", "the"), term("lang", "de"), range_("doc_id", lte=100)))
+
+
+@query
+def ids_query(spark, sf_dir):
+    return _found(spark, sf_dir, ids([3, 7, 7, 11, -4]))
+
+
+@query
+def terminate_all(spark, sf_dir):
+    """Collecting ends after so many documents of the whole collection."""
+    return collection(spark, sf_dir).hits(term("lang", "en"), terminate_after=60)[0]
+
+
+@query
+def terminate_deep(spark, sf_dir):
+    """The same beyond the top-k bound: rows are numbered."""
+    lines = Collection(table(spark, sf_dir, "lineitem"), ("l_orderkey", "l_linenumber"))
+    return lines.hits(range_("l_quantity", lt=40), terminate_after=12_000)[0]
 
 
 @query
@@ -467,6 +572,16 @@ def scan_export(spark, sf_dir):
     return matrix.coo(scanned, ["doc_id", "lang"])
 
 
+@query
+def scan_cutoff(spark, sf_dir):
+    """The first batches of an export: their number and whether none is larger than asked for."""
+    scanned = collection(spark, sf_dir).scan(text_spec("binary"), BATCH, cutoff=2)
+    sizes = scanned.groupBy("batch_id").agg(F.count("*").alias("n"))
+    return sizes.agg(
+        F.count("*").alias("n_batches"), (F.max("n") <= BATCH).alias("within"), F.min(F.col("n") > 0).alias("filled")
+    )
+
+
 @query
 def concat_batches(spark, sf_dir):
     docs = settle(_scrolled(spark, sf_dir).docs.select("batch_id", "row_in_batch", "cells"))
@@ -642,15 +757,39 @@ def _training_spec(spark, sf_dir, size):
 
 
 def _predictions(spark, sf_dir):
-    spec = _training_spec(spark, sf_dir, 100)
+    spec = _training_spec(spark, sf_dir, N_PER_CLASS)
     # Training reads its rows several times and the test set once more: settle them.
     docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     frame = settle(learning.training_frame(docs, spec, mapping=KEYWORDS, labels=labels))
     train, test = learning.train_test_split(frame, seed=SEED)
-    model = learning.train_linear_svc(train, maxIter=10)
+    model = learning.train_linear_svc(train)
     return learning.predict(model, test)
 
 
+@query
+def svc_rows(spark, sf_dir):
+    """The test documents with their labels, and whether each got a class."""
+    answered = F.col("prediction").isin(0.0, 1.0)
+    return _predictions(spark, sf_dir).select("doc_id", "label", answered.alias("answered"))
+
+
+@query
+def svc_check(spark, sf_dir):
+    """Stored beside its specification and loaded again, the model does not fall below the majority share."""
+    path = f"{scratch_dir(spark)}/model-{uuid.uuid4().hex}"
+    spec = _training_spec(spark, sf_dir, N_PER_CLASS)
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    frame = settle(learning.training_frame(docs, spec, mapping=KEYWORDS, labels=labels))
+    train, test = learning.train_test_split(frame, seed=SEED)
+    learning.save_model(learning.train_linear_svc(train), spec, path)
+    model, stored = learning.load_model(path)
+    seen = learning.predict(model, test)
+    right = F.sum((F.col("prediction") == F.col("label")).cast("int"))
+    usual = F.greatest(F.sum(F.col("label")), F.count("*") - F.sum(F.col("label")))
+    same = F.lit(stored == spec)
+    return seen.agg(F.count("*").alias("n_rows"), (right >= usual).alias("holds"), F.first(same).alias("stored"))
+
+
 @query
 def svc_predictions(spark, sf_dir):
     return _predictions(spark, sf_dir).select("doc_id", "label", "prediction")
@@ -695,6 +834,22 @@ def json_corpus(spark, sf_dir):
     return loaded.select("doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
 
 
+@query
+def bulk_corpus(spark, sf_dir):
+    """A bulk file written from documents, with deletions, updates and broken lines in between."""
+    path = f"{scratch_dir(spark)}/bulk-{uuid.uuid4().hex}"
+    names = mapping_schema(_DECLARED).fieldNames()
+    action = F.format_string('{"index": {"_id": "d%d"}}', "doc_id")
+    more = F.when(
+        F.col("doc_id") % 3 == 0,
+        F.format_string('\n{"delete": {"_id": "x%d"}}\n{"update": {"_id": "y"}}\n{"doc": {"lang": "xx"}}', "doc_id"),
+    ).when(F.col("doc_id") % 3 == 1, F.lit('\n{"create": {}}\n{broken'))
+    lines = F.concat(action, F.lit("\n"), F.to_json(F.struct(*names)), F.coalesce(more, F.lit("")))
+    table(spark, sf_dir, "documents").select(lines.alias("value")).write.text(path)
+    loaded = load_corpus(spark, path, _DECLARED, "bulk")
+    return loaded.select("_id", "doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
+
+
 @query
 def parsed_dates(spark, sf_dir):
     pattern = "EEE MMM dd HH:mm:ss zzz yyyy"
@@ -716,6 +871,34 @@ def multi_table_scan(spark, sf_dir):
     return by_key(cells)
 
 
+def _several(spark, sf_dir):
+    both = scan_indices(
+        spark,
+        {"documents": f"{sf_dir}/documents.parquet", "items": f"{sf_dir}/benchmark.parquet"},
+        columns={"items": {"item_id": "doc_id"}},
+    )
+    return Collection(both, ("_index", "doc_id"))
+
+
+@query
+def one_of_several(spark, sf_dir):
+    """A document of several collections, named by collection and id."""
+    found = _several(spark, sf_dir).vectorize(text_spec("term_freq"), ("items", 7))
+    return found.withColumn("matrix", F.to_json("matrix"))
+
+
+@query
+def sample_of_several(spark, sf_dir):
+    keys = ["_index", "doc_id"]
+    page = _several(spark, sf_dir).search_vectorize(text_spec("term_freq"), sort=[random_order(keys, SEED)], size=60)
+    return page.docs.select(*keys, "row", F.size("cells").alias("n_cells"))
+
+
+@query
+def split_of_several(spark, sf_dir):
+    return learning.hash_split(_several(spark, sf_dir).df.select("_index", "doc_id"), ["_index", "doc_id"], seed=SEED)
+
+
 # -- streams -------------------------------------------------------------------------------------------
 def _stream(spark, sf_dir):
     schema = table(spark, sf_dir, "documents").schema
@@ -771,5 +954,18 @@ def joined_dictionary(spark, sf_dir):
     """
     docs = documents(spark, sf_dir)
     words = row_index(term_stats.doc_freq(docs, "text").select("term"), ["term"], "col")
-    cells = joined_cells(docs, "text", words, "doc_freq", Source(docs, None, KEYWORDS, []), ["doc_id"])
+    cells = Collection(docs, mapping=KEYWORDS).from_dictionary("text", words, "doc_freq")
     return matrix.coo(cells, ["doc_id"])
+
+
+@query
+def merged_statistics_batches(spark, sf_dir):
+    """Running statistics, merged over their epochs, as the only source of a stream's columns."""
+    out = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
+    stats = live.stream_statistics(_stream(spark, sf_dir), "text")
+    live.keep_statistics(stats, f"{out}/stats", f"{out}/one").awaitTermination()
+    merged = live.merge_statistics(spark, f"{out}/stats", f"{out}/merged")
+    live.vectorize_batches(
+        _stream(spark, sf_dir), text_spec("ttf"), f"{out}/coo", f"{out}/two", statistics=merged
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/coo").withColumn("batch_id", F.col("batch_id").cast("bigint"))

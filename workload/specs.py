@@ -10,6 +10,8 @@ SEED = 7
 BATCH = 128
 PAGE_FROM, PAGE_SIZE = 20, 30
 N_SIGNIFICANT = 10
+N_PER_CLASS = 3000
+ASKED = ["idiot", "moron", "les", "was"]
 N_SLOTS = 5
 
 
