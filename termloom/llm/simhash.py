@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.plans.sizing import broadcast_limit
+
 from . import buffers
 from .components import components
 from .storage import id_out, id_text, settle
@@ -31,6 +33,8 @@ _SEGMENTS = 32
 _LOW = 0x5555555555555555
 # Cells up to this size are compared pair by pair, larger ones by a search that spares members.
 _SMALL_CELL = 32
+# Cells above this size are divided further.
+HOT_CELL = 1 << 16
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _BLOCK = 1 << 16
 
@@ -185,11 +189,25 @@ def links(values: DataFrame, column: str = "fingerprint", max_bits: int = MAX_BI
     """Links ``a, b`` between different fingerprints that connect all those ``max_bits`` apart or less.
 
     A cell gives a spanning star where it is large, so a ball of many copies does not give all its
-    pairs; any two fingerprints within ``max_bits`` share a cell and end in one component.
+    pairs; any two fingerprints within ``max_bits`` share a cell and end in one component.  A cell
+    with more than ``HOT_CELL`` fingerprints is divided: of ``max_bits + 1`` parts of the 64 bits
+    two near fingerprints share one, so each part's bits name a smaller cell.
     """
     point = embedded(F.col(column))
     keys = [F.xxhash64(F.lit(i), point.bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(cell_masks(groups, max_bits))]
     cells = values.select(F.col(column).alias("value"), F.explode(F.array(*keys)).alias("cell"))
+    hot = settle(cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CELL).select("cell"))
+    n_hot = hot.count()
+    if n_hot:
+        few = 64 * n_hot <= broadcast_limit(values.sparkSession)
+        hot = F.broadcast(hot) if few else hot
+        bounds = [64 * part // (max_bits + 1) for part in range(max_bits + 2)]
+        masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(bounds, bounds[1:])]
+        smaller = [
+            F.xxhash64("cell", F.lit(i), F.col("value").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)
+        ]
+        divided = cells.join(hot, "cell").select("value", F.explode(F.array(*smaller)).alias("cell"))
+        cells = cells.join(hot, "cell", "left_anti").select("value", "cell").unionAll(divided)
     sorted_cells = cells.repartition("cell").sortWithinPartitions("cell")
     return sorted_cells.mapInArrow(links_in_cells(max_bits), "a bigint, b bigint").distinct()
 

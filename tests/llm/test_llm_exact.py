@@ -269,7 +269,9 @@ def test_components_of_documents(spark, odd, texts):
     assert rows_of(simhash.near_duplicates(as_docs(spark, texts))) == plain_components(texts)
 
 
-def test_no_link_is_lost_in_dense_groups(spark):
+@pytest.mark.parametrize("hot", [simhash.HOT_CELL, 40])
+def test_no_link_is_lost_in_dense_groups(spark, hot, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_CELL", hot)
     draw = np.random.default_rng(1)
     values = set()
     for base in draw.integers(0, 1 << 63, 20, dtype=np.uint64):
