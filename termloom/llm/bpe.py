@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from . import buffers
 
 # Encoded words a task remembers; the memory starts afresh when it is full.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 REMEMBERED_LENGTH = 64
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_PAIRS = 250_000
 _IDS, _LISTED = itemgetter(0), itemgetter(1)
 DIGEST = pa.schema(
     [

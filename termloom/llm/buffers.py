@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text handled at once in a task; one longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 BREAK = 0x0A
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -113,7 +113,7 @@ class RangeHash:
     """64-bit hashes of byte ranges, each in constant time: equal ranges, equal hashes."""
 
     def __init__(self, buffer: np.ndarray, seed: int = 1):
-        self._up, self._down = _powers(max(22, len(buffer).bit_length()))
+        self._up, self._down = _powers(max(21, len(buffer).bit_length()))
         self._sums = np.zeros(len(buffer) + 1, np.uint64)
         codes = mix(np.arange(256, dtype=np.uint64) + np.uint64(seed * 256))
         np.cumsum(codes[buffer] * self._up[: len(buffer)], out=self._sums[1:])
