@@ -134,6 +134,19 @@ def resolve(query, df: DataFrame, mapping: FieldMapping) -> Column | None:
     return query(df, mapping)
 
 
+def analyzed_fields(query, df: DataFrame, mapping: FieldMapping) -> list[str]:
+    """The fields whose tokens a condition looks at."""
+    seen: dict[str, None] = {}
+
+    class Recording(FieldMapping):
+        def tokens(self, df: DataFrame, name: str) -> Column:
+            seen[name] = None
+            return super().tokens(df, name)
+
+    resolve(query, df, Recording(mapping.keywords, mapping.analyzers, mapping.default))
+    return list(seen)
+
+
 def matching(df: DataFrame, query, mapping: FieldMapping) -> DataFrame:
     wanted = resolve(query, df, mapping)
     return df if wanted is None else df.where(wanted)

@@ -61,6 +61,8 @@ class FieldMapping:
         return self.analyzers.get(name, self.default)
 
     def tokens(self, df: DataFrame, name: str) -> Column:
+        if ready_name(name) in df.columns:
+            return F.col(ready_name(name))
         kind, value = df.schema[name].dataType, F.col(name)
         if isinstance(kind, T.StringType):
             return keyword(value) if name in self.keywords else self.analyzer(name).tokens(value)
@@ -72,6 +74,22 @@ class FieldMapping:
         raise ValueError(f"field {name!r} of type {kind.simpleString()} holds no terms")
 
 
+def ready_name(field: str) -> str:
+    """The column that holds the tokens of a field once they are worked out."""
+    return f"__tokens:{field}"
+
+
+def with_ready_tokens(df: DataFrame, fields: list[str], mapping: FieldMapping) -> DataFrame:
+    """Add the tokens of some fields for several uses, such as a filter and a count.
+
+    A generated column is what the optimizer neither copies into a filter nor pushes one below, so
+    each text is analyzed once.
+    """
+    for name in fields:
+        df = df.select("*", F.explode_outer(F.array(mapping.tokens(df, name))).alias(ready_name(name)))
+    return df
+
+
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """Bind an expensive expression to a lambda variable, so that it runs once per row."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +30,14 @@ class Matrix:
     # -- row numbers ------------------------------------------------------------------------
     def numbered(self) -> "Matrix":
         """Give every document its row number in result order."""
-        if "row" in self.docs.columns:
-            return self
+        return self if "row" in self.docs.columns else self._numbered
+
+    @cached_property
+    def _numbered(self) -> "Matrix":
+        # Numbers are settled once per matrix.  They are the side that is hashed, so the cells
+        # meet them without being sorted.
         rows = row_index(self.hits, list(self.order)).select(*self.key, "row")
-        return replace(self, docs=self.docs.join(rows, list(self.key)))
+        return replace(self, docs=self.docs.join(rows.hint("shuffle_hash"), list(self.key)))
 
     # -- sparse forms -------------------------------------------------------------------------
     def to_dict(self) -> DataFrame:

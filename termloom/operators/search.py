@@ -9,9 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.conditions import matching
+from ..functions.conditions import analyzed_fields, matching
 from ..functions.scoring import inverse_doc_freq
-from ..functions.text import FieldMapping, once
+from ..functions.text import FieldMapping, once, with_ready_tokens
 from ..functions.values import seeded_digest
 from ..plans.cells import Source, constant_array, count_terms, joined_cells, joined_weights, known_statistics, with_cells
 from ..plans.numbering import TOP_K_ROWS, first_rows, row_index, top_per_group
@@ -146,7 +146,7 @@ class Collection:
     ) -> Matrix:
         """The matrix of every document that matches."""
         hits, order = self.hits(query, sort)
-        docs = self._vectors(spec, fields or [], options, self._matching(query))
+        docs = self._vectors(spec, fields or [], options, self._matching(query, spec))
         return Matrix(docs, hits, spec, self.key, tuple(order))
 
     def scroll(self, spec: FeatureSpec, size: int, query=None, **options) -> Matrix:
@@ -162,7 +162,7 @@ class Collection:
         fields with ``batch_id`` (unique, not consecutive), ``row_in_batch`` and ``cells``.
         """
         fields, cutoff = options.pop("fields", None) or [], options.pop("cutoff", -1)
-        docs = self._vectors(spec, fields, options, self._matching(query))
+        docs = self._vectors(spec, fields, options, self._matching(query, spec))
         at = F.monotonically_increasing_id()
         inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
         row = F.pmod(inside, F.lit(size))
@@ -178,11 +178,13 @@ class Collection:
         chosen = first_rows(cut.select("batch_id").distinct(), ["batch_id"], cutoff)
         return cut.join(F.broadcast(chosen) if cutoff <= TOP_K_ROWS else chosen, "batch_id", "left_semi")
 
-    def _matching(self, query) -> Callable[[DataFrame], DataFrame]:
+    def _matching(self, query, spec: FeatureSpec) -> Callable[[DataFrame], DataFrame]:
         if query is None:
             return lambda table: table
         if self.side is None:
-            return lambda table: matching(table, query, self.mapping)
+            asked = analyzed_fields(query, self.df, self.mapping)
+            shared = [f for f in asked if f in spec.term_columns() and f not in self.mapping.keywords]
+            return lambda table: matching(with_ready_tokens(table, shared, self.mapping), query, self.mapping)
         # The query may ask for fields of both tables: its answer chooses among the documents.
         keys = list(self.key)
         chosen = matching(self.whole, query, self.mapping).select(*keys)

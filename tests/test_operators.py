@@ -29,6 +29,7 @@ from termloom.operators.search import page_of
 from termloom.plans.numbering import row_index, sum_before, top_per_group
 from termloom.streaming import live
 
+# The mapping and the document of the published example.
 TWEETS = {
     "polarity": {"type": "short"},
     "tweet_id": {"type": "string", "index": "not_analyzed"},
@@ -44,6 +45,7 @@ LINE = (
 
 
 # -- significance -----------------------------------------------------------------------------------
+# The ten published terms with their counts and scores.
 BUCKETS = [
     ("you", 147254, 226172, 0.05561462321085083),
     ("thanks", 34066, 39809, 0.03029631391819203),

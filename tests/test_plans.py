@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from termloom import Collection, FeatureSpec, term
+from termloom import Collection, FeatureSpec, term, terms
 from termloom.operators import significance, term_stats
 from workload.queries import REGISTRY
 
@@ -112,6 +112,18 @@ def test_nothing_but_totals_and_bounded_pages_meets_in_one_task(spark, small, na
             assert "partial_" in below or "LocalLimit" in below or "HashAggregate" in below, below
 
 
+def test_one_analysis_for_query_and_cells(docs):
+    found = Collection(docs).vectorize_all(SPEC, terms("text", ["the", "la"])).to_dict()
+    assert plan(found).count("regexp_extract_all") == 1
+
+
+def test_cells_are_not_sorted_for_triples(docs):
+    matrix = Collection(docs).vectorize_all(SPEC)
+    assert matrix.numbered() is matrix.numbered()
+    text = plan(matrix.to_coo())
+    assert "SortMergeJoin" not in text and ("ShuffledHashJoin" in text or "BroadcastHashJoin" in text)
+
+
 def test_large_top_k_is_numbered_not_gathered(docs, monkeypatch):
     monkeypatch.setattr("termloom.plans.numbering.TOP_K_ROWS", 5)
     hits = Collection(docs).hits(terminate_after=50)[0]

@@ -11,7 +11,8 @@ from termloom.operators import batches, matrix
 from termloom.operators.learning import with_ml_vector
 from termloom.plans.cells import with_cells
 
-POSITIVE = "you thanks love good your great thank happy awesome haha".split()
+# The terms of the published example, in its order.
+POSITIVE = ["you", "thanks", "love", "good", "your", "great", "thank", "happy", "awesome", "haha"]
 TWEETS = FeatureSpec.from_spec(
     [{"field": "text", "span": POSITIVE, "value": "binary"}, {"field": "polarity", "span": 1}]
 )
