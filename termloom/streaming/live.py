@@ -51,7 +51,7 @@ def vectorize_batches(
     """Each micro-batch is one COO batch with its own row numbers, in the folder of its epoch.
 
     An epoch that is run again replaces its folder.  ``doc_freq`` and ``ttf`` describe a stored
-    ``corpus`` or a table of ``statistics``, both as of the time of the micro-batch.
+    ``corpus``, counted once when the stream is started, or a table of ``statistics``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if corpus is not None and statistics is None and spec.needs_statistics:
