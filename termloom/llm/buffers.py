@@ -14,7 +14,6 @@ PIECE_BYTES = 1 << 20
 BREAK = 0x0A
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
-_ONE = np.uint64(1)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -44,8 +44,3 @@ def settle(frame: DataFrame) -> DataFrame:
     """Write a frame to ``spark.checkpoint.dir`` and go on from there."""
     scratch_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
-
-
-def parts(spark: SparkSession) -> int:
-    """How many tasks a shuffle has; hot groups are split into as many."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
