@@ -42,7 +42,6 @@ REGISTERED = (
     "one_document",
     "scroll_batches",
     "concat_batches",
-    "svc_accuracy",
 )
 
 
@@ -89,6 +88,8 @@ def main() -> None:
     )
     for name in REGISTERED:
         actions[name] = lambda name=name: run(REGISTRY[name](spark, sf_dir))
+    learned = []
+    actions["svc_accuracy"] = lambda: learned.append(REGISTRY["svc_accuracy"](spark, sf_dir).first()["accuracy"])
     cold = {name: timed(action) for name, action in actions.items()}
     warm = {name: timed(action) for name, action in actions.items()}
 
@@ -105,7 +106,6 @@ def main() -> None:
         }
     rates["scan_seconds_per_batch"] = round(warm["scan_600"] / max(1, -(-n_docs // SCAN_SIZE)), 4)
     share = labelled(spark, sf_dir).agg(F.avg((F.col("toxic") == 0).cast("double"))).first()[0]
-    right = REGISTRY["svc_accuracy"](spark, sf_dir).first()["accuracy"]
     report = {
         "metric": "warm_total",
         "value": round(sum(warm.values()), 3),
@@ -113,7 +113,7 @@ def main() -> None:
         "queries": warm,
         "cold": cold,
         "rates": rates,
-        "accuracy": round(right, 4),
+        "accuracy": round(learned[-1], 4),
         "majority_share": round(share, 4),
         "sf": Path(GIVEN_DIR).name.removeprefix("sf"),
     }
