@@ -13,15 +13,16 @@ WITH bits AS (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c,
      won AS (SELECT doc_id, k, any_value(text) AS text,
          arg_min(s, drawn) FILTER (s < 40) AS shard, arg_min(s, drawn) AS grown_shard FROM draws GROUP BY doc_id, k),
      sized AS (SELECT doc_id, k, strlen(text) + 16 AS size, shard, grown_shard,
-         substr(md5(k), 1, 3) AS piece, list_transform(range(strlen(text)),
-         lambda j: ('0x' || substr(hex(encode(text)), 2 * j + 1, 2))::BIGINT) AS bytes FROM won)
-SELECT doc_id, size::BIGINT AS size,
-       xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
-           lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) AS text_crc32,
-       'key' AS law, shard::INTEGER AS shard,
-       row_number() OVER (PARTITION BY shard ORDER BY piece, k, size) - 1 AS slot,
+         list_transform(range(strlen(text)),
+         lambda j: ('0x' || substr(hex(encode(text)), 2 * j + 1, 2))::BIGINT) AS bytes FROM won),
+     summed AS (SELECT doc_id, k, size, shard, grown_shard,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+             lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) AS text_crc32 FROM sized, steps)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard
+           ORDER BY substr(md5(k || ':' || size || ':' || text_crc32), 1, 3), k, size, text_crc32) - 1 AS slot,
        grown_shard::INTEGER AS grown_shard
-FROM sized, steps
+FROM summed
 """
 
 ORACLE: dict[str, str] = {"op6_rendezvous_shards": OP6}

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 # Hex digits of a key's hash that name its piece of a shard; slots are numbered piece by piece.
 PIECE_DIGITS = 3
+# Equal rows are told apart in blocks of so many.
+EQUAL_BLOCK = 1 << 16
 # 13 hex digits: a whole number that a double holds exactly.
 _DRAW_DIGITS = 13
 
@@ -40,19 +42,26 @@ def choose(key: Column, shards: Sequence[tuple[int, float]]) -> Column:
 def numbered(rows: DataFrame, shard: str, key: str, order: Sequence[str], name: str) -> DataFrame:
     """Gapless numbers from 0 inside each shard, without a whole shard in one task.
 
-    A shard is cut into pieces by the key's hash.  Rows are numbered inside their piece; the
-    pieces before it add their counts, of which there are at most ``16 ** PIECE_DIGITS`` a shard.
+    A shard is cut into pieces by a hash of key and order, so rows that share a key are divided as
+    well.  Equal rows are counted before they are shuffled and share one range of numbers.  Ranges
+    are numbered inside their piece; the pieces before it add their counts, of which there are at
+    most ``16 ** PIECE_DIGITS`` a shard.
     """
-    placed = rows.withColumn("__piece", _hashed(F.col(key), PIECE_DIGITS))
-    sizes = placed.groupBy(shard, "__piece").agg(F.count("*").alias("__n"))
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("__n"))
+    placed = counted.withColumn("__piece", _hashed(F.concat_ws(":", key, *order), PIECE_DIGITS))
+    sizes = placed.groupBy(shard, "__piece").agg(F.sum("__n").alias("__n"))
     earlier = Window.partitionBy(shard).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(shard, "__piece", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy(shard, "__piece").orderBy(key, *order)
-    return (
-        placed.withColumn("__at", F.row_number().over(inside))
-        .join(offsets, [shard, "__piece"])
-        .withColumn(name, (F.col("__before") + F.col("__at") - 1).cast("bigint"))
-        .drop("__piece", "__before", "__at")
+    inside = Window.partitionBy(shard, "__piece").orderBy(key, *order).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    ranges = placed.join(offsets, [shard, "__piece"]).withColumn("__first", first)
+    last_block = F.expr(f"(__n - 1) div {EQUAL_BLOCK}")
+    blocks = ranges.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    begin = F.col("__block") * EQUAL_BLOCK
+    end = F.least(F.col("__n"), begin + EQUAL_BLOCK) - 1
+    each = blocks.withColumn("__at", F.explode(F.sequence(begin, end)))
+    return each.withColumn(name, (F.col("__first") + F.col("__at")).cast("bigint")).drop(
+        "__piece", "__n", "__before", "__first", "__block", "__at"
     )
 
 

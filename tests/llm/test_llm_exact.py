@@ -181,6 +181,17 @@ def test_shards(odd):
         assert slots == list(range(len(slots)))
 
 
+def test_rows_with_one_key_are_divided(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "EQUAL_BLOCK", 7)
+    rows = [(None, "the same text")] * 500 + [(None, f"text {i}") for i in range(300)] + [(4, "a")] * 8 + [(5, None)] * 7
+    docs = as_docs(spark, rows).repartition(5)
+    got = sharding.assign(docs, [(0, 1.0), (1, 1.0)]).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    for shard in (0, 1):
+        slots = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
 def test_weights_set_the_shares(spark):
     ids = spark.range(4000).selectExpr("id AS doc_id", "'t' AS text")
     counts = dict(sharding.assign(ids, [(0, 1.0), (1, 3.0)]).groupBy("shard").count().collect())
