@@ -144,10 +144,13 @@ class LineIndex:
         return LineIndex(refs, settle(repeated), filters, self.shards)
 
     def dropped(self, refs: DataFrame | None = None) -> DataFrame:
-        """``doc_id, row, dropped``: per row the numbers of the lines that an earlier document holds."""
+        """``doc_id, row, dropped``: per row the numbers of the lines that an earlier document holds.
+
+        Equal rows give each number once, however many they are.
+        """
         likely = probe(self.refs if refs is None else refs, self.filters, self.shards)
         late = likely.join(self.repeated, _KEY).where("doc_id > first_doc")
-        return late.groupBy("doc_id", "row").agg(F.collect_list("pos").alias("dropped"))
+        return late.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("dropped"))
 
 
 def without_repeats(docs: DataFrame, index: LineIndex, key: str = "doc_id", text: str = "text") -> DataFrame:
