@@ -116,7 +116,11 @@ def find_runs(hot, length: int, gram: int):
             doc_id = batch.column("doc_id").to_numpy()[row]
             at = (batch.column("tag").to_numpy()[row] << _TAG_SHIFT) | start
             # copies within the batch: the later ones are covered and need not travel as runs
-            order, _, _, later = _sorted_groups(anchor, run, doc_id, at)
+            order, _, new_run, later = _sorted_groups(anchor, run, doc_id, at)
+            # equal rows of one document are one
+            again = ~new_run
+            again[1:] &= (doc_id[order[1:]] == doc_id[order[:-1]]) & (at[order[1:]] == at[order[:-1]])
+            order, later = order[~again], later[~again]
             size, anchor, run = size[order].astype(np.int64), anchor[order], run[order]
             doc_id, at = doc_id[order], at[order]
             # covered stretches meet nobody, so they are dealt out evenly
@@ -239,7 +243,7 @@ def covered(
     found = spark.read.schema("doc_id bigint, at bigint, size int, anchor bigint").parquet(folder)
     tag = F.shiftright("at", _TAG_SHIFT)
     wanted = found.where("anchor IS NOT NULL").groupBy("doc_id", tag.alias("tag"))
-    lists = wanted.agg(F.collect_list(F.struct("at", "size", "anchor")).alias("wanted"))
+    lists = wanted.agg(F.collect_set(F.struct("at", "size", "anchor")).alias("wanted"))
     contents = texts.join(lists, ["doc_id", "tag"]).select("doc_id", "text", "wanted").mapInArrow(
         cut_out, "anchor bigint, doc_id bigint, at bigint, content binary"
     )
@@ -303,7 +307,7 @@ def remove_repeats(
     texts = id_text(docs, key, text).withColumn("tag", tag)
     spans = covered(texts, length, **sizes)
     by_row = spans.groupBy("doc_id", F.shiftright("at", _TAG_SHIFT).alias("tag"))
-    gone = by_row.agg(F.collect_list(F.struct("at", "size")).alias("gone"))
+    gone = by_row.agg(F.collect_set(F.struct("at", "size")).alias("gone"))  # equal rows give the same stretches
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
