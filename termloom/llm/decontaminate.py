@@ -27,12 +27,13 @@ from .storage import id_out, id_text
 # An item is found where at most this share of its words must be inserted, removed or replaced.
 MAX_EDITED = 0.2
 # Sampled places in a key, walks, and keys of each walk: chosen for a recall of 0.95 at the largest
-# distance allowed, see tests/llm/test_decontaminate.py.
+# distance allowed, see tests/llm/test_llm_exact.py.
 PLACES = 4
 WALKS = 2
 KEYS = 12
-# Items are indexed in blocks of so many bytes; each block is one pass over the documents.
-BLOCK_BYTES = 8 << 20
+# Items are indexed in blocks of so many bytes; each block is one pass over the documents.  A block
+# of words of five letters has some 350,000 windows with WALKS * KEYS entries of 16 bytes: 140 MB.
+BLOCK_BYTES = 2 << 20
 MAX_WINDOW = 128
 SEED = 11
 _WORD = np.zeros(256, bool)
@@ -140,7 +141,8 @@ class ItemIndex:
             starts = np.concatenate([np.arange(first[i], first[i + 1] - level + 1) for i in items])
             owner = np.repeat(items, [sizes[i] - level + 1 for i in items])
             found = np.concatenate(list(keys(hashes, starts, level)))
-            owner, offset = np.tile(owner, WALKS * KEYS), np.tile(starts - first[owner], WALKS * KEYS)
+            offset = np.tile((starts - first[owner]).astype(np.int32), WALKS * KEYS)
+            owner = np.tile(owner.astype(np.int32), WALKS * KEYS)
             order = np.argsort(found, kind="stable")
             allowed = max_edits(max(int(sizes[i]) for i in items))
             likely = np.zeros(1 << _FILTER_BITS, bool)
