@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import settle
+
 # Hex digits of a key's hash that name its piece of a shard; slots are numbered piece by piece.
 PIECE_DIGITS = 3
 # Equal rows are told apart in blocks of so many.
@@ -45,9 +47,9 @@ def numbered(rows: DataFrame, shard: str, key: str, order: Sequence[str], name:
     A shard is cut into pieces by a hash of key and order, so rows that share a key are divided as
     well.  Equal rows are counted before they are shuffled and share one range of numbers.  Ranges
     are numbered inside their piece; the pieces before it add their counts, of which there are at
-    most ``16 ** PIECE_DIGITS`` a shard.
+    most ``16 ** PIECE_DIGITS`` a shard.  The counted rows are settled, so texts are read once.
     """
-    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("__n"))
+    counted = settle(rows.groupBy(*rows.columns).agg(F.count("*").alias("__n")))
     placed = counted.withColumn("__piece", _hashed(F.concat_ws(":", key, *order), PIECE_DIGITS))
     sizes = placed.groupBy(shard, "__piece").agg(F.sum("__n").alias("__n"))
     earlier = Window.partitionBy(shard).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
