@@ -35,7 +35,7 @@ SAMPLE_ROWS = 1500
 ALWAYS_KEPT = 2
 MIN_COUNT = 2
 UNDETERMINED = "und"
-_BLOCK = 1 << 19
+_BLOCK = 1 << 17
 _LETTER = regex.compile(r"\p{L}")
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
@@ -209,7 +209,7 @@ def code_lengths(model: Model, data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Bits for each text by each language.  Works through the bytes in blocks of a fixed size."""
     n, order = len(at) - 1, model.order
     bits = np.zeros((n, len(model.langs)))
-    empty, joint = model.context[0], model.cost + model.context
+    empty = model.context[0]
     starts = at[:-1]
     for begin in range(0, len(data), _BLOCK):
         lead = max(0, begin - order)
@@ -229,7 +229,7 @@ def code_lengths(model: Model, data: np.ndarray, at: np.ndarray) -> np.ndarray:
             longest = np.where(known > 0, model.first[k] + known, longest)
         own = longest[begin - lead :]
         inner = np.unique(np.concatenate([[begin], starts[(starts > begin) & (starts < end)]])).astype(np.int64)
-        sums = np.add.reduceat(joint[own], inner - begin, axis=0)
+        sums = np.add.reduceat(model.cost[own] + model.context[own], inner - begin, axis=0)
         rows = buffers.owner(at[:-1], inner)
         np.add.at(bits, rows, sums)
         # a context counts for the byte after it: add that of a text's start, take off that of its end
