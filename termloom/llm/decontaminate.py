@@ -9,6 +9,10 @@ exact distance between the item and the best part of the document there.
 
 Windows that cannot match are left out first: a part within the allowed distance of an item has at
 most so many words that no item has.
+
+A copy that lost words may be shorter than the window.  So windows reach over the end of a text,
+where a walk finds only ``PAD``: those of documents as far as the shortest copy needs it, those of
+items as far as words may be missing before them.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ SEED = 11
 _WORD = np.zeros(256, bool)
 _WORD[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
 _WORD[128:] = True
+PAD = np.uint64(0x5851F42D4C957F2D)  # the word after the last one of a text
 _FILTER_BITS = 20
 _VERIFIED = 256  # candidates compared at once
 _FOUND = pa.schema(
@@ -68,7 +73,8 @@ LEVELS = _levels()
 
 
 def stride(level: int) -> int:
-    """Windows of documents begin so many words apart, those of items at every word."""
+    """Windows of documents begin so many words apart, from the first word of each and closer at its
+    end; those of items begin at every word."""
     return max(1, level // 6)
 
 
@@ -87,26 +93,53 @@ def words(data: np.ndarray, at: np.ndarray):
     return buffers.RangeHash(buffers.LOWER[buffer]).of(start, end), row, start - shift, end - shift
 
 
-def walk(hashes: np.ndarray, starts: np.ndarray, level: int, seed: int) -> tuple[np.ndarray, int]:
+def padded(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with a ``PAD`` after each row, where each row begins, and where its ``PAD`` stands."""
+    shift = np.arange(len(first) - 1)
+    return np.insert(hashes, first[1:], PAD), first[:-1] + shift, first[1:] + shift
+
+
+def window_starts(sizes: np.ndarray, level: int, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and first word, counted in the row, of the windows of rows of so many words.
+
+    They begin ``stride`` apart as long as ``shortest`` words are left, and at every word where
+    fewer than ``level`` or just as many are.
+    """
+    step = stride(level)
+    regular = np.maximum(sizes - shortest + step, 0) // step
+    tail = np.clip(sizes - shortest + 1, 0, level - shortest + 1)
+    row = np.arange(len(sizes))
+    rows = np.concatenate([np.repeat(row, regular), np.repeat(row, tail)])
+    places = np.concatenate([_counted(regular) * step, np.repeat(sizes - shortest, tail) - _counted(tail)])
+    doubled = np.concatenate([np.zeros(regular.sum(), bool), places[regular.sum() :] % step == 0])
+    return rows[~doubled], places[~doubled]
+
+
+def _counted(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each count."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def walk(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, level: int, seed: int) -> tuple[np.ndarray, int]:
     """The words that the walks from ``starts`` write, step by window, for the steps that a window
-    of ``level`` words almost surely covers."""
+    of ``level`` words almost surely covers; no walk passes the ``PAD`` at its place of ``stops``."""
     steps = max(1, level * 3 // 2)
     written = np.empty((steps, len(starts)), np.uint64)
     at = starts.copy()
-    last = len(hashes) - 1
     for step in range(steps):
-        here = hashes[np.minimum(at, last)]
+        here = hashes[at]
         written[step] = here
         coin = (here ^ np.uint64((seed * 1_000_003 + step) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
         at += (coin >> np.uint64(63)).astype(np.int64)
+        np.minimum(at, stops, out=at)
     return written, steps
 
 
-def keys(hashes: np.ndarray, starts: np.ndarray, level: int) -> Iterator[np.ndarray]:
+def keys(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, level: int) -> Iterator[np.ndarray]:
     """For each repetition a key per window."""
     draw = np.random.default_rng(SEED + level)
     for number in range(WALKS):
-        written, steps = walk(hashes, starts, level, SEED + number)
+        written, steps = walk(hashes, starts, stops, level, SEED + number)
         for repetition in range(KEYS):
             key = np.full(len(starts), (level << 16) + number * KEYS + repetition, np.uint64)
             for place in np.sort(draw.choice(steps, min(PLACES, steps), replace=False)):
@@ -137,33 +170,37 @@ class ItemIndex:
             if size:
                 by_level.setdefault(level_of(size), []).append(item)
         levels = {}
+        spread, begin, stop = padded(hashes, first)
         for level, items in sorted(by_level.items()):
-            starts = np.concatenate([np.arange(first[i], first[i + 1] - level + 1) for i in items])
-            owner = np.repeat(items, [sizes[i] - level + 1 for i in items])
-            found = np.concatenate(list(keys(hashes, starts, level)))
-            offset = np.tile((starts - first[owner]).astype(np.int32), WALKS * KEYS)
+            n = sizes[items]
+            edits = np.array([max_edits(size) for size in n.tolist()])
+            counts = np.maximum(n - level, edits) + 1
+            owner, offset = np.repeat(items, counts), _counted(counts)
+            found = np.concatenate(list(keys(spread, begin[owner] + offset, stop[owner], level)))
+            offset = np.tile(offset.astype(np.int32), WALKS * KEYS)
             owner = np.tile(owner.astype(np.int32), WALKS * KEYS)
             order = np.argsort(found, kind="stable")
-            allowed = max_edits(max(int(sizes[i]) for i in items))
             likely = np.zeros(1 << _FILTER_BITS, bool)
             likely[found >> np.uint64(64 - _FILTER_BITS)] = True
-            levels[level] = (allowed, found[order], owner[order], offset[order], likely)
+            shortest = min(level, int((n - edits).min()))
+            levels[level] = (int(edits.max()), shortest, found[order], owner[order], offset[order], likely)
         return cls(np.array(ids, np.int64), hashes, first, known, levels)
 
-    def candidates(self, hashes: np.ndarray, row_first: np.ndarray, row_of: np.ndarray):
-        """Item, and the word it would begin at, for windows that share a key with one of its windows."""
+    def candidates(self, hashes: np.ndarray, row_first: np.ndarray):
+        """Item, the word it would begin at, and the row, for windows that share a key with one of its windows."""
         unknown = np.concatenate([[0], np.cumsum(~self.known[hashes >> np.uint64(64 - _FILTER_BITS)])])
-        items, places = [], []
-        for level, (allowed, sorted_keys, owner, offset, likely) in self.levels.items():
-            last = len(hashes) - level
-            if last < 0:
-                continue
-            starts = np.arange(0, last + 1, stride(level))
-            starts = starts[(unknown[starts + level] - unknown[starts]) <= allowed]
-            starts = starts[row_of[starts] == row_of[starts + level - 1]]
+        spread, _, stop = padded(hashes, row_first)
+        sizes = np.diff(row_first)
+        found = [np.zeros((0, 3), np.int64)]
+        for level, (allowed, shortest, sorted_keys, owner, offset, likely) in self.levels.items():
+            rows, places = window_starts(sizes, level, shortest)
+            starts = row_first[rows] + places
+            ends = np.minimum(starts + level, row_first[rows + 1])
+            fitting = np.flatnonzero(unknown[ends] - unknown[starts] <= allowed)
+            rows, starts = rows[fitting], starts[fitting]
             if not len(starts):
                 continue
-            for key in keys(hashes, starts, level):
+            for key in keys(spread, starts + rows, stop[rows], level):
                 hit = np.flatnonzero(likely[key >> np.uint64(64 - _FILTER_BITS)])
                 low = np.searchsorted(sorted_keys, key[hit], "left")
                 same = sorted_keys[np.minimum(low, len(sorted_keys) - 1)] == key[hit]
@@ -171,13 +208,10 @@ class ItemIndex:
                 if not len(hit):
                     continue
                 count = np.searchsorted(sorted_keys, key[hit], "right") - low
-                entry = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                items.append(owner[entry])
-                places.append(np.repeat(starts[hit], count) - offset[entry])
-        if not items:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.concatenate(items), np.concatenate(places)], 1), axis=0)
-        return pairs[:, 0], pairs[:, 1]
+                entry = np.repeat(low, count) + _counted(count)
+                hit = np.repeat(hit, count)
+                found.append(np.stack([owner[entry], starts[hit] - offset[entry], rows[hit]], 1))
+        return np.unique(np.concatenate(found), axis=0).T
 
 
 def _distances(item: np.ndarray, parts: np.ndarray, free_start: bool) -> np.ndarray:
@@ -226,12 +260,11 @@ def search(index: ItemIndex, data: np.ndarray, at: np.ndarray):
     row_first = np.searchsorted(row, np.arange(n + 1))
     results = []
     if len(hashes) and len(index.ids):
-        items, begins = index.candidates(hashes, row_first, row)
         # a candidate belongs to the text that its window lies in, even if it begins before it
-        inner = np.clip(begins + (index.first[items + 1] - index.first[items]) // 2, 0, len(hashes) - 1)
+        items, begins, rows = index.candidates(hashes, row_first)
         for item in np.unique(items):
             mine = items == item
-            owner = row[inner[mine]]
+            owner = rows[mine]
             found = verify(index, int(item), begins[mine], hashes, row_first[owner], row_first[owner + 1])
             good = found[:, 0] >= 0
             for text, (distance, first, last) in zip(owner[good].tolist(), found[good].tolist()):

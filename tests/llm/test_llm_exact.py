@@ -407,6 +407,27 @@ def test_items_are_found_up_to_the_allowed_distance(spark, small, texts):
         assert plain_distance(by_id[item_id], passage)[0] == r["distance"]
 
 
+@pytest.mark.parametrize("size", [6, 16, 38])
+def test_items_that_lost_words_at_the_edges_of_a_text(size):
+    draw = random.Random(size)
+    items = [[f"w{draw.randrange(3000)}" for _ in range(size)] for _ in range(60)]
+    index = decontaminate.ItemIndex.build(list(range(60)), [" ".join(i) for i in items])
+    more = lambda: [f"v{draw.randrange(3000)}" for _ in range(draw.randint(20, 50))]
+    lost = decontaminate.max_edits(size)
+    for before, after in ((False, False), (True, False), (False, True)):
+        texts = []
+        for item in items:
+            gone = set(draw.sample(range(size), lost))
+            copy = [w for k, w in enumerate(item) if k not in gone]
+            texts.append(" ".join((more() if before else []) + copy + (more() if after else [])))
+        found = {r[:3] for r in decontaminate.search(index, *buffers.utf8(pa.array(texts)))}
+        assert sum((k, k, lost) in found for k in range(60)) >= 0.6 * 60
+        # what is found in a text does not depend on the texts beside it
+        for k in range(20):
+            alone = decontaminate.search(index, *buffers.utf8(pa.array(texts[k : k + 1])))
+            assert {r[1:3] for r in alone} == {r[1:] for r in found if r[0] == k}
+
+
 def test_items_in_blocks_and_odd_items(spark, odd):
     items = [(1, "shared line of some length"), (2, None), (None, "one"), (3, ""), (4, "ONE"), (4, "one"), (5, "absent words")]
     frame = spark.createDataFrame(items, "item_id bigint, text string")
