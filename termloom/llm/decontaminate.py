@@ -17,8 +17,10 @@ items as far as words may be missing before them.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,23 @@ PLACES = 4
 WALKS = 2
 KEYS = 12
 # Items are indexed in blocks of so many bytes; each block is one pass over the documents.  A block
-# of words of five letters has some 350,000 windows with WALKS * KEYS entries of 16 bytes: 140 MB.
+# of words of five letters has some 350,000 windows with WALKS * KEYS entries of 16 bytes: 140 MB;
+# where each character of three bytes is a word, 280 MB.
 BLOCK_BYTES = 2 << 20
 MAX_WINDOW = 128
 SEED = 11
 _WORD = np.zeros(256, bool)
 _WORD[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
-_WORD[128:] = True
 PAD = np.uint64(0x5851F42D4C957F2D)  # the word after the last one of a text
+_APART, _LETTER, _SYMBOL, _MARK = range(4)
+# Scripts written without blanks between words, by first and last character: Thai, Lao; Myanmar; Khmer;
+# Tai Le, New Tai Lue; Tai Tham; Balinese; Han radicals; Han, kana, Bopomofo; Han, Yi; Javanese, Myanmar;
+# Myanmar, Tai Viet; Han; kana; kana of earlier times; Han.
+_UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+    (0x2E80, 0x2FDF), (0x3005, 0x312F), (0x31A0, 0x31FF), (0x3400, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+]
 _FILTER_BITS = 20
 _VERIFIED = 256  # candidates compared at once
 _FOUND = pa.schema(
@@ -83,11 +94,62 @@ def level_of(n_words: int) -> int:
     return max(size for size in LEVELS if size + stride(size) - 1 <= n_words)
 
 
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """What each character is: part of a word, a word of its own, a mark on what stands before, or none.
+
+    Characters that this version of Unicode does not know, and private ones, are letters.
+    """
+    kinds = {"L": _LETTER, "N": _LETTER, "M": _MARK, "C": _LETTER}
+    of = np.full(0x110000, _LETTER, np.uint8)
+    for code in (*range(0x80, 0x33480), *range(0xE0000, 0xE01F0)):
+        category = unicodedata.category(chr(code))
+        of[code] = _APART if category in ("Cc", "Cf") else kinds.get(category[0], _APART)
+    of[[0x200C, 0x200D]] = _MARK  # joiners inside words
+    for first, last in _UNSPACED:
+        part = of[first : last + 1]
+        part[part == _LETTER] = _SYMBOL
+    return of
+
+
+def _code_points(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, length and code point of the characters of more than one byte."""
+    at = np.flatnonzero(buffer >= 0xC0)
+    lead = buffer[at]
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    code = (lead & (0x7F >> size)).astype(np.int64)
+    for k in range(1, 4):
+        more = size > k
+        code[more] = code[more] << 6 | buffer[at[more] + k] & 0x3F
+    return at, size, code
+
+
+def _word_spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    inside = _WORD[buffer]
+    at, size, code = _code_points(buffer)
+    if not len(at):
+        return buffers.spans(inside)
+    kind = _classes()[code]
+    for k in range(4):
+        inside[at[(size > k) & (kind != _APART)] + k] = True
+    start, end = buffers.spans(inside)
+    symbol = kind == _SYMBOL
+    if not symbol.any():
+        return start, end
+    # a symbol goes up to the last of the marks that follow it
+    stop = at + size
+    head = np.concatenate([[True], (kind[1:] != _MARK) | (at[1:] != stop[:-1])])
+    last = np.append(np.flatnonzero(head)[1:], len(at)) - 1
+    cuts = np.concatenate([at[symbol], stop[last][symbol[head]]])
+    cuts = np.setdiff1d(cuts[inside[cuts]], start)
+    return np.sort(np.concatenate([start, cuts])), np.sort(np.concatenate([end, cuts]))
+
+
 def words(data: np.ndarray, at: np.ndarray):
-    """Hash, row, first and last byte of the words, A-Z lower-cased: runs of letters, digits and
-    bytes of other than ASCII characters."""
+    """Hash, row, first and last byte of the words, A-Z lower-cased: runs of Unicode letters, digits
+    and marks; a character of a script without blanks between words is a word, with its marks."""
     buffer, begins = buffers.separated(data, at)
-    start, end = buffers.spans(_WORD[buffer])
+    start, end = _word_spans(buffer)
     row = buffers.owner(begins, start)
     shift = begins[row] - at[row]
     return buffers.RangeHash(buffers.LOWER[buffer]).of(start, end), row, start - shift, end - shift

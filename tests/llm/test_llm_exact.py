@@ -428,6 +428,32 @@ def test_items_that_lost_words_at_the_edges_of_a_text(size):
             assert {r[1:3] for r in alone} == {r[1:] for r in found if r[0] == k}
 
 
+def test_words_of_other_scripts():
+    def split(text):
+        data, at = buffers.utf8(pa.array(["x", text, "y"]))
+        _, row, start, end = decontaminate.words(data, at)
+        content = data.tobytes()
+        return [content[a:b].decode() for a, b in zip(start[row == 1], end[row == 1])]
+
+    assert split("«Où» – “déjà”… ¿qué? l’été") == ["Où", "déjà", "qué", "l", "été"]
+    assert split("日本語。テストabc12、終") == [*"日本語テスト", "abc12", "終"]
+    assert split("ab日c") == ["ab", "日", "c"] and split("日") == ["日"] and split("。") == []
+    assert split("ที่นี่x") == ["ที่", "นี่", "x"]  # marks stay with their letter
+    assert split("e\u0301te\u0301 हिन्दी 한국어 नम") == ["e\u0301te\u0301", "हिन्दी", "한국어", "नम"]
+    assert split("𠀀𠀁a😀b") == ["𠀀", "𠀁", "a", "b"]
+
+
+def test_items_in_scripts_without_blanks():
+    draw = random.Random(6)
+    item = "".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(40))
+    latin = "Il a dit : « voilà un texte assez long pour que cela compte » et puis il est parti"
+    changed = item[:20] + "字" + item[21:]
+    texts = ["前文" * 20 + item + "后文" * 20, "前文，" * 9 + changed + "。后文" * 9, "前文" * 40, latin.replace("« ", "“").replace(" »", "”")]
+    index = decontaminate.ItemIndex.build([0, 1], [item, latin])
+    found = {r[:3] for r in decontaminate.search(index, *buffers.utf8(pa.array(texts)))}
+    assert found == {(0, 0, 0), (1, 0, 1), (3, 1, 0)}
+
+
 def test_items_in_blocks_and_odd_items(spark, odd):
     items = [(1, "shared line of some length"), (2, None), (None, "one"), (3, ""), (4, "ONE"), (4, "one"), (5, "absent words")]
     frame = spark.createDataFrame(items, "item_id bigint, text string")
