@@ -22,6 +22,8 @@ from .license_texts import TEMPLATES
 
 THRESHOLD = 0.8
 _FILTER_BITS = 16
+# Passages of more bigrams are compared by whole arrays, which gives the same.
+_LONG = 100
 _FOUND = pa.schema(
     [("doc_id", pa.int64()), ("license", pa.string()), ("dice", pa.float64()), ("begin", pa.int64()), ("end", pa.int64())]
 )
@@ -75,6 +77,8 @@ def _best_passage(index: TemplateIndex, template: int, places: np.ndarray, numbe
     least, most = index.bounds(template)
     best = (0.0, 0, 0)
     stops = np.searchsorted(places, places + most)
+    if most > _LONG:
+        return _best_long_passage(size, counts, least, places, numbers, stops, index.threshold)
     places, numbers = places.tolist(), numbers.tolist()
     for k, start in enumerate(places):
         used: dict[int, int] = {}
@@ -91,6 +95,28 @@ def _best_passage(index: TemplateIndex, template: int, places: np.ndarray, numbe
     return best if best[0] >= index.threshold else None
 
 
+def _best_long_passage(size, counts, least, places, numbers, stops, threshold):
+    order = np.argsort(numbers, kind="stable")
+    heads = np.searchsorted(numbers[order], numbers[order])
+    rank = np.empty(len(numbers), np.int64)  # how often the bigram stood before
+    rank[order] = np.arange(len(numbers)) - heads
+    limit = rank - counts[numbers]
+    before = np.zeros(len(counts), np.int64)
+    best = (0.0, 0, 0)
+    for k, stop in enumerate(stops.tolist()):
+        here = numbers[k:stop]
+        total = places[k:stop] - places[k] + 1
+        common = np.cumsum(limit[k:stop] < before[here])
+        dice = np.where(total >= least, 2 * common / (total + size), 0.0)
+        j = int(dice.argmax())
+        if dice[j] > best[0]:
+            best = (float(dice[j]), int(places[k]), int(places[k + j]))
+        before[numbers[k]] += 1
+        if best[0] == 1.0:
+            break
+    return best if best[0] >= threshold else None
+
+
 def scan_texts(index: TemplateIndex, data: np.ndarray, at: np.ndarray) -> list[tuple[int, str, float, int, int]]:
     """Row, licence, Dice, first and last byte of the best passage of each licence in each text."""
     hashes, row, start, end = words(data, at)

@@ -1,7 +1,10 @@
-"""Texts that licences are recognised by: short ones whole, others by their customary notice."""
+"""Texts that licences are recognised by: short ones whole, long ones whole where ``licenses`` has
+them, and by their customary notice."""
 
 from __future__ import annotations
 
+from importlib import resources
+
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
@@ -41,6 +44,17 @@ _GNU_NOTICE = (
     "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
 )
 
+# Long licences whose whole text is a file of ``licenses``.
+WHOLE = (
+    "Apache-2.0", "Artistic-1.0-Perl", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0",
+    "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0",
+)
+
+
+def _whole(name: str) -> str:
+    return resources.files(__package__).joinpath("licenses", f"{name}.txt").read_text("utf-8")
+
+
 # Licence texts and notices as their authors publish them, by name.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", _MIT_GRANT),
@@ -94,6 +108,20 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
         "purpose, commercial or non-commercial, and by any means.",
     ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the "
+        "author or authors of this software dedicate any and all copyright interest in the software to the public domain. "
+        "We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. "
+        "We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to "
+        'this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR '
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+        "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE.",
+    ),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -101,4 +129,5 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("all-rights-reserved", "All rights reserved."),
+    *((name, _whole(name)) for name in WHOLE),
 )

@@ -490,3 +490,21 @@ def test_licences(spark, odd):
     for i, (name, _) in enumerate(TEMPLATES):
         assert got[100 + i][name] == 1.0
     assert license_scan.scan(odd).count() == 0
+
+
+def test_whole_texts_of_long_licences(monkeypatch):
+    index = license_scan.TemplateIndex(TEMPLATES)
+    whole = dict(reversed(TEMPLATES))  # the first of each name
+    whole.update((n, t) for n, t in TEMPLATES if len(t) > len(whole[n]))
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Artistic-1.0-Perl", "Unlicense"]
+    # the last tenth, with notices and appendices, is missing
+    texts = ["before " + whole[n][: len(whole[n]) * 9 // 10] + " after" for n in names]
+    found = {(row, name): dice for row, name, dice, *_ in license_scan.scan_texts(index, *buffers.utf8(pa.array(texts)))}
+    for row, name in enumerate(names):
+        assert 0.9 < found[row, name]
+    # long and short passages are compared alike
+    short = ["x " + t.replace("software", "work") + " and the software, and the" for _, t in TEMPLATES[:20]]
+    data = buffers.utf8(pa.array(short))
+    by_arrays = license_scan.scan_texts(index, *data)
+    monkeypatch.setattr(license_scan, "_LONG", 1 << 40)
+    assert by_arrays == license_scan.scan_texts(index, *data)
