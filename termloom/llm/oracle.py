@@ -62,3 +62,37 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coales
 FROM texts LEFT JOIN gone USING (doc_id)
 """
 ORACLE["op9_repeated_strings"] = OP9
+
+OP12 = """
+WITH RECURSIVE bits AS (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k:
+         CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(i)),
+     steps AS (SELECT list(v ORDER BY i) AS t FROM bits),
+     runs AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+     lowered AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+         translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+         FROM runs GROUP BY ALL),
+     coded AS (SELECT w, n, hex(encode(k || ':' || w)) AS code FROM lowered),
+     hashed AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+         range(length(code) // 2), lambda j: ('0x' || substr(code, 2 * j + 1, 2))::BIGINT)),
+         lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) AS h FROM coded, steps),
+     typed AS (SELECT n, CASE WHEN h % 97 = 0
+         THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM hashed),
+     words AS (SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+     places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+     shorter AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS left_over FROM places),
+     pairs AS (SELECT s.word, v.word AS other, v.n FROM shorter s JOIN words v ON s.left_over = v.word
+         UNION SELECT v.word, s.word AS other, s.n FROM shorter s JOIN words v ON s.left_over = v.word
+         UNION SELECT a.word, b.word AS other, b.n FROM shorter a JOIN shorter b
+             ON a.left_over = b.left_over AND a.i = b.i AND a.word <> b.word),
+     best AS (SELECT word, other, n AS other_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS rank FROM pairs),
+     tied AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form,
+         CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+         FROM words w LEFT JOIN best b ON b.word = w.word AND b.rank = 1),
+     paths AS (SELECT word, word AS reached FROM tied
+         UNION ALL SELECT p.word, t.form FROM paths p JOIN tied t ON t.word = p.reached WHERE t.form IS NOT NULL),
+     ends AS (SELECT p.word, p.reached AS root FROM paths p JOIN tied t ON t.word = p.reached WHERE t.form IS NULL)
+SELECT t.word, t.form, e.root, t.n, t.n_near, t.form_n FROM tied t JOIN ends e ON e.word = t.word
+"""
+ORACLE["op12_spelling_variants"] = OP12

@@ -18,7 +18,10 @@ from . import (
     quality_rules,
     sharding,
     simhash,
+    spelling_variants,
     suffix_dedup,
+    token_counts,
+    whitening,
 )
 from .storage import table
 
@@ -27,6 +30,7 @@ REGISTRY: dict[str, Query] = {}
 N_SHARDS = 40
 RECORD_OVERHEAD = 16
 BPE_RANKS = "byte_bpe_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def query(function: Query) -> Query:
@@ -99,3 +103,18 @@ def op3_benchmark_leaks(spark, sf_dir):
 @query
 def op8_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_whitened_embeddings(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))

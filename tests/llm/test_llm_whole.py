@@ -32,12 +32,15 @@ COLUMNS = {
     7: ["doc_id", "held_out", "score", "predicted"],
     9: ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     10: ["doc_id", "fingerprint", "component_id"],
+    11: ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    12: ["word", "form", "root", "n", "n_near", "form_n"],
+    13: ["doc_id", "n_bytes", "n_tokens", "over_limit"],
 }
 
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.REGISTRY) <= set(contract.queries()) and "pipeline" in contract.queries()
     assert set(oracle.ORACLE) <= set(queries.REGISTRY)
 
