@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import Analyzer, FieldMapping
+from .text import Analyzer, FieldMapping, analyzed, once
 
 Condition = Callable[[DataFrame, FieldMapping], Column]
 
@@ -53,17 +53,158 @@ def match(q: str, field: str, operator: str = "or", analyzer: Analyzer | None =
     return condition
 
 
-def prefix(field: str, start: str, lowercase: bool = True) -> Condition:
+def phrase(field: str, text: str, slop: int = 0, analyzer: Analyzer | None = None) -> Condition:
+    """The analyzed terms of ``text`` next to each other and in their order.
+
+    With ``slop``, the terms may be moved: those places count whose distance from the phrase differs
+    by at most ``slop`` among the terms.  A term asked for twice must stand there twice.  Places of dropped
+    stop words count on both sides.
+    """
+
+    def condition(df: DataFrame, mapping: FieldMapping) -> Column:
+        wanted = analyzed(df.sparkSession, analyzer or mapping.analyzer(field), text)
+        return in_order(mapping.slots(df, field), wanted, slop)
+
+    return condition
+
+
+def in_order(slots: Column, wanted: list[str | None], slop: int = 0) -> Column:
+    """Whether terms stand in ``slots`` as in ``wanted``, in which null is any place."""
+    words = [(w, i) for i, w in enumerate(wanted) if w is not None]
+    if not words:
+        return F.lit(False)
+    words = [(w, i - words[0][1]) for w, i in words]
+    if len(words) == 1:
+        return F.array_contains(slots, F.lit(words[0][0]))
+
+    def exact(s: Column) -> Column:
+        def here(t: Column, i: Column) -> Column:
+            return reduce(lambda a, b: a & b, [F.get(s, i + o).eqNullSafe(F.lit(w)) for w, o in words])
+
+        return F.exists(F.transform(s, here), lambda x: x)
+
+    def moved(s: Column) -> Column:
+        offsets: dict[str, list[int]] = {}
+        for w, o in words:
+            offsets.setdefault(w, []).append(o)
+        places = {w: _places(s, w) for w in offsets}
+
+        def fits(start: Column) -> Column:
+            tests = []
+            for w, at in offsets.items():
+                # Equal terms take places one after the other, each the first that is left.
+                taken = F.lit(-1)
+                for o in at:
+                    taken = _first_place(places[w], taken, start + o, start + o + slop)
+                tests.append(taken.isNotNull())
+            return reduce(lambda a, b: a & b, tests)
+
+        return F.exists(F.array_distinct(F.concat(*[_shifted(places[w], o) for w, o in words])), fits)
+
+    return once(slots, moved if slop > 0 else exact)
+
+
+def _places(slots: Column, word: str) -> Column:
+    return F.array_compact(F.transform(slots, lambda t, i: F.when(t == word, i)))
+
+
+def _shifted(places: Column, by: int) -> Column:
+    return F.transform(places, lambda p: p - by)
+
+
+def _first_place(places: Column, after: Column, low: Column, high: Column) -> Column:
+    """The first place beyond ``after`` within bounds; null if there is none, or no ``after``."""
+    return F.array_min(F.filter(places, lambda p: (p > after) & (p >= low) & (p <= high)))
+
+
+def prefix(field: str, start: str, lowercase: bool = True, dictionary: DataFrame | None = None) -> Condition:
+    """A term with this beginning; for ``dictionary`` see :func:`some_term`."""
     wanted = start.lower() if lowercase else start
-    return lambda df, mapping: F.exists(mapping.tokens(df, field), lambda t: t.startswith(wanted))
+    return some_term(field, lambda t: t.startswith(wanted), dictionary)
 
 
-def wildcard(field: str, pattern: str, lowercase: bool = True) -> Condition:
+def wildcard(field: str, pattern: str, lowercase: bool = True, dictionary: DataFrame | None = None) -> Condition:
     """``*`` stands for any characters and ``?`` for one."""
     text = pattern.lower() if lowercase else pattern
-    for plain, like in (("\\", "\\\\"), ("%", "\\%"), ("_", "\\_"), ("*", "%"), ("?", "_")):
-        text = text.replace(plain, like)
-    return lambda df, mapping: F.exists(mapping.tokens(df, field), lambda t: t.like(text))
+    marks = {"*": "%", "?": "_"}
+    return some_term(field, like_pattern([marks.get(c, literal_like(c)) for c in text]), dictionary)
+
+
+def literal_like(char: str) -> str:
+    """A character that stands for itself in a LIKE pattern."""
+    return "\\" + char if char in "\\%_" else char
+
+
+def like_pattern(parts: list[str]) -> Callable[[Column], Column]:
+    """The test for a pattern in LIKE's own notation; beginnings and whole terms are compared plainly."""
+    body, last = parts[:-1], parts[-1:]
+    if last == ["%"] and not any(p in ("%", "_") for p in body):
+        start = "".join(p[-1] for p in body)
+        return lambda t: t.startswith(start)
+    return lambda t: t.like("".join(parts))
+
+
+def fuzzy(
+    field: str,
+    text: str,
+    edits: int = 2,
+    lowercase: bool = True,
+    prefix_length: int = 0,
+    transpositions: bool = True,
+    dictionary: DataFrame | None = None,
+) -> Condition:
+    """A term at most ``edits`` characters away: inserted, deleted, replaced, or two neighbours swapped.
+
+    A swap is made in ``text`` before other edits.  The first ``prefix_length`` characters must agree.
+    """
+    if edits not in (0, 1, 2):
+        raise ValueError("a fuzzy term allows 0, 1 or 2 edits")
+    word = text.lower() if lowercase else text
+    swapped = {
+        word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(prefix_length, len(word) - 1)
+    } - {word}
+    ways = [(word, edits)] + [(w, edits - 1) for w in sorted(swapped) if transpositions and edits > 0]
+    if transpositions and edits == 2:
+        twice = {w[:i] + w[i + 1] + w[i] + w[i + 2 :] for w in swapped for i in range(prefix_length, len(w) - 1)}
+        ways += [(w, 0) for w in sorted(twice - swapped - {word})]
+
+    def test(t: Column) -> Column:
+        exact = [w for w, k in ways if k == 0]
+        parts = [F.levenshtein(t, F.lit(w), k) >= 0 for w, k in ways if k > 0]
+        near = reduce(lambda a, b: a | b, parts + ([t.isin(*exact)] if exact else []))
+        long = F.length(t)
+        fits = (long >= len(word) - edits) & (long <= len(word) + edits)
+        return (fits & t.startswith(word[:prefix_length]) if prefix_length else fits) & near
+
+    return some_term(field, test, dictionary)
+
+
+def regexp(field: str, pattern: str, dictionary: DataFrame | None = None) -> Condition:
+    """A term that a regular expression (Java's notation) matches as a whole."""
+    return some_term(field, lambda t: t.rlike(f"^(?:{pattern})$"), dictionary)
+
+
+# So many terms of a dictionary are looked up as a set; if more fit, each token is tested instead.
+MOST_EXPANDED = 20_000
+
+
+def some_term(field: str, test: Callable[[Column], Column], dictionary: DataFrame | None = None) -> Condition:
+    """A term of the field passes ``test``.
+
+    ``dictionary``, a table with the columns ``field`` and ``term`` such as stored term statistics of
+    the documents, is tested instead of every token: the terms found there are then looked up as a set.
+    """
+
+    def condition(df: DataFrame, mapping: FieldMapping) -> Column:
+        found = mapping.tokens(df, field)
+        if dictionary is not None:
+            fitting = dictionary.where((F.col("field") == field) & test(F.col("term"))).select("term").distinct()
+            listed = [r["term"] for r in fitting.limit(MOST_EXPANDED + 1).collect()]
+            if len(listed) <= MOST_EXPANDED:
+                return F.exists(found, lambda t: t.isin(listed)) if listed else F.lit(False)
+        return F.exists(found, test)
+
+    return condition
 
 
 def all_of(*conditions) -> Condition:
@@ -93,13 +234,20 @@ def _combined(conditions, join: Callable[[Column, Column], Column], empty: bool)
 
 
 def range_(field: str, gte=None, gt=None, lte=None, lt=None) -> Condition:
-    """A plain value within bounds; bounds that are None do not limit it."""
+    """A value, or a token of an analyzed field, within bounds; bounds that are None do not limit it."""
 
-    def condition(df: DataFrame, mapping: FieldMapping) -> Column:
-        value = F.col(field)
+    def within(value: Column) -> Column:
         tests = [(gte, value.__ge__), (gt, value.__gt__), (lte, value.__le__), (lt, value.__lt__)]
         return reduce(lambda a, b: a & b, [test(F.lit(x)) for x, test in tests if x is not None], value.isNotNull())
 
+    def condition(df: DataFrame, mapping: FieldMapping) -> Column:
+        if _plain(df, field, mapping):
+            return within(F.col(field))
+        kind = df.schema[field].dataType
+        if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.StringType):
+            return F.exists(F.col(field), within)
+        return F.exists(mapping.tokens(df, field), within)
+
     return condition
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,22 +28,48 @@ class Analyzer:
     lowercase: bool = True
     stop_words: tuple[str, ...] = ()
     stop_before_lower: bool = False
+    max_token_length: int | None = None
 
-    def tokens(self, text: Column) -> Column:
+    @property
+    def drops(self) -> bool:
+        """Whether tokens may be left out, so that a place in the array is no position."""
+        return bool(self.stop_words) or self.max_token_length is not None
+
+    def _found(self, text: Column) -> tuple[Column, bool]:
         late = self.lowercase and self.stop_before_lower and bool(self.stop_words)
         source = F.lower(text) if self.lowercase and not late else text
-        found = F.regexp_extract_all(source, F.lit(self.pattern), F.lit(0))
-        if self.stop_words:
-            found = F.filter(found, lambda t: ~t.isin(*self.stop_words))
+        return F.regexp_extract_all(source, F.lit(self.pattern), F.lit(0)), late
+
+    def _keeps(self, token: Column) -> Column:
+        keeps = F.lit(True) if self.max_token_length is None else F.length(token) <= self.max_token_length
+        return keeps & ~token.isin(*self.stop_words) if self.stop_words else keeps
+
+    def tokens(self, text: Column) -> Column:
+        found, late = self._found(text)
+        if self.drops:
+            found = F.filter(found, self._keeps)
         if late:
             found = F.transform(found, F.lower)
         return F.coalesce(found, F.array().cast(NO_TOKENS))
 
+    def slots(self, text: Column) -> Column:
+        """The tokens by position: null where one is left out."""
+        if not self.drops:
+            return self.tokens(text)
+        found, late = self._found(text)
+        placed = F.transform(found, lambda t: F.when(self._keeps(t), F.lower(t) if late else t))
+        return F.coalesce(placed, F.array().cast(NO_TOKENS))
+
 
 def analyze(text: Column, analyzer: Analyzer | None = None) -> Column:
     return (analyzer or Analyzer()).tokens(text)
 
 
+def analyzed(spark: SparkSession, analyzer: Analyzer, text: str) -> list[str | None]:
+    """The tokens of one short text by position, such as those of a query; null where one is left out."""
+    return spark.sql("SELECT 1").select(analyzer.slots(F.lit(text))).first()[0]
+
+
 def keyword(value: Column) -> Column:
     """A string that is not analyzed: the whole value is its one term."""
     return F.array_compact(F.array(value))
@@ -73,6 +99,16 @@ class FieldMapping:
             return F.flatten(F.transform(values, self.analyzer(name).tokens))
         raise ValueError(f"field {name!r} of type {kind.simpleString()} holds no terms")
 
+    def slots(self, df: DataFrame, name: str) -> Column:
+        """The tokens of a field by position; the values of an array follow each other."""
+        kind, analyzer = df.schema[name].dataType, self.analyzer(name)
+        if name in self.keywords or not analyzer.drops:
+            return self.tokens(df, name)
+        if isinstance(kind, T.ArrayType):
+            values = F.coalesce(F.array_compact(F.col(name)), F.array().cast(NO_TOKENS))
+            return F.flatten(F.transform(values, analyzer.slots))
+        return analyzer.slots(F.col(name))
+
 
 def ready_name(field: str) -> str:
     """The column that holds the tokens of a field once they are worked out."""

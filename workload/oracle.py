@@ -17,6 +17,20 @@ from .specs import (
 )
 
 WORD = r"[\p{L}\p{N}_]+"
+ENGLISH = (
+    "a an and are as at be but by for if in into is it no not of on or such "
+    "that the their then there these they this to was will with"
+).split()
+# Word breaks of scripts with letters and blanks: the same rules without Han, Kana, Thai and the like.
+_LETTERS = r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}\p{Arabic}\p{Hangul}][\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}\p{Arabic}\p{Hangul}\p{M}\p{Cf}]*"
+_DIGITS = r"\p{Nd}[\p{Nd}\p{M}\p{Cf}]*"
+_BOTH = "[.‘’․﹒＇''"
+_WORDED = rf"{_LETTERS}(?:{_BOTH}:·‧︓﹕：]{_LETTERS})*"
+_NUMBER = rf"{_DIGITS}(?:{_BOTH},;،⁄︐︔﹐﹔，；]{_DIGITS})*"
+_PART = rf"(?:{_WORDED}|{_NUMBER})+"
+_URL = r'(?:https?|ftp|file)://[^\s<>"]*[^\s<>".,;:!?)\]'']'
+_EMAIL = r"[\p{L}\p{N}._%+-]+@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,63}"
+WORD_BREAK = rf"{_URL}|{_EMAIL}|(?:\p{{Pc}}+)?{_PART}(?:\p{{Pc}}+{_PART})*(?:\p{{Pc}}+)?"
 URL_EMAIL = r"https?://[^\s]+|[^\s@]+@[^\s@]+\.[\p{L}]+|[\p{L}\p{N}_]+"
 TEST_EDGE = f"{int(0.33 * 0x10000):04x}"
 LABELLED = "(SELECT d.*, l.quality, l.toxic FROM documents d JOIN labels l USING (doc_id))"
@@ -141,6 +155,13 @@ def oracle_sql() -> dict[str, str]:
     sql["analyze_tokens"] = positions(TOKENS)
     kept = f"list_filter({found('text')}, lambda t: t NOT IN ({listed(STOP_WORDS)}))"
     sql["analyze_stop_list"] = positions(f"list_transform({kept}, lambda t: lower(t))")
+    broken = found("text", WORD_BREAK)
+    lost = f"length(t) > 255 OR t IN ({listed(ENGLISH)})"
+    sql["analyze_word_break"] = positions(
+        f"list_transform(list_filter({broken}, lambda t: NOT ({lost})), lambda t: lower(t))"
+    )
+    slots = positions(f"list_transform({broken}, lambda t: CASE WHEN {lost} THEN NULL ELSE lower(t) END)")
+    sql["analyze_word_slots"] = f"SELECT * FROM ({slots}) WHERE token IS NOT NULL"
     sql["analyze_url_email"] = positions(found("lower(text)", URL_EMAIL))
     sql["keyword_terms"] = (
         "SELECT doc_id, lang AS term FROM documents UNION ALL SELECT doc_id, source FROM documents"
@@ -242,6 +263,45 @@ SELECT CAST(row AS BIGINT) AS row, col, data FROM cell JOIN r USING (doc_id)"""
 GROUP BY doc_id HAVING count(*) = 3"""
     sql["prefix_query"] = some_token("starts_with(term, 'wor')")
     sql["wildcard_query"] = some_token("term LIKE 'w_r%s'")
+    sql["prefix_expanded"], sql["wildcard_expanded"] = sql["prefix_query"], sql["wildcard_query"]
+    # One edit from "morno": one by edit distance, or two neighbours swapped.
+    sql["fuzzy_query"] = some_token(
+        "levenshtein(regexp_replace(term, '[^\\x00-\\x7F]', '#', 'g'), 'morno') <= 1 OR term IN ('omrno', 'mrono', 'monro', 'moron')"
+    )
+    # DuckDB compares bytes: a letter outside ASCII becomes one that the word does not have.
+    narrow = r"regexp_replace(term, '[^\x00-\x7F]', '#', 'g')"
+    sql["fuzzy_in_rows"] = some_token(f"levenshtein({narrow}, 'idoit') <= 2")
+    sql["regexp_query"] = some_token("regexp_full_match(term, '(mor|id).*t?n?s?')")
+    placed = f"""pl AS (SELECT doc_id, generate_subscripts({TOKENS}, 1) AS at, unnest({TOKENS}) AS term FROM documents)"""
+
+    def near(first: str, second: str, test: str) -> str:
+        return f"""WITH {placed} SELECT DISTINCT a.doc_id FROM pl a JOIN pl b ON a.doc_id = b.doc_id
+AND a.term = '{first}' AND b.term = '{second}' AND {test}"""
+
+    sql["phrase_query"] = near("was", "the", "b.at = a.at + 1")
+    sql["slop_query"] = near("moron", "that", "abs(b.at - 1 - a.at) <= 6")
+    sql["slop_of_equal_terms"] = near("was", "was", "b.at > a.at AND b.at - 1 - a.at <= 2")
+    sql["phrase_over_stop_words"] = f"""WITH pl AS (SELECT doc_id, generate_subscripts({broken}, 1) AS at,
+unnest({broken}) AS term FROM documents)
+SELECT DISTINCT a.doc_id FROM pl a JOIN pl b ON a.doc_id = b.doc_id AND b.at = a.at + 2
+AND lower(a.term) = 'que' AND lower(b.term) = 'de'"""
+    asked_for = {
+        "query_string_any": f"""list_has_any({TOKENS}, ['les', 'moron']) OR doc_id IN (SELECT a.doc_id FROM pl a JOIN pl b
+ON a.doc_id = b.doc_id AND a.term = 'was' AND b.term = 'the' AND abs(b.at - 1 - a.at) <= 1)""",
+        "query_string_mixed": f"""list_contains({TOKENS}, 'the') AND lang IS DISTINCT FROM 'de' AND lang IS DISTINCT FROM 'fr'
+AND source IS DISTINCT FROM 'web1' AND (len(list_filter({TOKENS}, lambda t: starts_with(t, 'wor'))) > 0
+OR (n_chars >= 100 AND n_chars < 900) OR doc_id IN (SELECT a.doc_id FROM pl a JOIN pl b ON a.doc_id = b.doc_id
+AND a.term = 'of' AND b.term = 'the' AND b.at = a.at + 1))""",
+        "query_string_all": f"""list_has_all({TOKENS}, ['of', 'that']) AND doc_id >= 100
+AND len(list_filter({TOKENS}, lambda t: t LIKE 'idi_t')) = 0""",
+    }
+    for name, test in asked_for.items():
+        sql[name] = f"WITH {placed} SELECT doc_id FROM documents WHERE {test}"
+    sql["query_string_page"] = f"""{TF},
+hit AS (SELECT DISTINCT d.doc_id, n_chars FROM documents d JOIN tok USING (doc_id) WHERE lang IS NOT NULL
+AND (levenshtein({narrow}, 'idiot') <= 1 OR term IN ('diiot', 'iidot', 'idoit', 'idito') OR (term > 'wora' AND term <= 'worz'))),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS row FROM hit)
+SELECT CAST(row AS BIGINT) AS row, col, data FROM cell JOIN r USING (doc_id) WHERE row < 40"""
     sql["random_sample"] = f"""{TF},
 r AS (SELECT doc_id, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{SEED}'), doc_id) - 1 AS row FROM documents)
 SELECT CAST(row AS BIGINT) AS row, col, data FROM cell JOIN r USING (doc_id) WHERE row < 100"""

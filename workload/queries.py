@@ -13,22 +13,28 @@ from termloom import (
     Analyzer,
     Collection,
     FeatureSpec,
+    FieldMapping,
     all_of,
     analyze,
     any_of,
     exists,
+    fuzzy,
     ids,
     keyword,
     load_corpus,
     match,
     none_of,
     parse_date,
+    phrase,
     prefix,
+    query_string,
     random_order,
     range_,
+    regexp,
     scan_indices,
     term,
     terms,
+    url_email_analyzer,
     wildcard,
     write_batches,
     write_matrix,
@@ -122,6 +128,19 @@ def analyze_url_email(spark, sf_dir):
     return _positions(documents(spark, sf_dir), Analyzer(pattern=URL_EMAIL_PATTERN))
 
 
+@query
+def analyze_word_break(spark, sf_dir):
+    """Words by the Unicode rules, URLs and addresses whole, English stop words left out as written."""
+    return _positions(documents(spark, sf_dir), url_email_analyzer())
+
+
+@query
+def analyze_word_slots(spark, sf_dir):
+    """The same tokens by their position in the text."""
+    slots = F.posexplode_outer(url_email_analyzer().slots(F.col("text"))).alias("pos", "token")
+    return documents(spark, sf_dir).select("doc_id", slots).where(F.col("token").isNotNull())
+
+
 @query
 def keyword_terms(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -438,6 +457,87 @@ def wildcard_query(spark, sf_dir):
     return _found(spark, sf_dir, wildcard("text", "w?r*s"))
 
 
+def _dictionary(spark, sf_dir):
+    """The terms of the texts, as a table of stored statistics would give them."""
+    return settle(term_stats.term_stats(documents(spark, sf_dir), ["text"], KEYWORDS))
+
+
+@query
+def prefix_expanded(spark, sf_dir):
+    return _found(spark, sf_dir, prefix("text", "Wor", dictionary=_dictionary(spark, sf_dir)))
+
+
+@query
+def wildcard_expanded(spark, sf_dir):
+    return _found(spark, sf_dir, wildcard("text", "w?r*s", dictionary=_dictionary(spark, sf_dir)))
+
+
+@query
+def fuzzy_query(spark, sf_dir):
+    return _found(spark, sf_dir, fuzzy("text", "Morno", 1, dictionary=_dictionary(spark, sf_dir)))
+
+
+@query
+def fuzzy_in_rows(spark, sf_dir):
+    """Two edits, tested on the tokens of each text."""
+    return _found(spark, sf_dir, fuzzy("text", "idoit", 2, transpositions=False))
+
+
+@query
+def regexp_query(spark, sf_dir):
+    return _found(spark, sf_dir, regexp("text", "(mor|id).*t?n?s?"))
+
+
+@query
+def phrase_query(spark, sf_dir):
+    return _found(spark, sf_dir, phrase("text", "Was the"))
+
+
+@query
+def phrase_over_stop_words(spark, sf_dir):
+    """The place of a dropped stop word is any word."""
+    analyzers = FieldMapping(analyzers={"text": url_email_analyzer()})
+    docs = Collection(documents(spark, sf_dir), mapping=analyzers)
+    return docs.hits(phrase("text", "que the de"))[0]
+
+
+@query
+def slop_query(spark, sf_dir):
+    return _found(spark, sf_dir, phrase("text", "moron that", slop=6))
+
+
+@query
+def slop_of_equal_terms(spark, sf_dir):
+    return _found(spark, sf_dir, phrase("text", "was was", slop=2))
+
+
+@query
+def query_string_any(spark, sf_dir):
+    return _found(spark, sf_dir, query_string('les OR Moron "was the"~1', "text"))
+
+
+@query
+def query_string_mixed(spark, sf_dir):
+    q = '+the -lang:(de OR fr) +(wor* n_chars:[100 TO 900} "of the") NOT source:web1'
+    return _found(spark, sf_dir, query_string(q, "text"))
+
+
+@query
+def query_string_all(spark, sf_dir):
+    """All words are required unless joined by OR; patterns go through the dictionary."""
+    known = _dictionary(spark, sf_dir)
+    q = "of that is || was !idi?t doc_id:>=100"
+    return _found(spark, sf_dir, query_string(q, "text", default_operator="and", dictionary=known))
+
+
+@query
+def query_string_page(spark, sf_dir):
+    """A query string chooses the documents of a page."""
+    docs = collection(spark, sf_dir)
+    asked = query_string("_exists_:lang AND (idiot~1 OR text:{wora TO worz])", "text")
+    return docs.search_vectorize(text_spec("term_freq"), asked, sort=["n_chars:desc"], size=40).to_coo()
+
+
 @query
 def random_sample(spark, sf_dir):
     docs = collection(spark, sf_dir)
