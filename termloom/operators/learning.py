@@ -14,6 +14,7 @@ from ..functions.values import cell_value, is_numeric, seeded_digest
 from ..plans.cells import Source, dictionary_vectors, known_statistics, pieces
 from ..plans.sizing import broadcast_limit, kept_by
 from ..plans.spec import FeatureSpec
+from .margins import fit_squared_hinge
 
 
 def with_ml_vector(
@@ -124,8 +125,17 @@ def train_test_split(
     )
 
 
-def train_linear_svc(training: DataFrame, **params) -> LinearSVCModel:
-    return LinearSVC(featuresCol="features", labelCol="label", **params).fit(training)
+def train_linear_svc(training: DataFrame, loss: str = "squared_hinge", **params) -> LinearSVCModel:
+    """A linear support vector machine on ``features`` and a ``label`` of 0 or 1.
+
+    ``squared_hinge`` is regularised, see :func:`.margins.fit_squared_hinge` for its parameters;
+    ``hinge`` is Spark's own estimator with its parameters.
+    """
+    if loss == "hinge":
+        return LinearSVC(featuresCol="features", labelCol="label", **params).fit(training)
+    if loss != "squared_hinge":
+        raise ValueError(f"loss {loss!r} is neither 'squared_hinge' nor 'hinge'")
+    return fit_squared_hinge(training, **params)
 
 
 def save_model(model: LinearSVCModel, spec: FeatureSpec, path: str) -> None:

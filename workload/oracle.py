@@ -451,4 +451,12 @@ SELECT CAST(0 AS BIGINT) AS batch_id, CAST(row AS BIGINT) AS row, col, data FROM
     sql["joined_dictionary"] = f"""WITH {base()}, voc AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS col FROM st)
 SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(df AS DOUBLE) AS data FROM tf JOIN voc USING (term)"""
     sql["stream_statistics"] = f"WITH {base()} SELECT term, df AS doc_freq, ttf FROM st"
+    now = """now AS (SELECT doc_id, CASE WHEN lang = 'en' THEN substr(text, 1, 200) || ' sent again' ELSE text END AS text,
+CASE WHEN lang = 'en' THEN 3 ELSE 1 END AS version FROM documents WHERE lang <> 'fr')"""
+    sql["changed_statistics"] = f"""WITH {now}, {base("now")} SELECT 'text' AS field, term, df AS doc_freq, ttf FROM st"""
+    sql["changed_matrix"] = f"""WITH {now}, {base()},
+later AS (SELECT term, count(DISTINCT doc_id) AS ldf FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM now) GROUP BY term)
+SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(ldf AS DOUBLE) AS data
+FROM tf JOIN {words(WORDS)} voc USING (term) JOIN later USING (term)"""
+    sql["latest_documents"] = f"WITH {now} SELECT doc_id, CAST(version AS INTEGER) AS version, length(text) AS n_chars FROM now"
     return sql

@@ -45,7 +45,7 @@ from termloom.operators.search import page_of
 from termloom.plans.numbering import row_index
 from termloom.plans.sizing import scratch_dir, settle
 from termloom.sources.corpus import mapping_schema
-from termloom.streaming import live
+from termloom.streaming import changes, live
 
 from .specs import (
     ASKED,
@@ -1069,3 +1069,50 @@ def merged_statistics_batches(spark, sf_dir):
         _stream(spark, sf_dir), text_spec("ttf"), f"{out}/coo", f"{out}/two", statistics=merged
     ).awaitTermination()
     return spark.read.parquet(f"{out}/coo").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+def _changes(spark, sf_dir):
+    """Documents, then new versions, deletions and late old versions, one file after the other."""
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    longer = F.concat(F.substring("text", 1, 200), F.lit(" sent again"))
+    steps = [
+        docs.select("doc_id", F.lit(1).alias("version"), F.lit(False).alias("deleted"), "text"),
+        docs.where("lang = 'en'").select("doc_id", F.lit(3).alias("version"), F.lit(False).alias("deleted"), longer.alias("text")),
+        docs.where("lang = 'fr'").select("doc_id", F.lit(2).alias("version"), F.lit(True).alias("deleted"), F.lit(None).cast("string").alias("text")),
+        docs.where("lang <> 'es'").select("doc_id", F.lit(0).alias("version"), F.lit(False).alias("deleted"), F.lit("too late").alias("text")),
+        docs.where("lang = 'de'").select("doc_id", F.lit(1).alias("version"), F.lit(False).alias("deleted"), "text"),
+    ]
+    path = f"{scratch_dir(spark)}/changes-{uuid.uuid4().hex}"
+    for step in steps:
+        step.write.mode("append").parquet(path)
+    return path
+
+
+def _changed_statistics(spark, sf_dir):
+    path = _changes(spark, sf_dir)
+    schema = "doc_id bigint, version int, deleted boolean, text string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    signed = changes.signed_statistics(stream, "text")
+    out = f"{path}-out"
+    changes.keep_changes(signed, f"{out}/signed", f"{out}/progress").awaitTermination()
+    return changes.current_statistics(spark, f"{out}/signed")
+
+
+@query
+def changed_statistics(spark, sf_dir):
+    """Statistics over documents that are sent again, deleted, or late."""
+    return _changed_statistics(spark, sf_dir)
+
+
+@query
+def changed_matrix(spark, sf_dir):
+    """Columns of the changed statistics fill the matrix of the documents."""
+    stats = settle(_changed_statistics(spark, sf_dir))
+    return _text_matrix(spark, sf_dir, "doc_freq", statistics=stats)
+
+
+@query
+def latest_documents(spark, sf_dir):
+    """The same changes as a table: the last version of every document that is not deleted."""
+    table = spark.read.parquet(_changes(spark, sf_dir))
+    return changes.latest_versions(table).select("doc_id", "version", F.length("text").cast("bigint").alias("n_chars"))
