@@ -12,8 +12,13 @@ import pyarrow.compute as pc
 # Text handled at once in a task; one longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
 BREAK = 0x0A
-_MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+# Range hashes are polynomials modulo this prime, at a fixed large place.
+_PRIME = (1 << 61) - 1
+_PLACES = (0x1A3779B97F4A7C15, 0x0D1342543DE82EF9)
+_LOW31 = np.uint64((1 << 31) - 1)
+_LOW30 = np.uint64((1 << 30) - 1)
+# A longer range is hashed in parts: up to this length, sums of 40-bit products fit into 64 bits.
+_PART = 1 << 23
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -100,33 +105,80 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(1 << bits, _MULTIPLIER, np.uint64)
-    down = np.full(1 << bits, _INVERSE, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Modulo the prime."""
+    x = (x & np.uint64(_PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(_PRIME), x - np.uint64(_PRIME), x)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` modulo the prime, both below it, in halves of 31 bits."""
+    a_high, a_low = a >> np.uint64(31), a & _LOW31
+    b_high, b_low = b >> np.uint64(31), b & _LOW31
+    middle = a_high * b_low + a_low * b_high
+    high = np.uint64(2) * a_high * b_high + (middle >> np.uint64(30))
+    return _folded(high + ((middle & _LOW30) << np.uint64(31)) + a_low * b_low)
+
+
+@lru_cache(maxsize=3)
+def _powers(bits: int, place: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the place and of its inverse, by doubling."""
+    tables = []
+    for base in (place, pow(place, -1, _PRIME)):
+        table = np.array([1], np.uint64)
+        for k in range(bits):
+            step = np.full(len(table), pow(base, 1 << k, _PRIME), np.uint64)
+            table = np.concatenate([table, _product(table, step)])
+        tables.append(table)
+    return tables[0], tables[1]
 
 
 class RangeHash:
-    """64-bit hashes of byte ranges, each in constant time: equal ranges, equal hashes."""
+    """Hashes of byte ranges, each in constant time: equal ranges, equal hashes.
+
+    The bytes of a range are the coefficients of a polynomial, taken modulo 2**61 - 1 at a fixed place and
+    then spread over 64 bits.  Two different ranges of n bytes share a value for at most n of all places;
+    ``seed`` 1 and 2 take two places.
+    """
 
     def __init__(self, buffer: np.ndarray, seed: int = 1):
-        self._up, self._down = _powers(max(21, len(buffer).bit_length()))
-        self._sums = np.zeros(len(buffer) + 1, np.uint64)
-        codes = mix(np.arange(256, dtype=np.uint64) + np.uint64(seed * 256))
-        np.cumsum(codes[buffer] * self._up[: len(buffer)], out=self._sums[1:])
+        up, self._down = _powers(max(21, len(buffer).bit_length()), _PLACES[seed - 1])
+        codes, up = buffer.astype(np.uint64) + np.uint64(1), up[: len(buffer)]
+        self._low = np.zeros(len(buffer) + 1, np.uint64)
+        self._high = np.zeros(len(buffer) + 1, np.uint64)
+        np.cumsum(codes * (up & _LOW31), out=self._low[1:])
+        np.cumsum(codes * (up >> np.uint64(31)), out=self._high[1:])
+
+    def _between(self, low: np.ndarray, high: np.ndarray, down: np.ndarray) -> np.ndarray:
+        """The polynomial of a range from the sums of its halves, moved to the power 0."""
+        high = _folded(high)
+        moved = (high >> np.uint64(30)) + ((high & _LOW30) << np.uint64(31))
+        return _product(_folded(_folded(low) + moved), down)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (self._sums[ends] - self._sums[starts]) * self._down[starts]
+        starts, ends = np.asarray(starts), np.asarray(ends)
+        first = np.minimum(ends, starts + _PART)
+        raw = self._between(self._low[first] - self._low[starts], self._high[first] - self._high[starts], self._down[starts])
+        for i in np.flatnonzero(first < ends):
+            for at in range(int(first[i]), int(ends[i]), _PART):
+                part = self.of(np.array([at]), np.array([min(at + _PART, int(ends[i]))]))
+                raw[i : i + 1] = mix(raw[i : i + 1] + part)
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
-    def windows(self, width: int) -> np.ndarray:
-        """The hash of every window of ``width`` bytes, by its first byte."""
-        n = len(self._sums) - width
-        if n <= 0:
-            return np.zeros(0, np.uint64)
-        return mix((self._sums[width:] - self._sums[:n]) * self._down[:n])
+
+def gram_hashes(buffer: np.ndarray, width: int) -> np.ndarray:
+    """The hash of every window of ``width`` bytes, by its first byte, from eight bytes at a time."""
+    n = len(buffer) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    eight = np.zeros(len(buffer), np.uint64)
+    for k in range(min(8, width)):
+        eight[: len(buffer) - k] |= buffer[k:].astype(np.uint64) << np.uint64(8 * k)
+    whole = np.zeros(n, np.uint64)
+    # The last eight bytes may overlap those before.
+    for at in sorted({*range(0, max(width - 7, 1), 8), max(width - 8, 0)}):
+        whole = (whole + eight[at : at + n]) * np.uint64(0x9E3779B97F4A7C15 + 2 * at)
+    return mix(whole)
 
 
 def arrow(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -96,3 +96,48 @@ WITH RECURSIVE bits AS (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
 SELECT t.word, t.form, e.root, t.n, t.n_near, t.form_n FROM tied t JOIN ends e ON e.word = t.word
 """
 ORACLE["op12_spelling_variants"] = OP12
+
+OP5 = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     windows AS (SELECT rid, i, ws[i:i + 4] AS w FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 3, 1))) AS i FROM docs)),
+     often AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, w) AS times FROM windows) WHERE times > 1),
+     again AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM often) GROUP BY rid),
+     lines AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT rid,
+         unnest(string_split(t, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+     measured AS (SELECT rid, doc_id, lang, source, len(ws)::BIGINT AS n_words,
+         coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
+         coalesce(again.n, 0)::BIGINT AS n_repeat_words
+         FROM docs LEFT JOIN lines USING (rid) LEFT JOIN again USING (rid)),
+     based AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured),
+     ratios AS (SELECT rid, lang, source, base_failed, unnest([
+         {'rule': 'symbols', 'least': 0.05::DOUBLE, 'low': false, 'a': n_symbols, 'b': n_words},
+         {'rule': 'word_length', 'least': 0.5::DOUBLE, 'low': true, 'a': word_chars, 'b': n_words},
+         {'rule': 'dup_lines', 'least': 0.15::DOUBLE, 'low': false, 'a': n_dup_lines, 'b': n_lines}], recursive := true)
+         FROM based),
+     valued AS (SELECT *, CASE WHEN b > 0 THEN a::DOUBLE / b ELSE 0.0::DOUBLE END AS ratio FROM ratios),
+     sketch AS (SELECT lang, source, rule, ceil(ln(ratio / 0.001::DOUBLE + 1) / ln(1.02::DOUBLE))::INTEGER AS bucket,
+         count(*) AS n FROM valued WHERE NOT base_failed GROUP BY ALL),
+     wide AS (SELECT lang, rule, bucket, sum(n) AS wide FROM sketch GROUP BY ALL),
+     units AS (SELECT lang, rule, sum(wide) AS unit FROM wide GROUP BY ALL),
+     parts AS (SELECT lang, source, rule, bucket, n, 0 AS wide FROM sketch
+         UNION ALL SELECT g.lang, g.source, w.rule, w.bucket, 0, w.wide
+         FROM (SELECT DISTINCT lang, source FROM sketch) g JOIN wide w ON g.lang IS NOT DISTINCT FROM w.lang),
+     weights AS (SELECT p.lang, p.source, p.rule, p.bucket, sum(p.n * u.unit + 50 * p.wide) AS n
+         FROM parts p JOIN units u ON p.lang IS NOT DISTINCT FROM u.lang AND p.rule = u.rule GROUP BY ALL),
+     ranked AS (SELECT lang, source, rule, (pow(1.02::DOUBLE, bucket) - 1) * 0.001::DOUBLE AS value,
+         sum(n) OVER (PARTITION BY lang, source, rule ORDER BY bucket) AS upto,
+         sum(n) OVER (PARTITION BY lang, source, rule) AS size FROM weights),
+     quarters AS (SELECT lang, source, rule, min(value) FILTER (4 * upto >= size) AS q1,
+         min(value) FILTER (4 * upto >= 3 * size) AS q3 FROM ranked GROUP BY ALL),
+     failed AS (SELECT DISTINCT rid FROM valued v JOIN quarters q ON v.rule = q.rule
+         AND v.lang IS NOT DISTINCT FROM q.lang AND v.source IS NOT DISTINCT FROM q.source
+         WHERE ratio > q3 + 3 * greatest(q3 - q1, least)
+         OR ratio < CASE WHEN low THEN q1 - 3 * greatest(q3 - q1, least) ELSE -1 END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed.rid IS NULL AS kept
+FROM based LEFT JOIN failed USING (rid)
+"""
+ORACLE["op5_adaptive_quality"] = OP5

@@ -4,7 +4,8 @@ Each rule watches a ratio of two counts.  A group's distribution of a ratio is k
 counts of buckets of equal relative width.  Sketches are merged by adding counts, so they are
 built where the texts are read, combined over partitions, batches or whole languages, and give
 quantiles to within a bucket.  A document fails a rule if its ratio lies far outside the middle
-half of its group.
+half of its group.  A group's sketch is read together with that of its language, which counts as a fixed
+number of further documents: it decides for small groups and fades as a group grows.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ RESOLUTION = 0.001
 # A fence lies so many spreads away from the quartiles; a spread is their distance, or the given
 # least one, below which differences do not matter.
 FENCE = 3.0
-# Groups with fewer documents are judged by the sketch of their language.
-MIN_GROUP = 50
+# So many documents does the sketch of the language stand for in each of its groups.
+LANGUAGE_WEIGHT = 50
 # Ratio: numerator, denominator, least spread, whether low values fail as well.
 RULES = {
     "symbols": ("n_symbols", "n_words", 0.05, False),
@@ -92,31 +93,41 @@ def merge(*sketches: DataFrame) -> DataFrame:
     return whole.groupBy(*GROUP, "rule", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quantiles(sketched: DataFrame, group: list[str], shares: dict[str, float]) -> DataFrame:
-    """Per group and rule the number of documents ``size`` and the named quantiles."""
+def blended(sketched: DataFrame) -> DataFrame:
+    """The sketch of each group with that of its language, as exact multiples of documents.
+
+    A bucket weighs ``n * size_of_language + LANGUAGE_WEIGHT * n_of_language``, so that the language adds up to
+    ``LANGUAGE_WEIGHT`` documents in the same unit.
+    """
+    exact = "decimal(19,0)"
+    of_language = sketched.groupBy("lang", "rule", "bucket").agg(F.sum("n").alias("wide"))
+    every = of_language.groupBy("lang", "rule").agg(F.sum("wide").cast(exact).alias("unit"))
+    groups = sketched.select(*GROUP).distinct().select(F.col("lang").alias("__lang"), "source")
+    shared = of_language.join(groups, F.col("lang").eqNullSafe(F.col("__lang")))
+    added = shared.select(*GROUP, "rule", "bucket", F.lit(0).cast("bigint").alias("n"), "wide")
+    both = sketched.withColumn("wide", F.lit(0).cast("bigint")).unionByName(added)
+    summed = both.groupBy(*GROUP, "rule", "bucket").agg(F.sum("n").cast(exact).alias("n"), F.sum("wide").cast(exact).alias("wide"))
+    units = every.select(F.col("lang").alias("__lang"), F.col("rule").alias("__rule"), "unit")
+    same = F.col("lang").eqNullSafe(F.col("__lang")) & (F.col("rule") == F.col("__rule"))
+    weight = F.col("n") * F.col("unit") + F.lit(LANGUAGE_WEIGHT).cast(exact) * F.col("wide")
+    return summed.join(units, same).select(*GROUP, "rule", "bucket", weight.alias("n"))
+
+
+def quantiles(sketched: DataFrame, group: list[str], quarters: dict[str, int]) -> DataFrame:
+    """Per group and rule the named quartiles: the first bucket that so many quarters of the sketch reach."""
     by = [*group, "rule"]
     running = Window.partitionBy(*by).orderBy("bucket")
-    summed = sketched.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
-    ranked = summed.withColumn("upto", F.sum("n").over(running)).withColumn("size", F.sum("n").over(Window.partitionBy(*by)))
+    ranked = sketched.select(
+        *by, "bucket", F.sum("n").over(running).alias("upto"), F.sum("n").over(Window.partitionBy(*by)).alias("size")
+    )
     value = (F.pow(F.lit(GROWTH), F.col("bucket")) - 1) * RESOLUTION
-    picked = [F.min(F.when(F.col("upto") >= share * F.col("size"), value)).alias(name) for name, share in shares.items()]
-    return ranked.groupBy(*by, "size").agg(*picked)
+    picked = [F.min(F.when(4 * F.col("upto") >= q * F.col("size"), value)).alias(name) for name, q in quarters.items()]
+    return ranked.groupBy(*by).agg(*picked)
 
 
 def fences(sketched: DataFrame) -> DataFrame:
     """``lang, source, <rule>_low, <rule>_high``: the range in which a group's ratios pass."""
-    shares = {"q1": 0.25, "q3": 0.75}
-    own = quantiles(sketched, GROUP, shares)
-    wide = quantiles(sketched, ["lang"], shares).select(
-        F.col("lang").alias("__lang"), F.col("rule").alias("__rule"), F.col("q1").alias("__q1"), F.col("q3").alias("__q3")
-    )
-    same = F.col("lang").eqNullSafe(F.col("__lang")) & (F.col("rule") == F.col("__rule"))
-    small = F.col("size") < MIN_GROUP
-    joined = own.join(wide, same).select(
-        *GROUP, "rule",
-        F.when(small, F.col("__q1")).otherwise(F.col("q1")).alias("q1"),
-        F.when(small, F.col("__q3")).otherwise(F.col("q3")).alias("q3"),
-    )
+    joined = quantiles(blended(sketched), GROUP, {"q1": 1, "q3": 3})
     picked = []
     for rule, (_, _, least, low_fails) in RULES.items():
         here = F.col("rule") == rule

@@ -9,8 +9,8 @@ different runs under one anchor, which may share some windows; their bytes are f
 blocks of whole anchors, and the equal windows found on the block's Burrows-Wheeler transform.
 
 An anchor with very many different runs (a frequent line between ever different neighbours) is
-dissolved: each of its windows is filed under its own hash, so no task gets them all.  Anchors of
-that kind are found in a sample, which decides on the way taken but not on the result.
+dissolved: each of its windows is filed under its own hash, so no task gets them all.  The runs of every
+anchor are counted for that, over all documents.
 """
 
 from __future__ import annotations
@@ -34,18 +34,16 @@ GRAM = 24
 # Bytes sorted at once; one anchor has at most some HOT_RUNS runs.
 BLOCK_BYTES = 1 << 20
 HOT_RUNS = 1 << 15
-HOT_SAMPLE = 64
-MAX_HOT = 100_000
 _OUTSIDE = 0xFF  # occurs in no UTF-8 text
-# A position is the byte number, with bits of the text's hash above it to tell rows of one id apart.
-_TAG_SHIFT = 40
-_TAG_BITS = 22
-_RUN = "anchor bigint, run bigint, doc_id bigint, at bigint, size int"
+# A row is told apart by its id and ``tag``, the hash of its text; ``at`` is a byte of it.
+_RUN = "anchor bigint, run bigint, doc_id bigint, tag bigint, at bigint, size int"
 _RUNS = pa.schema(
-    [("anchor", pa.int64()), ("run", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("size", pa.int32())]
-)
-_FOUND = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("size", pa.int32()), ("anchor", pa.int64())])
-_COVER = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("size", pa.int32())])
+    [("anchor", pa.int64()), ("run", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64()),
+     ("size", pa.int32())]
+)
+_PLACED = "doc_id bigint, tag bigint, at bigint, size int"
+_COVER = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64()), ("size", pa.int32())])
+_FOUND = _COVER.append(pa.field("anchor", pa.int64()))
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,7 +64,7 @@ def _runs(data: np.ndarray, at: np.ndarray, length: int, gram: int, hot: np.ndar
     if len(buffer) < length + 2:
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     hashes = buffers.RangeHash(buffer)
-    grams = hashes.windows(gram)
+    grams = buffers.gram_hashes(buffer, gram)
     # half of the hash decides, then the place: of equal grams in a window the first is the anchor
     ranked = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     place = (_least(ranked, length - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -80,28 +78,28 @@ def _runs(data: np.ndarray, at: np.ndarray, length: int, gram: int, hot: np.ndar
     new = np.ones(len(windows), bool)
     new[1:] = (place[1:] != place[:-1]) | (windows[1:] != windows[:-1] + 1)
     if len(hot):
-        new |= np.isin(anchors, hot)
+        new |= np.isin(_slots(anchors), hot)
     first = np.flatnonzero(new)
     start, size = windows[first], np.diff(np.append(first, len(windows))) + length - 1
     anchor, run = anchors[first], hashes.of(start, start + size)
     if len(hot):
-        alone = np.flatnonzero(np.isin(anchor, hot))
+        alone = np.flatnonzero(np.isin(_slots(anchor), hot))
         anchor[alone] = run[alone]
         run[alone] = buffers.RangeHash(buffer, 2).of(start[alone], start[alone] + length)
     row = buffers.owner(begins, start)
     return row, start - begins[row], size, anchor, run
 
 
-def _sorted_groups(anchor, run, doc_id, at):
+def _sorted_groups(anchor, run, doc_id, tag, at):
     """Order by anchor, run and place; where anchors and runs begin; rows equal to their run's first."""
-    order = np.lexsort((at, doc_id, run, anchor))
-    anchor, run, doc_id, at = anchor[order], run[order], doc_id[order], at[order]
+    order = np.lexsort((at, tag, doc_id, run, anchor))
+    anchor, run, doc_id, tag, at = anchor[order], run[order], doc_id[order], tag[order], at[order]
     new_anchor = np.ones(len(order), bool)
     new_anchor[1:] = anchor[1:] != anchor[:-1]
     new_run = new_anchor.copy()
     new_run[1:] |= run[1:] != run[:-1]
     lead = np.flatnonzero(new_run)[np.cumsum(new_run) - 1] if len(order) else order
-    later = (doc_id != doc_id[lead]) | (at != at[lead])
+    later = (doc_id != doc_id[lead]) | (tag != tag[lead]) | (at != at[lead])
     return order, new_anchor, new_run, later
 
 
@@ -112,21 +110,20 @@ def find_runs(hot, length: int, gram: int):
         known = hot.value
         for batch in buffers.pieces(batches, "text"):
             data, offsets = buffers.utf8(batch.column("text"))
-            row, start, size, anchor, run = _runs(data, offsets, length, gram, known)
-            doc_id = batch.column("doc_id").to_numpy()[row]
-            at = (batch.column("tag").to_numpy()[row] << _TAG_SHIFT) | start
+            row, at, size, anchor, run = _runs(data, offsets, length, gram, known)
+            doc_id, tag = (batch.column(c).to_numpy()[row] for c in ("doc_id", "tag"))
             # copies within the batch: the later ones are covered and need not travel as runs
-            order, _, new_run, later = _sorted_groups(anchor, run, doc_id, at)
+            order, _, new_run, later = _sorted_groups(anchor, run, doc_id, tag, at)
             # equal rows of one document are one
-            again = ~new_run
-            again[1:] &= (doc_id[order[1:]] == doc_id[order[:-1]]) & (at[order[1:]] == at[order[:-1]])
+            again, ahead = ~new_run, order[:-1]
+            again[1:] &= (doc_id[order[1:]] == doc_id[ahead]) & (tag[order[1:]] == tag[ahead]) & (at[order[1:]] == at[ahead])
             order, later = order[~again], later[~again]
             size, anchor, run = size[order].astype(np.int64), anchor[order], run[order]
-            doc_id, at = doc_id[order], at[order]
+            doc_id, tag, at = doc_id[order], tag[order], at[order]
             # covered stretches meet nobody, so they are dealt out evenly
-            anchor[later] = buffers.mix(doc_id[later].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at[later].view(np.uint64))
+            anchor[later] = buffers.mix((doc_id[later] ^ tag[later]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at[later].view(np.uint64))
             size = np.where(later, -size, size).astype(np.int32)
-            yield buffers.arrow(_RUNS, anchor.view(np.int64), run.view(np.int64), doc_id, at, size)
+            yield buffers.arrow(_RUNS, anchor.view(np.int64), run.view(np.int64), doc_id, tag, at, size)
 
     return rows
 
@@ -156,22 +153,26 @@ def by_anchor(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], least:
 
 def compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Covered stretches (``anchor`` null), and first runs of anchors that have several different ones."""
-    for columns in by_anchor(batches, ("anchor", "run", "doc_id", "at", "size"), 1 << 16):
-        anchor, run, doc_id, at, size = (c.to_numpy() for c in columns)
-        done = size < 0
-        yield buffers.arrow(_FOUND, doc_id[done], at[done], -size[done], pa.nulls(int(done.sum()), pa.int64()))
-        anchor, run, doc_id, at, size = (c[~done] for c in (anchor, run, doc_id, at, size))
-        order, new_anchor, new_run, later = _sorted_groups(anchor, run, doc_id, at)
-        anchor, doc_id, at, size = anchor[order], doc_id[order], at[order], size[order]
-        yield buffers.arrow(_FOUND, doc_id[later], at[later], size[later], pa.nulls(int(later.sum()), pa.int64()))
+    for columns in by_anchor(batches, ("anchor", "run", "doc_id", "tag", "at", "size"), 1 << 16):
+        whole = [c.to_numpy() for c in columns]
+        done = whole[-1] < 0
+        none = pa.nulls(int(done.sum()), pa.int64())
+        yield buffers.arrow(_FOUND, *(c[done] for c in whole[2:5]), -whole[-1][done], none)
+        anchor, run, doc_id, tag, at, size = (c[~done] for c in whole)
+        order, new_anchor, new_run, later = _sorted_groups(anchor, run, doc_id, tag, at)
+        anchor, doc_id, tag, at, size = anchor[order], doc_id[order], tag[order], at[order], size[order]
+        none = pa.nulls(int(later.sum()), pa.int64())
+        yield buffers.arrow(_FOUND, doc_id[later], tag[later], at[later], size[later], none)
         kinds = np.bincount(np.cumsum(new_anchor) - 1, new_run) if len(anchor) else np.zeros(0)
         open_ = new_run & (kinds[np.cumsum(new_anchor) - 1] > 1) if len(anchor) else new_run
-        yield buffers.arrow(_FOUND, doc_id[open_], at[open_], size[open_], anchor[open_])
+        yield buffers.arrow(_FOUND, doc_id[open_], tag[open_], at[open_], size[open_], anchor[open_])
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From texts with their lists of open runs: one row with the bytes of each run."""
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("content", pa.binary())])
+    schema = pa.schema(
+        [("anchor", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64()), ("content", pa.binary())]
+    )
     for batch in buffers.pieces(batches, "text"):
         data, offsets = buffers.utf8(batch.column("text"))
         content = data.tobytes()
@@ -180,17 +181,18 @@ def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = np.repeat(np.arange(batch.num_rows), each)
         runs = wanted.flatten()
         at, size = runs.field("at").to_numpy(), runs.field("size").to_numpy()
-        begin = offsets[row] + (at & ((1 << _TAG_SHIFT) - 1))
+        begin = offsets[row] + at
         cut = [content[b : b + s] for b, s in zip(begin.tolist(), size.tolist())]
-        yield buffers.arrow(schema, runs.field("anchor"), batch.column("doc_id").to_numpy()[row], at, cut)
+        place = (batch.column(c).to_numpy()[row] for c in ("doc_id", "tag"))
+        yield buffers.arrow(schema, runs.field("anchor"), *place, at, cut)
 
 
 def sort_blocks(length: int, block_bytes: int):
-    """For tasks over ``anchor, doc_id, at, content`` sorted by anchor: the covered stretches."""
+    """For tasks over ``anchor, doc_id, tag, at, content`` sorted by anchor: the covered stretches."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for anchors, ids, places, contents in by_anchor(batches, ("anchor", "doc_id", "at", "content"), 1):
-            anchor, doc_id, at = anchors.to_numpy(), ids.to_numpy(), places.to_numpy()
+        for *places, contents in by_anchor(batches, ("anchor", "doc_id", "tag", "at", "content"), 1):
+            anchor, *place = (c.to_numpy() for c in places)
             data, offsets = buffers.utf8_binary(contents)
             new = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
             stops = np.append(new[1:], len(anchor))
@@ -198,13 +200,14 @@ def sort_blocks(length: int, block_bytes: int):
             for k, stop in enumerate(stops):
                 full = offsets[stop] - offsets[begin] >= block_bytes or k == len(stops) - 1
                 if full:
-                    yield _covered(data, offsets, doc_id, at, begin, int(stop), length)
+                    yield _covered(data, offsets, place, begin, int(stop), length)
                     begin = int(stop)
 
     return rows
 
 
-def _covered(data, offsets, doc_id, at, begin: int, stop: int, length: int) -> pa.RecordBatch:
+def _covered(data, offsets, place, begin: int, stop: int, length: int) -> pa.RecordBatch:
+    doc_id, tag, at = place
     inner = offsets[begin : stop + 1] - offsets[begin]
     block, begins = buffers.separated(data[offsets[begin] : offsets[stop]], inner, 1, _OUTSIDE)
     order, group = suffixes.classes(block, length)
@@ -212,54 +215,68 @@ def _covered(data, offsets, doc_id, at, begin: int, stop: int, length: int) -> p
     inside = order - begins[row]
     valid = (inside >= 0) & (inside + length <= np.diff(inner)[row])  # whole windows only
     row, inside, group = row[valid], inside[valid], group[valid]
-    where, owner = at[begin + row] + inside, doc_id[begin + row]
-    ranked = np.lexsort((where, owner, group))
-    where, owner, group = where[ranked], owner[ranked], group[ranked]
+    where, owner, text = at[begin + row] + inside, doc_id[begin + row], tag[begin + row]
+    ranked = np.lexsort((where, text, owner, group))
+    where, owner, text, group = where[ranked], owner[ranked], text[ranked], group[ranked]
     later = np.zeros(len(group), bool)
     later[1:] = group[1:] == group[:-1]
-    owner, where = owner[later], where[later]
+    owner, text, where = owner[later], text[later], where[later]
     # consecutive windows become one stretch
-    ranked = np.lexsort((where, owner))
-    owner, where = owner[ranked], where[ranked]
+    ranked = np.lexsort((where, text, owner))
+    owner, text, where = owner[ranked], text[ranked], where[ranked]
     new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (where[1:] > where[:-1] + 1)
+    new[1:] = (owner[1:] != owner[:-1]) | (text[1:] != text[:-1]) | (where[1:] > where[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(owner))[: len(first)] - 1
-    return buffers.arrow(_COVER, owner[first], where[first], (where[last] - where[first] + length).astype(np.int32))
+    size = (where[last] - where[first] + length).astype(np.int32)
+    return buffers.arrow(_COVER, owner[first], text[first], where[first], size)
 
 
 def covered(
     texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_runs: int = HOT_RUNS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """``doc_id, at, size``: stretches covered by earlier strings, over ``doc_id, tag, text``."""
-    spark = texts.sparkSession
-    hot = spark.sparkContext.broadcast(_hot_anchors(texts, length, gram, hot_runs))
+    """``doc_id, tag, at, size``: stretches covered by earlier strings, over ``doc_id, tag, text``."""
+    context = texts.sparkSession.sparkContext
+    hot = context.broadcast(_hot_slots(texts, length, gram, hot_runs))
     runs = texts.mapInArrow(find_runs(hot, length, gram), _RUN)
-    compared = runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        compare_runs, "doc_id bigint, at bigint, size int, anchor bigint"
-    )
-    folder = f"{scratch_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    compared = runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare_runs, f"{_PLACED}, anchor bigint")
+    folder = f"{scratch_dir(texts.sparkSession).rstrip('/')}/runs-{uuid.uuid4().hex}"
     compared.write.parquet(folder)
-    found = spark.read.schema("doc_id bigint, at bigint, size int, anchor bigint").parquet(folder)
-    tag = F.shiftright("at", _TAG_SHIFT)
-    wanted = found.where("anchor IS NOT NULL").groupBy("doc_id", tag.alias("tag"))
+    found = texts.sparkSession.read.schema(f"{_PLACED}, anchor bigint").parquet(folder)
+    wanted = found.where("anchor IS NOT NULL").groupBy("doc_id", "tag")
     lists = wanted.agg(F.collect_set(F.struct("at", "size", "anchor")).alias("wanted"))
-    contents = texts.join(lists, ["doc_id", "tag"]).select("doc_id", "text", "wanted").mapInArrow(
-        cut_out, "anchor bigint, doc_id bigint, at bigint, content binary"
-    )
-    shared = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        sort_blocks(length, block_bytes), "doc_id bigint, at bigint, size int"
-    )
-    return found.where("anchor IS NULL").select("doc_id", "at", "size").unionByName(shared)
+    contents = texts.join(lists, ["doc_id", "tag"]).mapInArrow(
+        cut_out, "anchor bigint, doc_id bigint, tag bigint, at bigint, content binary"
+    )
+    shared = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort_blocks(length, block_bytes), _PLACED)
+    return found.where("anchor IS NULL").select("doc_id", "tag", "at", "size").unionByName(shared)
+
+
+def _slots(anchors: np.ndarray) -> np.ndarray:
+    """Anchors are counted by the upper half of their hash: a few share one, none is split."""
+    return (anchors >> np.uint64(32)).astype(np.uint32)
+
+
+def _count_slots(length: int, gram: int):
+    """For tasks over texts: how many different runs of a piece each slot has."""
+    schema = pa.schema([("slot", pa.int32()), ("n", pa.int32())])
+    none = np.zeros(0, np.uint32)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in buffers.pieces(batches, "text"):
+            data, offsets = buffers.utf8(batch.column("text"))
+            _, _, _, anchor, run = _runs(data, offsets, length, gram, none)
+            slots, n = np.unique(_slots(anchor[np.unique(run, return_index=True)[1]]), return_counts=True)
+            yield buffers.arrow(schema, slots.view(np.int32), n.astype(np.int32))
+
+    return rows
 
 
-def _hot_anchors(texts: DataFrame, length: int, gram: int, hot_runs: int) -> np.ndarray:
-    """Anchors with more than about ``hot_runs`` runs, from a share of the documents."""
-    none = texts.sparkSession.sparkContext.broadcast(np.zeros(0, np.uint64))
-    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
-    counted = sample.mapInArrow(find_runs(none, length, gram), _RUN).where("size > 0").groupBy("anchor").count()
-    many = counted.where(F.col("count") * HOT_SAMPLE > hot_runs).orderBy(F.desc("count"), "anchor").limit(MAX_HOT)
-    return np.array([r["anchor"] for r in many.collect()], np.int64).view(np.uint64)
+def _hot_slots(texts: DataFrame, length: int, gram: int, hot_runs: int) -> np.ndarray:
+    """Slots with more than ``hot_runs`` runs, counted over all documents; at most one for so many runs."""
+    counted = texts.select("text").mapInArrow(_count_slots(length, gram), "slot int, n int")
+    many = counted.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > hot_runs).select("slot")
+    return many.toArrow().column("slot").to_numpy().view(np.uint32)
 
 
 def _finish(schema: pa.Schema):
@@ -271,7 +288,7 @@ def _finish(schema: pa.Schema):
             each = np.where(gone.is_valid().to_numpy(zero_copy_only=False), np.diff(gone.offsets.to_numpy()), 0)
             row = np.repeat(np.arange(n), each)
             spans = gone.flatten()
-            start = offsets[row] + (spans.field("at").to_numpy() & ((1 << _TAG_SHIFT) - 1))
+            start = offsets[row] + spans.field("at").to_numpy()
             edge = np.zeros(len(data) + 1, np.int64)
             np.add.at(edge, start, 1)
             np.add.at(edge, start + spans.field("size").to_numpy(), -1)
@@ -303,11 +320,9 @@ def remove_repeats(
     id comes last; rows with one id and different texts are taken in an order of their texts'
     hashes, and equal rows fare alike.  An empty table gives no rows.
     """
-    tag = F.pmod(F.xxhash64("text"), F.lit(1 << _TAG_BITS))
-    texts = id_text(docs, key, text).withColumn("tag", tag)
+    texts = id_text(docs, key, text).withColumn("tag", F.xxhash64("text"))
     spans = covered(texts, length, **sizes)
-    by_row = spans.groupBy("doc_id", F.shiftright("at", _TAG_SHIFT).alias("tag"))
-    gone = by_row.agg(F.collect_set(F.struct("at", "size")).alias("gone"))  # equal rows give the same stretches
+    gone = spans.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("at", "size")).alias("gone"))  # equal rows give the same stretches
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),

@@ -219,8 +219,7 @@ def plain_repeats(rows, length):
 
 
 @pytest.mark.parametrize("sizes", [{}, {"hot_runs": 0}, {"block_bytes": 300}])
-def test_repeated_strings(spark, sizes, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT_SAMPLE", 1)
+def test_repeated_strings(spark, sizes):
     draw = random.Random(3)
     base = "".join(draw.choice("abcd ") for _ in range(500))
     rows = [(3, base), (1, "xx" + base[:250] + "zz"), (2, base[100:390]), (4, "q" * 300), (5, "ab" * 150 + base[:99])]
@@ -236,6 +235,35 @@ def test_odd_rows_lose_no_byte_wrongly(odd):
     assert len({tuple(r) for r in got if r["doc_id"] == 2}) == 1
 
 
+def test_rows_of_one_id_have_their_own_bytes(spark):
+    """Null ids with texts of very different lengths: stretches stay with the text they were found in."""
+    draw = random.Random(12)
+    base = "".join(draw.choice("abcd ") for _ in range(400))
+    rows = [(None, base[: 120 + 7 * k] + "x" * (k % 3)) for k in range(30)] + [(1, base), (1, base[:150]), (None, base)]
+    got = suffix_dedup.remove_repeats(as_docs(spark, rows).repartition(4)).collect()
+    size = {len(t.encode()) for _, t in rows}
+    assert len(got) == len(rows) and {r["n_bytes"] for r in got} == size
+    # All is in the text of document 1; what a text adds at its end covers at most its last window.
+    for r in got:
+        if r["doc_id"] is None:
+            assert r["n_bytes"] - r["n_removed"] <= 2
+
+
+def test_an_anchor_with_very_many_runs(spark):
+    """One line between ever different neighbours, all in one document: its anchor is found and dissolved."""
+    draw = random.Random(1)
+    # A line with a gram of so small a hash that nearly every window around it has it as anchor.
+    lines = ("".join(draw.choice("abcdefgh ") for _ in range(30)) for _ in range(100_000))
+    line = next(x for x in lines if buffers.gram_hashes(np.frombuffer(x.encode(), np.uint8), 24).min() < 1 << 55)
+    many = "".join(f"{draw.randrange(10**9):09d}{line}{draw.randrange(10**9):09d}" for _ in range(6_000))
+    rows = [(1, many), (2, "y" * 130), (3, many[3_000:3_400]), (4, line * 6)]
+    texts = as_docs(spark, rows).selectExpr("doc_id", "text", "xxhash64(text) AS tag")
+    assert len(suffix_dedup._hot_slots(texts, 100, 24, 3_000)) >= 1
+    assert len(suffix_dedup._hot_slots(texts, 100, 24, 20_000)) == 0
+    dissolved = rows_of(suffix_dedup.remove_repeats(as_docs(spark, rows), hot_runs=3_000))
+    assert dissolved == rows_of(suffix_dedup.remove_repeats(as_docs(spark, rows))) == plain_repeats(rows, 100)
+
+
 def test_classes_of_a_block():
     draw = np.random.default_rng(5)
     block = draw.integers(97, 100, 3000).astype(np.uint8)

@@ -6,11 +6,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest_llm import CLASHING, as_docs, odd_rows
 from tokenizers import Tokenizer
 
-from termloom.llm import spelling_variants, token_counts, whitening
+from termloom.llm import buffers, quality_rules, spelling_variants, text_counts, token_counts, whitening
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -248,3 +249,68 @@ def test_a_long_piece_in_every_row(spark):
 def test_other_ways_of_splitting_are_refused():
     with pytest.raises(ValueError):
         token_counts.load(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+# -- hashes of ranges ----------------------------------------------------------------------------
+def thue_morse(size: int, a: str, b: str) -> str:
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(size))
+
+
+@pytest.mark.parametrize("size", [1_024, 4_096, 65_536])
+@pytest.mark.parametrize("a, b", [("a", "b"), ("0", "z"), ("x", "!")])
+def test_complements_do_not_collide(size, a, b):
+    one, two = thue_morse(size, a, b), thue_morse(size, b, a)
+    text = f"{one}\n{two}\n{one} {two} {one}x {two}x {one}y {two}y"
+    counts = text_counts.count(pa.array([text, f"{one}\n{one}\n{two}"]))
+    assert counts["n_dup_lines"].tolist() == [0, 1] and counts["n_repeat_words"].tolist() == [0, 0]
+    buffer = np.frombuffer((one + two + one).encode(), np.uint8)
+    hashes = buffers.RangeHash(buffer).of(np.arange(3) * size, np.arange(1, 4) * size)
+    assert hashes[0] == hashes[2] != hashes[1]
+
+
+def test_range_hashes_equal_plain_polynomials():
+    draw = np.random.default_rng(2)
+    buffer = draw.integers(0, 256, 4_000).astype(np.uint8)
+    buffer[1_000:1_500] = buffer[3_000:3_500]
+    hashes = buffers.RangeHash(buffer)
+    starts = draw.integers(0, 3_000, 200)
+    ends = starts + draw.integers(0, 1_000, 200)
+    prime = (1 << 61) - 1
+    for s, e in zip(starts.tolist(), ends.tolist()):
+        value = 0
+        for byte in buffer[s:e][::-1].tolist():
+            value = (value * buffers._PLACES[0] + byte + 1) % prime
+        raw = np.array([value], np.uint64) + np.uint64(((e - s) * 0xD6E8FEB86659FD93) % (1 << 64))
+        assert hashes.of(np.array([s]), np.array([e]))[0] == buffers.mix(raw)[0]
+    for width in (3, 8, 24, 29):
+        grams, same = buffers.gram_hashes(buffer, width), 501 - width
+        assert len(grams) == 4_001 - width and (grams[1_000 : 1_000 + same] == grams[3_000 : 3_000 + same]).all()
+        distinct = {buffer[i : i + width].tobytes() for i in range(4_001 - width)}
+        assert len(np.unique(grams)) == len(distinct)
+
+
+def test_long_ranges_are_hashed_in_parts(monkeypatch):
+    monkeypatch.setattr(buffers, "_PART", 100)
+    buffer = np.random.default_rng(4).integers(0, 256, 3_000).astype(np.uint8)
+    buffer[2_000:2_555] = buffer[17:572]
+    hashes = buffers.RangeHash(buffer)
+    found = hashes.of(np.array([17, 2_000, 18]), np.array([572, 2_555, 573]))
+    assert found[0] == found[1] != found[2]
+
+
+# -- quality rules: a group's sketch and that of its language --------------------------------------
+def test_verdicts_do_not_turn_over_with_one_more_document(spark):
+    """A small source unlike its language: its verdict changes step by step, not at one size."""
+    plain = " ".join(f"word{i}" for i in range(40))
+    marked = " ".join(f"#$#$word{i}##" for i in range(40))
+    def share(n):
+        rows = [(i, plain + f" {i}", "en", "usual") for i in range(400)]
+        rows += [(1_000 + i, marked + f" {i}", "en", "other") for i in range(n)]
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+        limits = quality_rules.fences(quality_rules.sketch(quality_rules.measure(frame).persist()))
+        row = limits.where("source = 'other'").first()
+        return row["symbols_high"]
+    sizes = [1, 10, 49, 50, 51, 200]
+    highs = [share(n) for n in sizes]
+    assert highs[2] == highs[3] or abs(highs[3] / highs[2] - 1) < 0.2
+    assert highs[0] < 1 < highs[-1]
