@@ -24,7 +24,7 @@ from .operators.matrix import Matrix
 from .operators.search import Collection, random_order
 from .plans.spec import Feature, FeatureSpec
 from .sources.corpus import field_mapping, load_corpus, scan_indices
-from .sources.sinks import write_batches, write_matrix
+from .sources.sinks import write_batches, write_market, write_market_batches, write_matrix
 
 __all__ = [
     "Analyzer",
@@ -60,5 +60,7 @@ __all__ = [
     "url_email_analyzer",
     "wildcard",
     "write_batches",
+    "write_market",
+    "write_market_batches",
     "write_matrix",
 ]

@@ -14,7 +14,8 @@ from ..functions.scoring import inverse_doc_freq
 from ..functions.text import FieldMapping, once, with_ready_tokens
 from ..functions.values import seeded_digest
 from ..plans.cells import Source, constant_array, count_terms, joined_cells, joined_weights, known_statistics, with_cells
-from ..plans.numbering import TOP_K_ROWS, first_rows, row_index, top_per_group
+from ..plans.numbering import TOP_K_ROWS, first_rows, top_per_group
+from ..plans.selection import Order, page
 from ..plans.sizing import broadcast_limit, kept_by, vocabulary_bytes
 from ..plans.spec import FeatureSpec
 from .matrix import Matrix
@@ -61,6 +62,9 @@ class Collection:
         whole = self.whole
         if relevance is not None:
             scores = self._score(*relevance)
+            # Condition and score look at the same tokens.
+            if relevance[0] in analyzed_fields(query, whole, self.mapping) and relevance[0] not in self.mapping.keywords:
+                whole = with_ready_tokens(whole, [relevance[0]], self.mapping)
             whole = scores(whole).withColumnRenamed("score", SCORE)
         found = matching(whole, query, self.mapping)
         extra, order = [], []
@@ -126,14 +130,16 @@ class Collection:
     ) -> Matrix:
         """Filter, order, cut one page, vectorize.  Rows count from 0 within the page."""
         hits, order = self.hits(query, sort, terminate_after, shard, relevance)
-        page = page_of(hits, order, from_, size).select(*self.key, "row")
+        downs = [_sort_entry(entry)[1] for entry in sort or []]
+        known = [Order(f"__sort{i}", down, nulls_last=True) for i, down in enumerate(downs)]
+        chosen = page_of(hits, [*known, *map(Order, self.key)], from_, size).select(*self.key, "row")
         # A page of few rows is small by construction; a larger one is an ordinary join.
         few = from_ + size <= TOP_K_ROWS and size * KEY_BYTES * len(self.key) <= broadcast_limit(self.df.sparkSession)
-        near = F.broadcast(page) if few else page
+        near = F.broadcast(chosen) if few else chosen
         docs = self._vectors(
             spec, ["row", *(fields or [])], options, lambda table: table.join(near, list(self.key))
         )
-        return Matrix(docs, page, spec, self.key, (F.col("row"),))
+        return Matrix(docs, chosen, spec, self.key, (F.col("row"),))
 
     def vectorize_all(
         self,
@@ -364,14 +370,12 @@ def random_order(key: str | list[str], seed: int) -> Column:
     return seeded_digest(key, seed)
 
 
-def page_of(hits: DataFrame, order: list[Column], from_: int, size: int) -> DataFrame:
+def page_of(hits: DataFrame, order: list[Order], from_: int, size: int) -> DataFrame:
     """One page of the hits with ``row`` counting from 0."""
     if from_ < 0 or size < 0:
         raise ValueError("'from_' and 'size' are not negative")
     if from_ + size <= TOP_K_ROWS:
         # A top-k leaves one ordered partition, in which this number counts from 0.
-        page = hits.orderBy(*order).offset(from_).limit(size)
-        return page.withColumn("row", F.monotonically_increasing_id())
-    numbered = row_index(hits, order)
-    page = numbered.where((F.col("row") >= from_) & (F.col("row") < from_ + size))
-    return page.withColumn("row", F.col("row") - from_)
+        top = hits.orderBy(*[by.column() for by in order]).offset(from_).limit(size)
+        return top.withColumn("row", F.monotonically_increasing_id())
+    return page(hits, order, from_, size)

@@ -26,6 +26,7 @@ from termloom.functions.scoring import significance
 from termloom.functions.text import URL_EMAIL_PATTERN, Analyzer, term_counts
 from termloom.operators import batches, learning, significance as chosen, term_stats
 from termloom.operators.search import page_of
+from termloom.plans.selection import Order
 from termloom.plans.numbering import row_index, sum_before, top_per_group
 from termloom.streaming import live
 
@@ -160,7 +161,7 @@ def test_top_per_group(hot):
 
 
 def test_small_and_large_pages_agree(hot, monkeypatch):
-    order = [F.col("g").desc(), F.col("k")]
+    order = [Order("g", descending=True), Order("k")]
     near = {(r["k"], r["row"]) for r in page_of(hot, order, 100, 50).collect()}
     monkeypatch.setattr("termloom.operators.search.TOP_K_ROWS", 10)
     far = {(r["k"], r["row"]) for r in page_of(hot, order, 100, 50).collect()}

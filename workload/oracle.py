@@ -312,6 +312,10 @@ SELECT doc_id, row, lang, n_chars, {JSON} AS matrix FROM docs LEFT JOIN cell USI
     sql["deep_page"] = """WITH r AS (SELECT l_orderkey, l_linenumber,
 row_number() OVER (ORDER BY l_shipdate DESC, l_orderkey, l_linenumber) - 1 AS row FROM lineitem)
 SELECT l_orderkey, l_linenumber, CAST(row - 20000 AS BIGINT) AS row FROM r WHERE row >= 20000 AND row < 20500"""
+    sql["large_sample"] = f"""WITH r AS (SELECT o_custkey,
+row_number() OVER (ORDER BY md5(o_orderkey || ':{SEED}'), o_orderkey) - 1 AS row FROM orders)
+SELECT CAST(row AS BIGINT) AS row, CAST(0 AS INTEGER) AS col, CAST(o_custkey AS DOUBLE) AS data FROM r
+WHERE row < 11000 AND o_custkey <> 0"""
     sql["per_shard_limit"] = """SELECT doc_id FROM (SELECT doc_id, row_number() OVER
 (PARTITION BY source ORDER BY doc_id) AS n FROM documents WHERE lang = 'en') s WHERE n <= 7"""
     sql["field_projection"] = as_json(
@@ -337,13 +341,13 @@ ls AS (SELECT quality, term, count(*) AS ldf FROM tf GROUP BY ALL)
 SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(ldf AS DOUBLE) AS data
 FROM tf JOIN {words(WORDS)} voc USING (term) JOIN ls USING (quality, term)"""
     sql["vec_foreign_statistics"] = f"""WITH {base()},
-seen AS (SELECT DISTINCT conv_id, turn, unnest({TOKENS}) AS term FROM conversations WHERE length(text) < 40),
+seen AS (SELECT DISTINCT conv_id, turn, unnest({TOKENS}) AS term FROM conversations),
 fs AS (SELECT term, count(*) AS fdf FROM seen GROUP BY term)
 SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(fdf AS DOUBLE) AS data
 FROM tf JOIN {words(WORDS)} voc USING (term) JOIN fs USING (term)"""
     sql["vec_foreign_joined"] = sql["vec_foreign_statistics"]
-    sql["vec_foreign_scope"] = f"""WITH {base("documents", "doc_id, source, lang")},
-fs AS (SELECT source, term, sum(tf) AS fttf FROM tf WHERE lang = 'fr' GROUP BY ALL)
+    sql["vec_foreign_scope"] = f"""WITH {base("documents", "doc_id, source")},
+fs AS (SELECT source, term, sum(tf) AS fttf FROM tf JOIN labels USING (doc_id) GROUP BY ALL)
 SELECT doc_id, CAST(col AS INTEGER) AS col, CAST(fttf AS DOUBLE) AS data
 FROM tf JOIN {words(WORDS)} voc USING (term) JOIN fs USING (source, term)"""
     sql["vec_foreign_scope_joined"] = sql["vec_foreign_scope"]
@@ -394,6 +398,20 @@ SELECT conv_id AS row, CAST(col AS INTEGER) AS col, CAST(sum(tf) AS DOUBLE) AS d
 FROM tf JOIN {words(WORDS)} voc USING (term) GROUP BY conv_id, col"""
     sql["csr_rows"] = f"""{TF}, r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row FROM documents)
 SELECT CAST(row AS BIGINT) AS row, {arrays} FROM cell JOIN r USING (doc_id) GROUP BY row"""
+    sql["market_lines"], sql["market_batches"] = f"""{TF},
+r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row FROM documents),
+e AS (SELECT row, col + 1 AS col, data FROM cell JOIN r USING (doc_id))
+SELECT '%%MatrixMarket matrix coordinate real general' AS line
+UNION ALL SELECT (SELECT count(*) FROM documents) || ' {N} ' || count(*) FROM e
+UNION ALL SELECT row || ' ' || col || ' ' || data FROM e""", f"""{TF},
+r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents),
+b AS (SELECT doc_id, CAST(floor(n / {BATCH}) AS BIGINT) AS batch_id, n % {BATCH} + 1 AS row FROM r),
+e AS (SELECT batch_id, row, col + 1 AS col, data FROM cell JOIN b USING (doc_id)),
+sizes AS (SELECT batch_id, count(*) AS n_rows FROM b GROUP BY 1),
+nnz AS (SELECT batch_id, count(*) AS n FROM e GROUP BY 1)
+SELECT batch_id, '%%MatrixMarket matrix coordinate real general' AS line FROM sizes
+UNION ALL SELECT batch_id, n_rows || ' {N} ' || coalesce(n, 0) FROM sizes LEFT JOIN nnz USING (batch_id)
+UNION ALL SELECT batch_id, row || ' ' || col || ' ' || data FROM e"""
     sql["written_json"] = as_json(TF, docs="documents")
     # feature selection
     best = significant(LABELLED, "toxic", "", N_SIGNIFICANT)

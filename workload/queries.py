@@ -37,12 +37,15 @@ from termloom import (
     url_email_analyzer,
     wildcard,
     write_batches,
+    write_market,
+    write_market_batches,
     write_matrix,
 )
 from termloom.functions.text import URL_EMAIL_PATTERN
 from termloom.operators import batches, learning, matrix, significance, term_stats
 from termloom.operators.search import page_of
 from termloom.plans.numbering import row_index
+from termloom.plans.selection import Order
 from termloom.plans.sizing import scratch_dir, settle
 from termloom.sources.corpus import mapping_schema
 from termloom.streaming import changes, live
@@ -298,30 +301,28 @@ def vec_set_value(spark, sf_dir):
 @query
 def vec_foreign_statistics(spark, sf_dir):
     """Statistics of another collection: a term that it does not have gives no cell."""
-    turns = table(spark, sf_dir, "conversations").select("text")
-    return _text_matrix(spark, sf_dir, "doc_freq", corpus=turns.where(F.length("text") < 40))
+    return _text_matrix(spark, sf_dir, "doc_freq", corpus=table(spark, sf_dir, "conversations").select("text"))
 
 
 @query
 def vec_foreign_joined(spark, sf_dir):
     """The same by the plan for dictionaries beyond the broadcast limit."""
     turns = table(spark, sf_dir, "conversations").select("text")
-    short = turns.where(F.length("text") < 40)
-    return _text_matrix(spark, sf_dir, "doc_freq", corpus=short, largest_broadcast=0)
+    return _text_matrix(spark, sf_dir, "doc_freq", corpus=turns, largest_broadcast=0)
 
 
-def _french(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("lang = 'fr'").select("source", "text")
+def _judged(spark, sf_dir):
+    return labelled(spark, sf_dir).select("source", "text")
 
 
 @query
 def vec_foreign_scope(spark, sf_dir):
-    return _text_matrix(spark, sf_dir, "ttf", corpus=_french(spark, sf_dir), scope=["source"])
+    return _text_matrix(spark, sf_dir, "ttf", corpus=_judged(spark, sf_dir), scope=["source"])
 
 
 @query
 def vec_foreign_scope_joined(spark, sf_dir):
-    corpus = _french(spark, sf_dir)
+    corpus = _judged(spark, sf_dir)
     return _text_matrix(spark, sf_dir, "ttf", corpus=corpus, scope=["source"], largest_broadcast=0)
 
 
@@ -560,13 +561,21 @@ def sorted_page(spark, sf_dir):
 
 @query
 def deep_page(spark, sf_dir):
-    """A page beyond the top-k bound: rows are numbered instead."""
+    """A page beyond the top-k bound: only the part of the order that holds it is sorted."""
     lines = table(spark, sf_dir, "lineitem")
-    order = [F.desc("l_shipdate"), "l_orderkey", "l_linenumber"]
+    order = [Order("l_shipdate", descending=True), Order("l_orderkey"), Order("l_linenumber")]
     keys = lines.select("l_shipdate", "l_orderkey", "l_linenumber")
     return page_of(keys, order, 20_000, 500).select("l_orderkey", "l_linenumber", "row")
 
 
+@query
+def large_sample(spark, sf_dir):
+    """A repeatable sample beyond the top-k bound: rows are cut by their digests, not all sorted."""
+    orders = Collection(table(spark, sf_dir, "orders"), ("o_orderkey",))
+    spec = FeatureSpec.from_spec([{"field": "o_custkey", "span": 1}])
+    return orders.search_vectorize(spec, sort=[random_order("o_orderkey", SEED)], size=11_000).to_coo()
+
+
 @query
 def per_shard_limit(spark, sf_dir):
     hits, _ = collection(spark, sf_dir).hits(
@@ -778,6 +787,22 @@ def written_batches(spark, sf_dir):
     return batches.batch_coo(write_batches(scrolled.docs, scrolled.spec, path))
 
 
+@query
+def market_lines(spark, sf_dir):
+    """The whole matrix as one file in the exchange format of sparse matrices, in parts that follow each other."""
+    path = f"{scratch_dir(spark)}/market-{uuid.uuid4().hex}"
+    write_market(collection(spark, sf_dir).vectorize_all(text_spec("term_freq")), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query
+def market_batches(spark, sf_dir):
+    """One file of its own per batch."""
+    path = f"{scratch_dir(spark)}/market-{uuid.uuid4().hex}"
+    write_market_batches(collection(spark, sf_dir).vectorize_all(text_spec("term_freq")).batches(BATCH), path)
+    return spark.read.text(path).select(F.col("batch_id").cast("bigint").alias("batch_id"), F.col("value").alias("line"))
+
+
 @query
 def written_json(spark, sf_dir):
     """A DICT export as JSON lines, read back."""
