@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import buffers
-from .storage import id_out, id_text
+from .storage import free_prefix, id_out, id_text
 
 # An item is found where at most this share of its words must be inserted, removed or replaced.
 MAX_EDITED = 0.2
@@ -387,5 +387,6 @@ def _pass(texts: DataFrame, index: ItemIndex) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The rows of documents in which no item was found, with all their columns."""
-    hit = matches(docs, items, key, text, **names).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs[key].cast("bigint").eqNullSafe(F.col("__hit")), "left_anti")
+    name = f"{free_prefix(docs)}hit"
+    hit = matches(docs, items, key, text, **names).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(hit, docs[key].cast("bigint").eqNullSafe(F.col(name)), "left_anti")

@@ -278,15 +278,16 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     return narrow.mapInArrow(rows, "doc_id bigint, lang_pred string, score double, bits_per_byte double")
 
 
-def annotate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows with all their columns, and ``__lang`` and ``__bits`` (per byte) as in ``predict``."""
+def annotate(docs: DataFrame, model: Model, text: str = "text", prefix: str = "__") -> DataFrame:
+    """The rows with all their columns, and ``lang`` and ``bits`` (per byte) as in ``predict``, named with the prefix."""
+    added = [f"{prefix}lang", f"{prefix}bits"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in buffers.pieces(batches, text):
             names, _, rates = _judge(shared.value, batch.column(text))
             more = [pa.array(names, pa.string()), pa.array(rates, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "__lang", "__bits"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *added])
 
-    schema = T.StructType([*docs.schema, T.StructField("__lang", T.StringType()), T.StructField("__bits", T.DoubleType())])
+    schema = T.StructType([*docs.schema, T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())])
     return docs.mapInArrow(rows, schema)

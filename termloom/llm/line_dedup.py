@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cuckoo import CuckooFilter
-from .storage import id_out, id_text, settle
+from .storage import LAST_ID, id_out, id_text, settle
 
 MIN_KEY_CHARS = 10
 # Bounds of what one task holds: keys of a filter, and lines looked up in it.
@@ -123,11 +123,12 @@ class LineIndex:
     def insert(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> LineIndex:
         """The index with further documents."""
         more = settle(references(docs, key, text))
-        return self._changed(settle(self.refs.unionAll(more)), more)
+        # Both parts are written; those known are not written again.
+        return self._changed(self.refs.unionAll(more), more)
 
     def delete(self, ids: DataFrame, key: str = "doc_id") -> LineIndex:
         """The index without the documents of ``ids``."""
-        gone = ids.select(F.col(key).cast("bigint").alias("doc_id")).distinct()
+        gone = ids.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("doc_id")).distinct()
         rest = settle(self.refs.join(gone, "doc_id", "left_anti"))
         return self._changed(rest, self.refs.join(gone, "doc_id", "left_semi"))
 
@@ -138,10 +139,14 @@ class LineIndex:
         added = counted.join(before, _KEY, "left_anti").withColumn("added", F.lit(True))
         removed = before.join(counted, _KEY, "left_anti").withColumn("added", F.lit(False))
         changes = added.unionByName(removed).select("hi", "added", _in_shard(self.shards).alias("shard"))
+        repeated = settle(self.repeated.join(keys, _KEY, "left_anti").unionByName(counted))
+        needed = -(-repeated.count() // KEYS_PER_SHARD)
+        if needed > self.shards:
+            # The keys have outgrown their filters: more of them, with room to grow.
+            return LineIndex(refs, repeated, settle(build_filters(repeated, 2 * needed)), 2 * needed)
         filters = self.filters.groupBy("shard").cogroup(changes.groupBy("shard"))
-        repeated = self.repeated.join(keys, _KEY, "left_anti").unionByName(counted)
         filters = settle(filters.applyInArrow(_change, "shard int, filter binary"))
-        return LineIndex(refs, settle(repeated), filters, self.shards)
+        return LineIndex(refs, repeated, filters, self.shards)
 
     def dropped(self, refs: DataFrame | None = None) -> DataFrame:
         """``doc_id, row, dropped``: per row the numbers of the lines that an earlier document holds.
@@ -153,25 +158,23 @@ class LineIndex:
         return late.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("dropped"))
 
 
-def without_repeats(docs: DataFrame, index: LineIndex, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row with its remaining text: ``__id, __row, __n_lines, __n_dropped, __kept`` beside its columns."""
-    lines = F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n", -1)
-    row = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
-    rows = docs.select(
-        "*", F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1)).alias("__id"), row.alias("__row")
-    )
-    gone = index.dropped().select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("dropped").alias("__gone"))
-    joined = rows.join(gone, ["__id", "__row"], "left").withColumn("__lines", lines)
-    numbers = F.sequence(F.lit(0), F.size("__lines") - 1)
-    rest = F.when(F.col("__gone").isNull(), numbers).otherwise(F.array_except(numbers, F.col("__gone")))
-    kept = F.transform(rest, lambda i: F.get(F.col("__lines"), i))
+def without_repeats(
+    docs: DataFrame, index: LineIndex, key: str = "doc_id", text: str = "text", prefix: str = "__"
+) -> DataFrame:
+    """Every row with its remaining text: ``id, row, n_lines, n_dropped, kept``, named with the prefix, beside its columns."""
+    id_, row, gone_, lines = (f"{prefix}{name}" for name in ("id", "row", "gone", "lines"))
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select("*", F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias(id_), F.xxhash64(whole).alias(row))
+    gone = index.dropped().select(F.col("doc_id").alias(id_), F.col("row").alias(row), F.col("dropped").alias(gone_))
+    joined = rows.join(gone, [id_, row], "left").withColumn(lines, F.split(whole, "\n", -1))
+    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
+    rest = F.when(F.col(gone_).isNull(), numbers).otherwise(F.array_except(numbers, F.col(gone_)))
+    kept = F.transform(rest, lambda i: F.get(F.col(lines), i))
     return joined.withColumns({
-        "__n_lines": F.size("__lines").cast("bigint"),
-        "__n_dropped": (F.size("__lines") - F.size(rest)).cast("bigint"),
-        "__kept": F.when(F.col("__gone").isNull(), F.coalesce(F.col(text).cast("string"), F.lit(""))).otherwise(
-            F.array_join(kept, "\n")
-        ),
-    }).drop("__gone", "__lines")
+        f"{prefix}n_lines": F.size(lines).cast("bigint"),
+        f"{prefix}n_dropped": (F.size(lines) - F.size(rest)).cast("bigint"),
+        f"{prefix}kept": F.when(F.col(gone_).isNull(), whole).otherwise(F.array_join(kept, "\n")),
+    }).drop(gone_, lines)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ from termloom.plans.sizing import broadcast_limit
 
 from . import buffers
 from .components import components
-from .storage import id_out, id_text, settle
+from .storage import free_prefix, id_out, id_text, settle
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -237,6 +237,6 @@ def near_duplicates(
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of the smallest document of every group of near duplicates, with all columns."""
-    found = near_duplicates(docs, key, text)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__head"))
-    return docs.join(heads.distinct(), docs[key].cast("bigint").eqNullSafe(F.col("__head")), "left_semi")
+    found, name = near_duplicates(docs, key, text), f"{free_prefix(docs)}head"
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name))
+    return docs.join(heads.distinct(), docs[key].cast("bigint").eqNullSafe(F.col(name)), "left_semi")

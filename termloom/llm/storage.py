@@ -36,6 +36,14 @@ def id_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def free_prefix(docs: DataFrame) -> str:
+    """A beginning for working columns that no column of the frame has, in any case."""
+    prefix = "__"
+    while any(name.lower().startswith(prefix) for name in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def id_out(column: str = "doc_id") -> Column:
     return F.when(F.col(column) != LAST_ID, F.col(column)).alias(column)
 

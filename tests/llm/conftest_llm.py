@@ -7,6 +7,7 @@ CLASHING = [
     "shard", "size", "slot", "row", "pos", "hi", "lo", "first_doc", "at", "anchor", "run", "tag", "fingerprint",
     "component_id", "cell", "value", "node", "root", "label", "score", "kept", "rule", "bucket", "item", "distance",
     "lang_pred", "n_words", "dropped", "block", "share", "drawn", "key", "line", "filter", "salt", "wanted", "gone",
+    "__id", "__row", "__gone", "__lines", "__kept", "__lang", "__bits", "__head", "__hit", "___id", "__N_lines",
 ]
 
 

@@ -11,7 +11,7 @@ import pytest
 from conftest_llm import CLASHING, as_docs, odd_rows
 from tokenizers import Tokenizer
 
-from termloom.llm import buffers, quality_rules, spelling_variants, text_counts, token_counts, whitening
+from termloom.llm import buffers, line_dedup, quality_rules, spelling_variants, text_counts, token_counts, whitening
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -314,3 +314,28 @@ def test_verdicts_do_not_turn_over_with_one_more_document(spark):
     highs = [share(n) for n in sizes]
     assert highs[2] == highs[3] or abs(highs[3] / highs[2] - 1) < 0.2
     assert highs[0] < 1 < highs[-1]
+
+
+# -- line index: changes -------------------------------------------------------------------------------
+def dropped_lines(index):
+    return sorted((str(r["doc_id"]), sorted(r["dropped"])) for r in index.dropped().collect())
+
+
+def test_null_ids_are_deleted(spark):
+    rows = [(1, "a line that is long enough\nanother line of its own"), (None, "a line that is long enough"), (2, "another line of its own")]
+    index = line_dedup.LineIndex.build(as_docs(spark, rows))
+    assert len(dropped_lines(index)) == 2
+    gone = index.delete(spark.createDataFrame([(None,)], "doc_id bigint"))
+    assert gone.refs.count() == 3 and dropped_lines(gone) == [("2", [0])]
+
+
+def test_filters_grow_with_their_keys(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 20)
+    early = [(i, f"the first shared line number {i % 10}") for i in range(20)]
+    late = [(100 + i, f"one of very many later lines {i % 150}") for i in range(300)]
+    grown = line_dedup.LineIndex.build(as_docs(spark, early)).insert(as_docs(spark, late))
+    whole = line_dedup.LineIndex.build(as_docs(spark, early + late))
+    assert grown.shards >= whole.shards > 1 and grown.filters.count() == grown.shards
+    assert dropped_lines(grown) == dropped_lines(whole)
+    late_ids = as_docs(spark, late).select("doc_id")
+    assert dropped_lines(grown.delete(late_ids)) == dropped_lines(line_dedup.LineIndex.build(as_docs(spark, early)))
