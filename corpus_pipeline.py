@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import bpe, decontaminate, language_id, line_dedup, queries, simhash
-from termloom.llm.storage import table
+from termloom.llm.storage import free_prefix, table
 from termloom.plans.sizing import scratch_dir
 
 # A text for which the best language needs as much room as its plain bytes is in none of them.
@@ -27,15 +27,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ``lang`` of what stays is the predicted language.
     """
     model = language_id.train(docs, F.lit(True))
-    named = language_id.annotate(docs, model)
-    kept = named.where((F.col("__lang") != language_id.UNDETERMINED) & (F.col("__bits") < PLAIN_BITS))
-    return kept.withColumn("lang", F.col("__lang")).select(*docs.columns)
+    own = free_prefix(docs)
+    named = language_id.annotate(docs, model, prefix=own)
+    kept = named.where((F.col(f"{own}lang") != language_id.UNDETERMINED) & (F.col(f"{own}bits") < PLAIN_BITS))
+    return kept.withColumn("lang", F.col(f"{own}lang")).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds go; ``n_chars`` follows."""
-    rows = line_dedup.without_repeats(docs, line_dedup.LineIndex.build(docs))
-    rows = rows.withColumn("text", F.col("__kept"))
+    own = free_prefix(docs)
+    rows = line_dedup.without_repeats(docs, line_dedup.LineIndex.build(docs), prefix=own)
+    rows = rows.withColumn("text", F.col(f"{own}kept"))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
     return rows.select(*docs.columns)
