@@ -171,9 +171,11 @@ def gram_hashes(buffer: np.ndarray, width: int) -> np.ndarray:
     n = len(buffer) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    eight = np.zeros(len(buffer), np.uint64)
-    for k in range(min(8, width)):
-        eight[: len(buffer) - k] |= buffer[k:].astype(np.uint64) << np.uint64(8 * k)
+    eight = buffer.astype(np.uint64)
+    for step in (1, 2, 4):  # eight bytes as one number
+        eight[: len(buffer) - step] |= eight[step:] << np.uint64(8 * step)
+    if width < 8:
+        eight &= np.uint64((1 << 8 * width) - 1)
     whole = np.zeros(n, np.uint64)
     # The last eight bytes may overlap those before.
     for at in sorted({*range(0, max(width - 7, 1), 8), max(width - 8, 0)}):

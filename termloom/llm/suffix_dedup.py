@@ -47,36 +47,47 @@ _FOUND = _COVER.append(pa.field("anchor", pa.int64()))
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """The least value of every ``width`` consecutive ones."""
-    n = len(values) - width + 1
-    rows = np.full(-(-len(values) // width) * width, np.iinfo(np.uint64).max, np.uint64)
-    rows[: len(values)] = values
-    rows = rows.reshape(-1, width)
-    before = np.minimum.accumulate(rows, 1).ravel()
-    after = np.minimum.accumulate(rows[:, ::-1], 1)[:, ::-1].ravel()
-    return np.minimum(after[:n], before[width - 1 : width - 1 + n])
+    """The least value of every ``width`` consecutive ones, from those of 1, 2, 4, ... values."""
+    n, reach = len(values) - width + 1, 1
+    while 2 * reach <= width:
+        values = np.minimum(values[:-reach], values[reach:])
+        reach *= 2
+    return np.minimum(values[:n], values[width - reach : width - reach + n])
 
 
-def _runs(data: np.ndarray, at: np.ndarray, length: int, gram: int, hot: np.ndarray):
-    """Row, start, size, anchor and hash of the runs of some texts."""
+def _anchored(data: np.ndarray, at: np.ndarray, length: int, gram: int):
+    """The bytes of some texts, where each begins, all gram hashes, and each window's place and anchor's place."""
     buffer, begins = buffers.separated(data, at, 1, _OUTSIDE)
     none = np.zeros(0, np.int64)
     if len(buffer) < length + 2:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    hashes = buffers.RangeHash(buffer)
+        return buffer, begins, none.astype(np.uint64), none, none
     grams = buffers.gram_hashes(buffer, gram)
     # half of the hash decides, then the place: of equal grams in a window the first is the anchor
     ranked = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     place = (_least(ranked, length - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    edge = np.zeros(len(buffer) + 1, np.int64)
+    edge = np.zeros(len(buffer) + 1, np.int8)
     long = np.flatnonzero(np.diff(at) >= length)
-    np.add.at(edge, begins[long], 1)
-    np.add.at(edge, begins[long] + np.diff(at)[long] - length + 1, -1)
-    windows = np.flatnonzero(np.cumsum(edge)[: len(place)])
-    place = place[windows]
-    anchors = grams[place]
+    # Texts are parted, so no two of these edges fall on one byte.
+    edge[begins[long]] += 1
+    edge[begins[long] + np.diff(at)[long] - length + 1] -= 1
+    windows = np.flatnonzero(np.cumsum(edge, dtype=np.int8)[: len(place)])
+    return buffer, begins, grams, windows, place[windows]
+
+
+def _first_windows(windows: np.ndarray, place: np.ndarray) -> np.ndarray:
     new = np.ones(len(windows), bool)
     new[1:] = (place[1:] != place[:-1]) | (windows[1:] != windows[:-1] + 1)
+    return new
+
+
+def _runs(data: np.ndarray, at: np.ndarray, length: int, gram: int, hot: np.ndarray):
+    """Row, start, size, anchor and hash of the runs of some texts."""
+    buffer, begins, grams, windows, place = _anchored(data, at, length, gram)
+    if not len(windows):
+        return windows, windows, windows, grams[:0], grams[:0]
+    hashes = buffers.RangeHash(buffer)
+    anchors = grams[place]
+    new = _first_windows(windows, place)
     if len(hot):
         new |= np.isin(_slots(anchors), hot)
     first = np.flatnonzero(new)
@@ -258,15 +269,19 @@ def _slots(anchors: np.ndarray) -> np.ndarray:
 
 
 def _count_slots(length: int, gram: int):
-    """For tasks over texts: how many different runs of a piece each slot has."""
+    """For tasks over texts: how many runs of a piece each slot has; those alike at both ends count once."""
     schema = pa.schema([("slot", pa.int32()), ("n", pa.int32())])
-    none = np.zeros(0, np.uint32)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in buffers.pieces(batches, "text"):
             data, offsets = buffers.utf8(batch.column("text"))
-            _, _, _, anchor, run = _runs(data, offsets, length, gram, none)
-            slots, n = np.unique(_slots(anchor[np.unique(run, return_index=True)[1]]), return_counts=True)
+            _, _, grams, windows, place = _anchored(data, offsets, length, gram)
+            first = np.flatnonzero(_first_windows(windows, place))
+            last = np.append(first[1:], len(windows))[: len(first)] - 1
+            start, end = windows[first], windows[last] + length - gram
+            ends = grams[start] * np.uint64(0x9E3779B97F4A7C15) + grams[end] + (end - start).astype(np.uint64)
+            kinds = np.unique(ends ^ buffers.mix(grams[place[first]]), return_index=True)[1]
+            slots, n = np.unique(_slots(grams[place[first[kinds]]]), return_counts=True)
             yield buffers.arrow(schema, slots.view(np.int32), n.astype(np.int32))
 
     return rows
