@@ -279,7 +279,7 @@ GROUP BY doc_id HAVING count(*) = 3"""
 AND a.term = '{first}' AND b.term = '{second}' AND {test}"""
 
     sql["phrase_query"] = near("was", "the", "b.at = a.at + 1")
-    sql["slop_query"] = near("moron", "that", "abs(b.at - 1 - a.at) <= 6")
+    sql["slop_query"] = near("that", "was", "abs(b.at - 1 - a.at) <= 4")
     sql["slop_of_equal_terms"] = near("was", "was", "b.at > a.at AND b.at - 1 - a.at <= 2")
     sql["phrase_over_stop_words"] = f"""WITH pl AS (SELECT doc_id, generate_subscripts({broken}, 1) AS at,
 unnest({broken}) AS term FROM documents)

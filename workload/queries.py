@@ -504,7 +504,7 @@ def phrase_over_stop_words(spark, sf_dir):
 
 @query
 def slop_query(spark, sf_dir):
-    return _found(spark, sf_dir, phrase("text", "moron that", slop=6))
+    return _found(spark, sf_dir, phrase("text", "that was", slop=4))
 
 
 @query
