@@ -4,7 +4,9 @@ Item and document are sequences of words, compared by edit distance over words.
 size of an item is mapped by a CGK random walk: at each step the walk writes the word it stands
 on, and a random bit that depends on step and word says whether it moves on.  Few edits change few
 places of the result, so edit distance becomes Hamming distance; a few places, sampled repeatedly,
-are the keys under which windows of documents and items meet.  Whatever meets is decided by the
+are the keys under which windows of documents and items meet.  An edit takes the two walks apart until
+they meet again, so places that agree stand together: each sample is drawn within a short span of
+steps, and in the first half, for with every lost word it takes longer until walks meet.  Whatever meets is decided by the
 exact distance between the item and the best part of the document there.
 
 Windows that cannot match are left out first: a part within the allowed distance of an item has at
@@ -32,15 +34,16 @@ from .storage import free_prefix, id_out, id_text
 
 # An item is found where at most this share of its words must be inserted, removed or replaced.
 MAX_EDITED = 0.2
-# Sampled places in a key, walks, and keys of each walk: chosen for a recall of 0.95 at the largest
-# distance allowed, see tests/llm/test_llm_exact.py.
-PLACES = 4
-WALKS = 2
-KEYS = 12
+# Sampled places in a key, the steps among which they are drawn, walks, and keys of each walk: chosen
+# for a recall of 0.95 at the largest distance allowed, see tests/llm/test_llm_exact.py.
+PLACES = 5
+SPAN = 12
+WALKS = 6
+KEYS = 5
 # Items are indexed in blocks of so many bytes; each block is one pass over the documents.  A block
-# of words of five letters has some 350,000 windows with WALKS * KEYS entries of 16 bytes: 140 MB;
-# where each character of three bytes is a word, 280 MB.
-BLOCK_BYTES = 2 << 20
+# of words of five letters has some 260,000 windows with WALKS * KEYS entries of 16 bytes: 130 MB;
+# where each character of three bytes is a word, 260 MB.
+BLOCK_BYTES = 3 << 19
 MAX_WINDOW = 128
 SEED = 11
 _WORD = np.zeros(256, bool)
@@ -182,10 +185,9 @@ def _counted(counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def walk(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, level: int, seed: int) -> tuple[np.ndarray, int]:
-    """The words that the walks from ``starts`` write, step by window, for the steps that a window
-    of ``level`` words almost surely covers; no walk passes the ``PAD`` at its place of ``stops``."""
-    steps = max(1, level * 3 // 2)
+def walk(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, steps: int, seed: int) -> np.ndarray:
+    """The words that the walks from ``starts`` write, step by window; no walk passes the ``PAD`` at
+    its place of ``stops``."""
     written = np.empty((steps, len(starts)), np.uint64)
     at = starts.copy()
     for step in range(steps):
@@ -194,17 +196,25 @@ def walk(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, level: int,
         coin = (here ^ np.uint64((seed * 1_000_003 + step) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
         at += (coin >> np.uint64(63)).astype(np.int64)
         np.minimum(at, stops, out=at)
-    return written, steps
+    return written
+
+
+def sampled_places(level: int) -> list[list[np.ndarray]]:
+    """For each walk the steps in each key, among those that a window of ``level`` words almost surely covers."""
+    draw = np.random.default_rng(SEED + level)
+    steps = max(1, level * 3 // 2)
+    span = min(steps, SPAN)
+    one = lambda: draw.integers((steps - span) // 2 + 1) + np.sort(draw.choice(span, min(PLACES, span), replace=False))
+    return [[one() for _ in range(KEYS)] for _ in range(WALKS)]
 
 
 def keys(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, level: int) -> Iterator[np.ndarray]:
     """For each repetition a key per window."""
-    draw = np.random.default_rng(SEED + level)
-    for number in range(WALKS):
-        written, steps = walk(hashes, starts, stops, level, SEED + number)
-        for repetition in range(KEYS):
+    for number, samples in enumerate(sampled_places(level)):
+        written = walk(hashes, starts, stops, 1 + max(int(places[-1]) for places in samples), SEED + number)
+        for repetition, places in enumerate(samples):
             key = np.full(len(starts), (level << 16) + number * KEYS + repetition, np.uint64)
-            for place in np.sort(draw.choice(steps, min(PLACES, steps), replace=False)):
+            for place in places:
                 key = buffers.mix(key + written[place])
             yield key
 
@@ -249,7 +259,11 @@ class ItemIndex:
         return cls(np.array(ids, np.int64), hashes, first, known, levels)
 
     def candidates(self, hashes: np.ndarray, row_first: np.ndarray):
-        """Item, the word it would begin at, and the row, for windows that share a key with one of its windows."""
+        """Item, the word it would begin at, and the row, for windows that share a key with one of its windows.
+
+        Of begins that differ by no more words than the item may be edited in, the first stands for
+        all: ``verify`` looks far enough on both sides.
+        """
         unknown = np.concatenate([[0], np.cumsum(~self.known[hashes >> np.uint64(64 - _FILTER_BITS)])])
         spread, _, stop = padded(hashes, row_first)
         sizes = np.diff(row_first)
@@ -273,7 +287,14 @@ class ItemIndex:
                 entry = np.repeat(low, count) + _counted(count)
                 hit = np.repeat(hit, count)
                 found.append(np.stack([owner[entry], starts[hit] - offset[entry], rows[hit]], 1))
-        return np.unique(np.concatenate(found), axis=0).T
+        item, begin, row = np.concatenate(found).T
+        allowed = (MAX_EDITED * np.diff(self.first) + 1e-9).astype(np.int64)
+        near = (begin - row_first[row]) // (allowed[item] + 1)
+        order = np.lexsort((begin, near, row, item))
+        item, begin, row, near = item[order], begin[order], row[order], near[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (row[1:] != row[:-1]) | (near[1:] != near[:-1])
+        return item[new], begin[new], row[new]
 
 
 def _distances(item: np.ndarray, parts: np.ndarray, free_start: bool) -> np.ndarray:
@@ -295,6 +316,7 @@ def verify(index: ItemIndex, item: int, begins: np.ndarray, hashes: np.ndarray,
     and the first and last word of the best part; distance -1 where it is too far."""
     own = index.hashes[index.first[item] : index.first[item + 1]]
     n, allowed = len(own), max_edits(len(own))
+    ordered = np.sort(own)
     width = n + 4 * allowed + 2
     lead = begins - 2 * allowed - 1
     out = np.full((len(begins), 3), -1, np.int64)
@@ -304,14 +326,18 @@ def verify(index: ItemIndex, item: int, begins: np.ndarray, hashes: np.ndarray,
         inside = (at >= low[part][:, None]) & (at < high[part][:, None])
         # 0 stands for what is outside the document; a word's hash is 0 with a chance of 2**-64
         segment = np.where(inside, hashes[np.clip(at, 0, len(hashes) - 1)], np.uint64(0))
+        # a part near enough has all words of the item but those that may be missing
+        shared = ordered[np.minimum(np.searchsorted(ordered, segment), n - 1)] == segment
+        rich = np.flatnonzero(shared.sum(1) >= n - allowed)
+        segment = segment[rich]
         found = _distances(own, segment, True)
         last, best = found.argmin(1), found.min(1)
         for k in np.flatnonzero(best <= allowed):
             reversed_part = segment[k : k + 1, : last[k]][:, ::-1]
             back = _distances(own[::-1], np.ascontiguousarray(reversed_part), False)[0]
             size = int(np.flatnonzero(back == best[k])[0])
-            place = int(lead[part][k] + last[k])
-            out[start + k] = best[k], place - size, place
+            place = int(lead[part][rich[k]] + last[k])
+            out[start + rich[k]] = best[k], place - size, place
     return out
 
 
