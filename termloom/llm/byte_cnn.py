@@ -1,8 +1,9 @@
 """A convolutional network over bytes, in numpy.
 
-Bytes are embedded, filters slide over overlapping chunks that cover the whole text, each filter's
-highest response in a chunk is kept, and the responses, averaged over a document's chunks, are
-combined into one probability.
+Bytes are embedded, filters slide byte by byte over overlapping chunks that cover the whole text, and
+each filter's highest response in a chunk is kept.  A document has the highest of these over all its
+chunks, and beside it their mean, so that one marked chunk in a long text shows and so does what
+marks all of them; both together are combined into one probability.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ CHUNK = 512
 OVERLAP = 64
 EMBED = 8
 WIDTH = 8
-STEP = 2
 FILTERS = 24
+EPOCHS = 12
 _BLOCK = 64  # chunks in one product
 
 
@@ -25,7 +26,7 @@ class ByteNet:
     embed: np.ndarray  # 256 x EMBED
     filters: np.ndarray  # WIDTH * EMBED x FILTERS
     shift: np.ndarray  # FILTERS
-    weights: np.ndarray  # FILTERS
+    weights: np.ndarray  # 2 * FILTERS: of the document's maxima, then of its means
     bias: float
 
     @classmethod
@@ -36,25 +37,27 @@ class ByteNet:
             draw.normal(0, 0.5, (256, EMBED)).astype(np.float32),
             draw.normal(0, scale, (WIDTH * EMBED, FILTERS)).astype(np.float32),
             np.zeros(FILTERS, np.float32),
-            draw.normal(0, 0.1, FILTERS).astype(np.float32),
+            draw.normal(0, 0.1, 2 * FILTERS).astype(np.float32),
             float(np.log(prior / (1 - prior))),
         )
 
-    def windows(self, chunks: np.ndarray) -> np.ndarray:
-        """The embedded windows of chunks, as a view: chunk x place x WIDTH * EMBED."""
-        embedded = np.ascontiguousarray(self.embed[chunks])
-        places = (chunks.shape[1] - WIDTH) // STEP + 1
-        a, b, c = embedded.strides
-        view = np.lib.stride_tricks.as_strided(embedded, (len(chunks), places, WIDTH * EMBED), (a, b * STEP, c))
-        return view
-
-    def responses(self, chunks: np.ndarray) -> np.ndarray:
-        """The highest response of each filter in each chunk."""
-        out = np.empty((len(chunks), FILTERS), np.float32)
+    def strongest(self, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The highest response of each filter in each chunk, before its threshold, and its place."""
+        high = np.full((len(chunks), FILTERS), -np.inf, np.float32)
+        place = np.zeros((len(chunks), FILTERS), np.int64)
         for start in range(0, len(chunks), _BLOCK):
-            part = chunks[start : start + _BLOCK]
-            out[start : start + _BLOCK] = (self.windows(part) @ self.filters).max(1)
-        return np.maximum(out + self.shift, 0)
+            part = slice(start, start + _BLOCK)
+            embedded = self.embed[chunks[part]]
+            for phase in range(WIDTH):  # windows that begin WIDTH apart do not overlap: a view
+                count = (chunks.shape[1] - phase) // WIDTH
+                windows = embedded[:, phase : phase + count * WIDTH].reshape(len(embedded), count, WIDTH * EMBED)
+                found = windows @ self.filters
+                best = found.argmax(1)
+                value = np.take_along_axis(found, best[:, None], 1)[:, 0]
+                better = value > high[part]
+                high[part] = np.where(better, value, high[part])
+                place[part] = np.where(better, best * WIDTH + phase, place[part])
+        return high + self.shift, place
 
     def combine(self, pooled: np.ndarray) -> np.ndarray:
         logits = pooled.astype(np.float64) @ self.weights.astype(np.float64) + self.bias
@@ -81,15 +84,44 @@ def score(net: ByteNet, data: np.ndarray, at: np.ndarray) -> np.ndarray:
     counts = np.array([len(chunk_starts(int(s))) for s in np.diff(at)], np.int64)
     row = np.repeat(np.arange(n), counts)
     starts = at[row] + (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)) * (CHUNK - OVERLAP)
-    sums = np.zeros((n, FILTERS))
+    pooled = np.zeros((n, 2 * FILTERS), np.float32)
     for block in range(0, len(row), 16 * _BLOCK):
         part = slice(block, block + 16 * _BLOCK)
-        np.add.at(sums, row[part], net.responses(cut(data, starts[part], at[row[part] + 1])))
-    return net.combine(sums / np.maximum(counts, 1)[:, None])
-
-
-def fit(chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, epochs: int = 12, batch: int = 32, seed: int = 7) -> ByteNet:
-    """Learn from documents, each given by some of its chunks (sorted by ``owner``), by Adam on the log loss."""
+        active = np.maximum(net.strongest(cut(data, starts[part], at[row[part] + 1]))[0], 0)
+        np.maximum.at(pooled[:, :FILTERS], row[part], active)
+        np.add.at(pooled[:, FILTERS:], row[part], active / counts[row[part], None].astype(np.float32))
+    return net.combine(pooled)
+
+
+def gradients(net: ByteNet, chunks: np.ndarray, row: np.ndarray, labels: np.ndarray) -> dict:
+    """Slopes of the mean log loss of documents, each given by its chunks (``row``, sorted)."""
+    share = (1.0 / np.bincount(row))[row].astype(np.float32)
+    highest, place = net.strongest(chunks)
+    active = np.maximum(highest, 0)
+    begin = np.searchsorted(row, np.arange(len(labels)))
+    maxima = np.maximum.reduceat(active, begin)
+    pooled = np.concatenate([maxima, np.add.reduceat(active * share[:, None], begin)], 1)
+    error = ((net.combine(pooled) - labels) / len(labels)).astype(np.float32)
+    # a document's maximum passes its error on to the chunks that have it, in equal parts
+    top = (active == maxima[row]).astype(np.float32)
+    top /= np.add.reduceat(top, begin)[row]
+    back = error[row][:, None] * (top * net.weights[:FILTERS] + share[:, None] * net.weights[FILTERS:])
+    back *= highest > 0
+    read = chunks[np.arange(len(chunks))[:, None, None], place[:, :, None] + np.arange(WIDTH)]
+    best = net.embed[read].reshape(len(chunks), FILTERS, WIDTH * EMBED)
+    into = (back[:, :, None] * net.filters.T[None]).reshape(-1, EMBED)
+    embed = [np.bincount(read.reshape(-1), into[:, k], minlength=256) for k in range(EMBED)]
+    return {
+        "embed": np.stack(embed, 1).astype(np.float32),
+        "filters": np.einsum("cf,cfw->wf", back, best),
+        "shift": back.sum(0),
+        "weights": pooled.T @ error + 1e-4 * net.weights,
+        "bias": float(error.sum()),
+    }
+
+
+def fit(chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, batch: int = 32, seed: int = 7) -> ByteNet:
+    """Learn from documents, each given by its chunks (sorted by ``owner``), by Adam on the log loss."""
     labels = labels.astype(np.float64)
     prior = (labels.sum() + 1) / (len(labels) + 2)
     net = ByteNet.fresh(seed, prior)
@@ -107,26 +139,7 @@ def fit(chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, epochs: int =
         for docs in np.array_split(draw.permutation(len(labels)), -(-len(labels) // batch)):
             picked = np.concatenate([np.arange(begins[d], begins[d + 1]) for d in docs])
             row = np.repeat(np.arange(len(docs)), begins[docs + 1] - begins[docs])
-            share = (1.0 / np.bincount(row))[row].astype(np.float32)
-            part = chunks[picked]
-            windows = net.windows(part)
-            response = windows @ net.filters
-            place = response.argmax(1)
-            highest = np.take_along_axis(response, place[:, None], 1)[:, 0] + net.shift
-            active = np.maximum(highest, 0)
-            pooled = np.zeros((len(docs), FILTERS), np.float32)
-            np.add.at(pooled, row, active * share[:, None])
-            error = ((net.combine(pooled) - labels[docs]) / len(docs)).astype(np.float32)
-            grads = {"weights": pooled.T @ error + 1e-4 * net.weights, "bias": float(error.sum())}
-            back = (error[row] * share)[:, None] * net.weights * (highest > 0)
-            grads["shift"] = back.sum(0)
-            best = windows[np.arange(len(part))[:, None], place]  # chunk x filter x window
-            grads["filters"] = np.einsum("cf,cfw->wf", back, best)
-            into = (back[:, :, None] * net.filters.T[None]).reshape(-1, WIDTH, EMBED)
-            read = part[np.arange(len(part))[:, None, None], place[:, :, None] * STEP + np.arange(WIDTH)]
-            flat = np.zeros((256, EMBED), np.float32)
-            np.add.at(flat, read.reshape(-1), into.reshape(-1, EMBED))
-            grads["embed"] = flat
+            grads = gradients(net, chunks[picked], row, labels[docs])
             turn += 1
             for name, grad in grads.items():
                 first[name] = 0.9 * first[name] + 0.1 * grad

@@ -11,22 +11,19 @@ from pyspark.sql import functions as F
 
 from . import buffers, byte_cnn
 
-# Training: about so many labelled rows drawn from all by a hash, and so many chunks of each text
-# spread evenly over it.  Scoring always reads whole texts.
+# Training: about so many labelled rows drawn from all by a hash, with their whole texts.
 SAMPLE_ROWS = 3000
-SAMPLE_CHUNKS = 6
 THRESHOLD = 0.3
 
 
-def _some_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int64()), ("chunks", pa.binary())])
     for batch in buffers.pieces(batches, "text"):
         data, at = buffers.utf8(batch.column("text"))
         out = []
         for begin, end in zip(at[:-1], at[1:]):
             starts = np.array(byte_cnn.chunk_starts(int(end - begin)), np.int64) + begin
-            chosen = starts[np.unique(np.linspace(0, len(starts) - 1, SAMPLE_CHUNKS).astype(np.int64))]
-            out.append(byte_cnn.cut(data, chosen, np.full(len(chosen), end)).tobytes())
+            out.append(byte_cnn.cut(data, starts, np.full(len(starts), end)).tobytes())
         yield buffers.arrow(schema, batch.column("doc_id"), batch.column("label"), out)
 
 
@@ -42,7 +39,7 @@ def train(
     sample = marked.where(drawn < share)  # about `rows` rows, whatever the table's size
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = texts.join(F.broadcast(sample), "doc_id").mapInArrow(
-        _some_chunks, "doc_id bigint, label bigint, chunks binary"
+        _chunks, "doc_id bigint, label bigint, chunks binary"
     ).toArrow().sort_by([("doc_id", "ascending"), ("chunks", "ascending")])
     parts = [np.frombuffer(c, np.uint8).reshape(-1, byte_cnn.CHUNK) for c in found.column("chunks").to_pylist()]
     if not parts:
