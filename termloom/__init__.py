@@ -24,6 +24,7 @@ from .operators.matrix import Matrix
 from .operators.search import Collection, random_order
 from .plans.spec import Feature, FeatureSpec
 from .sources.corpus import field_mapping, load_corpus, scan_indices
+from .sources.names import scan_matching
 from .sources.sinks import write_batches, write_market, write_market_batches, write_matrix
 
 __all__ = [
@@ -54,6 +55,7 @@ __all__ = [
     "range_",
     "regexp",
     "scan_indices",
+    "scan_matching",
     "standard_analyzer",
     "term",
     "terms",

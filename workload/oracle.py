@@ -459,6 +459,8 @@ substr(md5(_index || ':' || doc_id || ':{SEED}'), 1, 4) < '{TEST_EDGE}' AS is_te
 SELECT 'documents' AS _index, doc_id, CAST(NULL AS BIGINT) AS turn, text FROM documents
 UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations),
 {base("joint", "_index, doc_id, turn")} {cells("tf.tf", key="_index, doc_id, turn")}"""
+    named = "UNION ALL SELECT 'benchmark', item_id, NULL, text FROM benchmark),"
+    sql["wildcard_scan"] = sql["multi_table_scan"].replace("FROM conversations),", f"FROM conversations {named}")
     # streams
     sql["stream_vectorize"] = sql["vec_term_freq"]
     sql["stream_batches"] = f"""WITH {base()}, cell AS ({cells("df")}),

@@ -32,6 +32,7 @@ from termloom import (
     range_,
     regexp,
     scan_indices,
+    scan_matching,
     term,
     terms,
     url_email_analyzer,
@@ -996,6 +997,20 @@ def multi_table_scan(spark, sf_dir):
     return by_key(cells)
 
 
+@query
+def wildcard_scan(spark, sf_dir):
+    both = scan_matching(
+        spark,
+        sf_dir,
+        "benchmark,doc*,c*,-customer,pag*,absent",
+        closed=["pages"],
+        ignore_unavailable=True,
+        columns={"conversations": {"conv_id": "doc_id"}, "benchmark": {"item_id": "doc_id"}},
+    )
+    cells = Collection(both, ("_index", "doc_id", "turn")).vectorize_all(text_spec("term_freq"))
+    return by_key(cells)
+
+
 def _several(spark, sf_dir):
     both = scan_indices(
         spark,
