@@ -3,8 +3,8 @@
 The objective is ``|w|^2 / 2 + C * sum(max(0, 1 - y * (w.x + b))^2)``; the intercept ``b`` is the weight of a
 further feature that is always ``intercept_scaling``, and is penalised like the others.  It is strictly
 convex, so the minimum is the same for any partitioning.  Rows are packed once into sparse blocks; each step is
-one pass over them, whose partial sums are added up in a tree of tasks, and a limited-memory quasi-Newton
-step on the driver, which holds a few vectors as long as the model.
+one pass over them, whose partial sums are added up (in a tree of tasks where they are many or long), and a
+limited-memory quasi-Newton step on the driver, which holds a few vectors as long as the model.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ from ..plans.sizing import settle
 BLOCK_CELLS = 1 << 20
 # Steps remembered by the quasi-Newton method.
 MEMORY = 20
-# Partial sums meet in a tree of this depth.
+# Partial sums of one pass up to this size go straight to the driver; beyond it they meet in a tree of tasks first.
+DIRECT_BYTES = 32 << 20
 DEPTH = 2
 
 
@@ -97,7 +98,8 @@ class _Objective:
 
     def _sum(self, part, size: int) -> np.ndarray:
         self.passes += 1
-        return self._blocks.treeAggregate(np.zeros(size), part, lambda a, b: a + b, DEPTH)
+        direct = self._blocks.getNumPartitions() * size * 8 <= DIRECT_BYTES
+        return self._blocks.treeAggregate(np.zeros(size), part, lambda a, b: a + b, 1 if direct else DEPTH)
 
     def curvature(self) -> np.ndarray:
         """The diagonal of the second derivative if every row were inside the margin."""
