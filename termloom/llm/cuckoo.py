@@ -78,12 +78,10 @@ class CuckooFilter:
     def remove(self, keys: np.ndarray) -> None:
         marks, first = self._places(keys)
         second = self._other(first, marks)
-        for mark, a, b in zip(marks.tolist(), first.tolist(), second.tolist()):
-            for table, bucket in ((t, x) for t in self.tables for x in (a, b)):
-                slots = np.flatnonzero(table[bucket] == mark)
-                if len(slots):
-                    table[bucket, slots[0]] = 0
-                    break
+        waiting = np.arange(len(marks))
+        for table in self.tables:
+            for bucket in (first, second):
+                waiting = _clear(table, marks, bucket, waiting)
 
     def to_bytes(self) -> bytes:
         head = np.array([len(self.tables), len(self.tables[0])], np.int64)
@@ -94,3 +92,20 @@ class CuckooFilter:
         n, buckets = np.frombuffer(content, np.int64, 2)
         slots = np.frombuffer(content, np.uint16, offset=16).copy().reshape(n, buckets, SLOTS)
         return cls(tables=list(slots))
+
+
+def _clear(table: np.ndarray, marks: np.ndarray, bucket: np.ndarray, waiting: np.ndarray) -> np.ndarray:
+    """Empty one slot for each waiting key whose mark lies in its bucket; returns the others.
+
+    Marks that are alike and share one bucket share both, so it does not matter which is taken.
+    """
+    missed = []
+    while len(waiting):
+        # in each turn one key of every bucket
+        one = np.unique(bucket[waiting], return_index=True)[1]
+        turn, waiting = waiting[one], np.delete(waiting, one)
+        alike = table[bucket[turn]] == marks[turn][:, None]
+        found = alike.any(1)
+        table[bucket[turn[found]], np.argmax(alike[found], 1)] = 0
+        missed.append(turn[~found])
+    return np.concatenate(missed) if missed else waiting

@@ -140,6 +140,19 @@ def test_cuckoo_filter():
     assert fitting.contains(other).mean() < 0.001
     fitting.remove(keys[:10000])
     assert fitting.contains(keys[10000:]).all() and fitting.contains(keys[:10000]).mean() < 0.001
+    # Chained tables, and keys that were added several times, forget one by one.
+    found.remove(keys[5000:])
+    assert found.contains(keys[:5000]).all() and sum(int((t > 0).sum()) for t in found.tables) == 5000
+    often = np.repeat(keys[:3], 7)
+    found = CuckooFilter(8)
+    found.add(often)
+    found.remove(np.repeat(keys[:2], [7, 6]))
+    assert found.contains(keys[:3]).tolist() == [False, True, True]
+    found.remove(keys[:0])
+    found.remove(keys[1:3])
+    assert found.contains(keys[:3]).tolist() == [False, False, True]
+    found.remove(keys[:1])  # what is not there changes nothing
+    assert sum(int((t > 0).sum()) for t in found.tables) == 6
 
 
 # -- 5: counts ------------------------------------------------------------------------------------------
