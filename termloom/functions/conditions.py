@@ -87,7 +87,6 @@ def in_order(slots: Column, wanted: list[str | None], slop: int = 0) -> Column:
         offsets: dict[str, list[int]] = {}
         for w, o in words:
             offsets.setdefault(w, []).append(o)
-        places = {w: _places(s, w) for w in offsets}
 
         def fits(start: Column) -> Column:
             tests = []
@@ -95,15 +94,20 @@ def in_order(slots: Column, wanted: list[str | None], slop: int = 0) -> Column:
                 # Equal terms take places one after the other, each the first that is left.
                 taken = F.lit(-1)
                 for o in at:
-                    taken = _first_place(places[w], taken, start + o, start + o + slop)
-                tests.append(taken.isNotNull())
+                    taken = _first_place(s, w, taken, start + o, start + o + slop)
+                tests.append(taken < _NOWHERE)
             return reduce(lambda a, b: a & b, tests)
 
-        return F.exists(F.array_distinct(F.concat(*[_shifted(places[w], o) for w, o in words])), fits)
+        starts = [_shifted(_places(s, w), o) for w, o in words]
+        return F.exists(F.array_distinct(F.concat(*starts)), fits)
 
     return once(slots, moved if slop > 0 else exact)
 
 
+# Beyond every place; what follows it is beyond all bounds too.
+_NOWHERE = 1 << 30
+
+
 def _places(slots: Column, word: str) -> Column:
     return F.array_compact(F.transform(slots, lambda t, i: F.when(t == word, i)))
 
@@ -112,9 +116,19 @@ def _shifted(places: Column, by: int) -> Column:
     return F.transform(places, lambda p: p - by)
 
 
-def _first_place(places: Column, after: Column, low: Column, high: Column) -> Column:
-    """The first place beyond ``after`` within bounds; null if there is none, or no ``after``."""
-    return F.array_min(F.filter(places, lambda p: (p > after) & (p >= low) & (p <= high)))
+def _first_place(slots: Column, word: str, after: Column, low: Column, high: Column) -> Column:
+    """The first place of a word beyond ``after`` within bounds, ``_NOWHERE`` if there is none.
+
+    Only the slots within bounds are looked at, and each bound is bound once: nested expressions would be
+    worked out again for every place of a text.
+    """
+
+    def seen(first: Column) -> Column:
+        window = F.slice(slots, first + 1, F.greatest(high - first + 1, F.lit(0)))
+        at = F.array_position(window, F.lit(word)).cast("int")
+        return once(at, lambda n: F.when(n > 0, first + n - 1).otherwise(F.lit(_NOWHERE)))
+
+    return once(F.greatest(after + 1, low), seen)
 
 
 def prefix(field: str, start: str, lowercase: bool = True, dictionary: DataFrame | None = None) -> Condition:

@@ -1,5 +1,9 @@
 """Word breaks, phrases, fuzzy terms and query strings."""
 
+import itertools
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +125,34 @@ def test_phrases(docs, text, slop, expected):
     assert found(docs, phrase("text", text, slop)) == expected
 
 
+def test_equal_terms_with_slop_against_every_choice_of_places(spark):
+    draw = random.Random(3)
+    texts = ["".join(draw.choice("wwab") + " " for _ in range(draw.randrange(1, 9))) for _ in range(150)]
+    docs = Collection(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    for asked, slop in (("w w", 1), ("w w w", 2), ("w a w", 2), ("a w w b", 3), ("b w", 2)):
+        terms = asked.split()
+
+        def holds(text):
+            words = text.split()
+            for at in itertools.permutations(range(len(words)), len(terms)):
+                moved = [p - i for i, p in enumerate(at)]
+                if [words[p] for p in at] == terms and max(moved) - min(moved) <= slop:
+                    return True
+            return False
+
+        assert found(docs, phrase("text", asked, slop)) == [i for i, t in enumerate(texts) if holds(t)]
+
+
+def test_equal_terms_with_slop_in_a_text_that_is_full_of_them(spark):
+    # Each place looks at its own surroundings only; with all places for each place this took hours.
+    texts = [(1, "was a b c d e " * 2000), (2, "was a b c d e " * 2000 + "was was")]
+    docs = Collection(spark.createDataFrame(texts, "doc_id int, text string"))
+    began = time.monotonic()
+    assert found(docs, phrase("text", "was was was", slop=2)) == []
+    assert found(docs, phrase("text", "was was", slop=2)) == [2]
+    assert time.monotonic() - began < 60
+
+
 def test_phrases_over_array_values_and_keywords(docs):
     assert found(docs, phrase("tags", "green blue")) == [1]
     assert found(docs, phrase("lang", "en", analyzer=Analyzer())) == [1, 2, 6]
