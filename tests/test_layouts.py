@@ -1,10 +1,12 @@
 """Queries over tables that are one file, and over the same tables as a folder of files."""
 
 import random
+from pathlib import Path
 
 import pandas as pd
 import pytest
 
+from termloom.plans.sizing import scratch_dir
 from workload.queries import REGISTRY
 
 
@@ -28,3 +30,16 @@ def layouts(tmp_path_factory):
 def test_a_stream_reads_a_file_and_a_folder_alike(spark, layouts, name):
     one, many = (sorted(map(tuple, REGISTRY[name](spark, sf_dir).collect())) for sf_dir in layouts)
     assert one == many and one
+
+
+def test_changes_in_many_files_take_no_more_epochs(spark, layouts):
+    def epochs():
+        return set(Path(scratch_dir(spark).removeprefix("file:")).glob("changes-*-out/signed/epoch=*"))
+
+    rows, taken = [], []
+    for sf_dir in layouts:
+        before = epochs()
+        rows.append(sorted(map(tuple, REGISTRY["changed_statistics"](spark, sf_dir).collect())))
+        taken.append(len(epochs() - before))
+    assert rows[0] == rows[1] and rows[0]
+    assert taken[0] == 3 and taken[1] <= 3
