@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from ..plans.sizing import settle
 
-# Non-zero features of one block, about.
-BLOCK_CELLS = 1 << 20
+# Non-zero features of one block, about: a worker holds some arrays as long at a time.
+BLOCK_CELLS = 1 << 18
+# Rows of a batch from Spark that are packed at a time.
+PACK_ROWS = 1000
 # Steps remembered by the quasi-Newton method.
 MEMORY = 20
 # Partial sums of one pass up to this size go straight to the driver; beyond it they meet in a tree of tasks first.
@@ -55,7 +57,7 @@ _PACKED = "starts binary, columns binary, data binary, signs binary"
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors as Spark stores them, sparse or dense, into blocks of bounded size."""
-    for batch in batches:
+    for batch in (whole.slice(at, PACK_ROWS) for whole in batches for at in range(0, whole.num_rows, PACK_ROWS)):
         vectors = batch.column("features")
         labels = batch.column("label").to_numpy(zero_copy_only=False).astype(np.float64)
         if not np.isin(labels, (0.0, 1.0)).all():

@@ -1,6 +1,7 @@
 """The squared-hinge classifier against a plain minimum of its objective."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LinearSVCModel
 from pyspark.ml.linalg import Vectors
@@ -105,3 +106,16 @@ def test_sparks_own_loss_is_still_there(spark, sample):
     rows, labels = sample
     model = learning.train_linear_svc(frame(spark, rows, labels), loss="hinge", regParam=0.1, maxIter=5)
     assert model.numFeatures == 7
+
+
+def test_batches_are_packed_in_parts_of_bounded_size():
+    n, wide = 5000, 100
+    cells = pa.array([list(range(wide))] * n, pa.list_(pa.int32()))
+    values = pa.array([[float(i % 7)] * wide for i in range(n)], pa.list_(pa.float64()))
+    kinds, sizes = pa.array([0] * n, pa.int8()), pa.array([wide] * n, pa.int32())
+    features = pa.StructArray.from_arrays([kinds, sizes, cells, values], ["type", "size", "indices", "values"])
+    batch = pa.RecordBatch.from_arrays([features, pa.array([float(i % 2) for i in range(n)])], ["features", "label"])
+    blocks = [margins._block([part.column(i)[0].as_py() for i in range(4)]) for part in margins._pack([batch])]
+    assert max(len(b.columns) for b in blocks) <= min(margins.BLOCK_CELLS, margins.PACK_ROWS * wide)
+    assert np.concatenate([b.times(np.ones(wide)) for b in blocks]).tolist() == [float(i % 7) * wide for i in range(n)]
+    assert np.concatenate([b.signs for b in blocks]).tolist() == [2.0 * (i % 2) - 1 for i in range(n)]
