@@ -271,7 +271,8 @@ def joined_cells(
     value = {"binary": F.lit(1.0), "term_freq": F.col("tf")}.get(option)
     value = F.col("v") if value is None else value
     hits = hits.where(F.coalesce(value, F.lit(0)) != 0)
-    cells = F.sort_array(F.array_distinct(F.collect_list(_cell(F.col("col"), value))))
+    # A set by hashing: array_distinct compares each cell of a document with all others.
+    cells = F.sort_array(F.collect_set(_cell(F.col("col"), value)))
     return hits.groupBy(*key).agg(cells.alias(out))
 
 

@@ -43,3 +43,8 @@ def test_changes_in_many_files_take_no_more_epochs(spark, layouts):
         taken.append(len(epochs() - before))
     assert rows[0] == rows[1] and rows[0]
     assert taken[0] == 3 and taken[1] <= 3
+
+
+def test_a_joined_dictionary_reads_the_texts_once_more_only(spark, layouts):
+    plan = REGISTRY["joined_dictionary"](spark, layouts[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
